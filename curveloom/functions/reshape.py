@@ -27,13 +27,19 @@ def to_wide(df: DataFrame, keys: Sequence[str], column: str, value: str, names:
     ``(keys, column)`` is expected to be unique (see ``duplicates``); the largest value wins otherwise.
     """
     names = names if isinstance(names, Mapping) else {n: n for n in names}
-    cells = [F.max(F.when(F.col(column) == name, F.col(value))).alias(out) for name, out in names.items()]
+    cells = [cell("max", column, name, value, out) for name, out in names.items()]
     return df.where(F.col(column).isin(list(names))).groupBy(*keys).agg(*cells)
 
 
-def stacked(rows: Sequence[Mapping[str, Column]]) -> Column:
-    """Generator that emits one row per mapping; use inside ``select``."""
-    return F.inline(F.array(*[F.struct(*[c.alias(n) for n, c in row.items()]) for row in rows]))
+def cell(aggregate: str, column: str, name: str, value: str, out: str) -> Column:
+    """``aggregate`` of ``value`` over the group's rows whose ``column`` equals ``name``."""
+    return F.expr(f"{aggregate}(`{value}`) FILTER (WHERE `{column}` = '{name}') AS `{out}`")
+
+
+def stacked(rows: Sequence[Mapping[str, str]]) -> Column:
+    """Generator that emits one row per mapping of names to SQL expressions; use inside ``select``."""
+    structs = [", ".join(f"{sql} AS `{name}`" for name, sql in row.items()) for row in rows]
+    return F.expr(f"inline(array({', '.join(f'struct({s})' for s in structs)}))")
 
 
 def duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:

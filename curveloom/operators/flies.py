@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from curveloom.config import RETURN_VARIABLES
 from curveloom.functions.reshape import stacked
-from curveloom.functions.scalar import ratio
 from curveloom.functions.series import cumulative_sum, series
 from curveloom.operators.legs import leg, required, strategy_legs
 
@@ -21,20 +20,15 @@ def weighted_flies(returns: DataFrame, triples: DataFrame, variables: Sequence[s
     Dates lacking a leg are dropped before the lag, the opposite order to the pairs.
     """
     legs = strategy_legs(returns, triples, "fly", POSITIONS, required(variables), by)
-    durations = {p: F.col(leg(p, "duration")) for p in POSITIONS}
-    spread = durations["long"] - durations["short"]
-    weights = {
-        "short_weight": ratio(0.5 * (durations["long"] - durations["bullet"]), spread),
-        "long_weight": ratio(0.5 * (durations["bullet"] - durations["short"]), spread),
-        "bullet_weight": F.lit(0.5),
-    }
+    short, bullet, long = durations = [leg(p, "duration") for p in POSITIONS]
+    weights = [
+        f"try_divide(0.5D * ({long} - {bullet}), {long} - {short}) AS short_weight",
+        f"try_divide(0.5D * ({bullet} - {short}), {long} - {short}) AS long_weight",
+        "0.5D AS bullet_weight",
+    ]
     window = series([*by, "fly"])
-    return (
-        legs.dropna("any", subset=[leg(p, "duration") for p in POSITIONS])
-        .withColumns(weights)
-        .withColumns({w: F.lag(w).over(window) for w in WEIGHTS})
-        .dropna("any", subset=list(WEIGHTS))
-    )
+    weighted = legs.dropna("any", subset=durations).selectExpr("*", *weights)
+    return weighted.withColumns({w: F.lag(w).over(window) for w in WEIGHTS}).dropna("any", subset=list(WEIGHTS))
 
 
 def fly_weights(returns: DataFrame, triples: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -43,8 +37,7 @@ def fly_weights(returns: DataFrame, triples: DataFrame, by: Sequence[str] = ())
 
 def fly_panel(returns: DataFrame, triples: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = ()) -> DataFrame:
     """One row per fly, date and variable, where all three legs have the variable."""
-    rows = stacked([
-        {"variable": F.lit(v), **{f"{p}_val": F.col(leg(p, v)) for p in ("bullet", "long", "short")}} for v in variables])
+    rows = stacked([{"variable": f"'{v}'", **{f"{p}_val": leg(p, v) for p in POSITIONS}} for v in variables])
     return (
         weighted_flies(returns, triples, variables, by)
         .select(*by, "date", rows, *WEIGHTS, "fly")
@@ -54,10 +47,8 @@ def fly_panel(returns: DataFrame, triples: DataFrame, variables: Sequence[str] =
 
 def weighted_positions(panel: DataFrame, variable: str, by: Sequence[str] = ()) -> DataFrame:
     """``weight * value`` of the three legs for one variable of the panel."""
-    return panel.where(F.col("variable") == variable).select(
-        *by, "date", "fly",
-        *[(F.col(f"{p}_weight") * F.col(f"{p}_val")).alias(p) for p in ("bullet", "long", "short")],
-    )
+    return panel.where(F.col("variable") == variable).selectExpr(
+        *by, "date", "fly", *[f"{p}_weight * {p}_val AS {p}" for p in POSITIONS])
 
 
 def duration_legs(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -65,13 +56,11 @@ def duration_legs(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def barbell_and_bullet(positions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return positions.select(
-        *by, "date", "fly", (F.col("long") + F.col("short")).alias("Barbell"), F.col("bullet").alias("Bullet"))
+    return positions.selectExpr(*by, "date", "fly", "long + short AS Barbell", "bullet AS Bullet")
 
 
 def duration_exposure(positions: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return barbell_and_bullet(positions, by).select(
-        *by, "date", "fly", (F.col("Barbell") - F.col("Bullet")).alias("duration_exposure"))
+    return barbell_and_bullet(positions, by).selectExpr(*by, "date", "fly", "Barbell - Bullet AS duration_exposure")
 
 
 def return_legs(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:

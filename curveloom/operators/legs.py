@@ -8,7 +8,8 @@ lag windows that follow share, so neither adds another one.
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from curveloom.functions.reshape import cell
 
 
 def strategy_legs(
@@ -20,9 +21,7 @@ def strategy_legs(
     ``(date, yield_tenor)`` is unique in ``returns``, so a cell holds one value and a strategy one row per date.
     """
     legs = combos.unpivot([label], list(positions), "position", "yield_tenor")
-    cells = [
-        F.max(F.when(F.col("position") == p, F.col(v))).alias(leg(p, v)) for p in positions for v in variables
-    ]
+    cells = [cell("max", "position", p, v, leg(p, v)) for p in positions for v in variables]
     return (
         returns.select(*by, "date", "yield_tenor", *variables)
         .join(legs, "yield_tenor")

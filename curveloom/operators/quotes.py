@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from curveloom.config import CARRY_DAYS, DAYS_PER_WEEK, IMPUTED_SIDES, QUOTE_SIDES, ZSCORE_CUTOFF, ZSCORE_WINDOW
 from curveloom.functions.reshape import stacked, to_long, to_wide
-from curveloom.functions.scalar import first_token, last_token, present_count, ratio, row_mean
+from curveloom.functions.scalar import first_token, last_token, present_count, row_mean
 from curveloom.functions.series import rolling_zscore, series
 
 KEYS = ("date", "tenor_days", "tenor")
@@ -71,7 +71,7 @@ def with_zscores(filled: DataFrame, window_rows: int = ZSCORE_WINDOW, sides: Seq
 
 def zscores_long(scored: DataFrame, sides: Sequence[str] = QUOTE_SIDES) -> DataFrame:
     """Rows that have a z-score: ``date, tenor_days, tenor, variable, value, z_score``."""
-    rows = stacked([{"variable": F.lit(s), "value": F.col(s), "z_score": F.col(_z(s))} for s in sides])
+    rows = stacked([{"variable": f"'{s}'", "value": s, "z_score": _z(s)} for s in sides])
     return scored.select(*KEYS, rows).where(F.col("z_score").isNotNull())
 
 
@@ -95,10 +95,10 @@ def replaced(scored: DataFrame, cutoff: float = ZSCORE_CUTOFF, sides: Sequence[s
     flagged = scored.withColumn("_tenor_has_bad", tenor_has_bad).withColumn("_good_mean", _good_mean(cutoff, sides))
     rows = stacked([
         {
-            "variable": F.lit(s),
-            "value": F.col(s),
-            "replace_value": F.when(F.col(_z(s)) > cutoff, F.coalesce("_good_mean", s)).otherwise(F.col(s)),
-            "_scored": F.col(_z(s)).isNotNull(),
+            "variable": f"'{s}'",
+            "value": s,
+            "replace_value": f"if({_z(s)} > {float(cutoff)}D, coalesce(_good_mean, {s}), {s})",
+            "_scored": f"{_z(s)} IS NOT NULL",
         }
         for s in sides
     ])
@@ -129,7 +129,7 @@ def _any_bad(cutoff: float, sides: Sequence[str]) -> Column:
 
 
 def _good_mean(cutoff: float, sides: Sequence[str]) -> Column:
-    good = [F.coalesce(F.col(_z(s)) < cutoff, F.lit(False)) for s in sides]
-    terms = [F.when(g, F.col(s)).otherwise(0.0) for g, s in zip(good, sides)]
-    counts = [g.cast("int") for g in good]
-    return ratio(sum(terms[1:], terms[0]), sum(counts[1:], counts[0]))
+    """Mean of the sides below the cutoff; NULL if there is none."""
+    total = " + ".join(f"if({_z(s)} < {float(cutoff)}D, {s}, 0D)" for s in sides)
+    count = " + ".join(f"if({_z(s)} < {float(cutoff)}D, 1, 0)" for s in sides)
+    return F.expr(f"try_divide({total}, {count})")

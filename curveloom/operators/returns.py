@@ -47,21 +47,17 @@ def curve_join(panel: DataFrame, yields: DataFrame, by: Sequence[str] = ()) -> D
 def yield_differences(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Yield as a fraction and its change per security; rows without a change are dropped afterwards."""
     window = series([*by, "security"])
-    return (
-        curve.withColumn("yld", F.col("yield") / 100).drop("yield")
-        .withColumn("yld_diff", difference(F.col("yld"), window))
-        .dropna("any")
-    )
+    fraction = curve.withColumn("yld", F.col("yield") / 100).drop("yield")
+    return fraction.withColumn("yld_diff", difference(F.col("yld"), window)).dropna("any")
 
 
 def return_terms(differences: DataFrame) -> DataFrame:
     """Duration, convexity and total return; one day of carry per row."""
-    return (
-        differences
-        .withColumn("dur_rtn", -F.col("yld_diff") * F.col("duration"))
-        .withColumn("cvx_rtn", 0.5 * (F.col("yld_diff") * F.col("yld_diff")) * F.col("convexity"))
-        .withColumn("bnd_rtn", F.col("yld") / CARRY_DAYS + F.col("dur_rtn") + F.col("cvx_rtn"))
-        .drop("security", "maturity")
+    return differences.drop("security", "maturity").selectExpr(
+        "*",
+        "-yld_diff * duration AS dur_rtn",
+        "0.5D * (yld_diff * yld_diff) * convexity AS cvx_rtn",
+        f"yld / {CARRY_DAYS} + dur_rtn + cvx_rtn AS bnd_rtn",
     )
 
 

@@ -34,28 +34,22 @@ def weighted_pairs(returns: DataFrame, pairs: DataFrame, variables: Sequence[str
 def pair_weights(returns: DataFrame, pairs: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """``date, steepener, yield_tenor, weight``: both legs on every date of the pair."""
     weighted = weighted_pairs(returns, pairs, ("duration",), by)
-    return weighted.join(pairs, "steepener").select(*by, "date", "steepener", stacked([
-        {"yield_tenor": F.col(p), "weight": F.col(f"{p}_weight")} for p in POSITIONS]))
+    legs = stacked([{"yield_tenor": p, "weight": f"{p}_weight"} for p in POSITIONS])
+    return weighted.join(pairs, "steepener").select(*by, "date", "steepener", legs)
 
 
 def steepener_panel(returns: DataFrame, pairs: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = ()) -> DataFrame:
     """One row per steepener, date and variable. A leg absent on the date has no weight and no values."""
     weighted = weighted_pairs(returns, pairs, variables, by)
-    weights = [
-        F.when(F.col(leg(p, "duration")).isNotNull(), F.col(f"{p}_weight")).alias(f"{p}_weight") for p in POSITIONS
-    ]
-    values = stacked([
-        {"var": F.lit(v), "long_val": F.col(leg("long", v)), "short_val": F.col(leg("short", v))} for v in variables])
+    weights = [F.expr(f"if({leg(p, 'duration')} IS NULL, NULL, {p}_weight) AS {p}_weight") for p in POSITIONS]
+    values = stacked([{"var": f"'{v}'", **{f"{p}_val": leg(p, v) for p in POSITIONS}} for v in variables])
     return weighted.select(*by, "date", *weights, values, "steepener")
 
 
 def weighted_legs(panel: DataFrame, variable: str, long_name: str, short_name: str, by: Sequence[str] = ()) -> DataFrame:
     """``weight * value`` of both legs for one variable of the panel."""
-    return panel.where(F.col("var") == variable).select(
-        *by, "date", "steepener",
-        (F.col("long_weight") * F.col("long_val")).alias(long_name),
-        (F.col("short_weight") * F.col("short_val")).alias(short_name),
-    )
+    return panel.where(F.col("var") == variable).selectExpr(
+        *by, "date", "steepener", f"long_weight * long_val AS {long_name}", f"short_weight * short_val AS {short_name}")
 
 
 def duration_legs(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -63,8 +57,8 @@ def duration_legs(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 
 def duration_exposure(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    return duration_legs(panel, by).select(
-        *by, "date", "steepener", (F.col("weighted_long") - F.col("weighted_short")).alias("duration_exposure"))
+    return duration_legs(panel, by).selectExpr(
+        *by, "date", "steepener", "weighted_long - weighted_short AS duration_exposure")
 
 
 def return_legs(panel: DataFrame, by: Sequence[str] = ()) -> DataFrame:

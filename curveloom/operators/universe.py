@@ -36,8 +36,7 @@ def tenor_pairs(universe: DataFrame) -> DataFrame:
     """``steepener, long, short``: every pair of tenors, the shorter maturity being the long leg."""
     a, b = _ranked(universe, "long"), _ranked(universe, "short")
     pairs = a.join(b, F.col("long_maturity") < F.col("short_maturity"))
-    label = F.concat(_years("long"), F.lit("s"), _years("short"), F.lit("s steepener"))
-    return pairs.select(label.alias("steepener"), "long", "short")
+    return pairs.selectExpr(f"{_years('long')} || 's' || {_years('short')} || 's steepener' AS steepener", "long", "short")
 
 
 def tenor_triples(universe: DataFrame) -> DataFrame:
@@ -45,13 +44,13 @@ def tenor_triples(universe: DataFrame) -> DataFrame:
     a, b, c = _ranked(universe, "short"), _ranked(universe, "bullet"), _ranked(universe, "long")
     triples = a.join(b, F.col("short_maturity") < F.col("bullet_maturity")).join(
         c, F.col("bullet_maturity") < F.col("long_maturity"))
-    label = F.concat(_years("short"), F.lit("s"), _years("bullet"), F.lit("s"), _years("long"), F.lit("s"))
-    return triples.select(label.alias("fly"), "short", "bullet", "long")
+    label = " || ".join(f"{_years(p)} || 's'" for p in ("short", "bullet", "long"))
+    return triples.selectExpr(f"{label} AS fly", "short", "bullet", "long")
 
 
 def _ranked(universe: DataFrame, position: str) -> DataFrame:
-    return universe.select(F.col("yield_tenor").alias(position), F.col("maturity").alias(f"{position}_maturity"))
+    return universe.selectExpr(f"yield_tenor AS {position}", f"maturity AS {position}_maturity")
 
 
-def _years(tenor: str) -> Column:
-    return F.replace(F.col(tenor), F.lit(TENOR_PREFIX), F.lit(""))
+def _years(tenor: str) -> str:
+    return f"replace({tenor}, '{TENOR_PREFIX}', '')"

@@ -34,32 +34,33 @@ def etfs(spark: SparkSession, folder: str) -> DataFrame:
 
 def risk(spark: SparkSession, folder: str) -> DataFrame:
     """Order priorities as securities; the ultra-long one has no convexity on the first of a month."""
-    security = _choose(F.col("o_orderpriority"), PRIORITIES, [f"{s} Comdty" for s in UNIVERSE])
-    years = _choose(F.col("o_orderpriority"), PRIORITIES, list(UNIVERSE.values()))
+    security = _choose("o_orderpriority", {p: f"{s} Comdty" for p, s in zip(PRIORITIES, UNIVERSE)})
+    years = _choose("o_orderpriority", dict(zip(PRIORITIES, UNIVERSE.values())))
     daily = (
         table(spark, folder, "orders")
         .groupBy(F.to_date("o_orderdate").alias("date"), security.alias("security"), years.alias("years"))
         .agg(F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"))
     )
-    unquoted = (F.col("years") == 30) & (F.dayofmonth("date") == 1)
     duration, convexity = RISK_VARIABLES
-    return (
-        daily.withColumn(duration, F.col("years") * 8e-1 + F.col("high") / 1e6)
-        .withColumn(convexity, F.when(~unquoted, F.col("years") * F.col("years") / 1e2 + F.col("low") / 1e6))
-        .unpivot(["date", "security"], [duration, convexity], "variable", "value")
-        .where(F.col("value").isNotNull())
+    wide = daily.selectExpr(
+        "date", "security",
+        f"years * 8e-1 + high / 1e6 AS {duration}",
+        f"if(years = 30 AND day(date) = 1, NULL, years * years / 1e2 + low / 1e6) AS {convexity}",
     )
+    return wide.unpivot(["date", "security"], [duration, convexity], "variable", "value").where("value IS NOT NULL")
 
 
 def yields(spark: SparkSession, folder: str) -> DataFrame:
     """Line numbers as constant-maturity series."""
-    series = F.col("l_linenumber") % 5
-    cells = [(F.min(F.when(series == k, F.col("l_extendedprice"))) / 2e4 + 1e-1).alias(n) for k, n in enumerate(YIELD_SERIES)]
+    cells = [
+        F.expr(f"min(l_extendedprice) FILTER (WHERE l_linenumber % 5 = {k}) / 2e4 + 1e-1 AS {n}")
+        for k, n in enumerate(YIELD_SERIES)
+    ]
     return table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(*cells)
 
 
 def front_prices(spark: SparkSession, folder: str) -> DataFrame:
-    security = _choose(F.col("l_linenumber") % 5, range(5), [f"{s} Comdty" for s in UNIVERSE])
+    security = _choose("l_linenumber % 5", {k: f"{s} Comdty" for k, s in enumerate(UNIVERSE)})
     return (
         table(spark, folder, "lineitem")
         .groupBy(F.to_date("l_shipdate").alias("date"), security.alias("security"))
@@ -69,19 +70,19 @@ def front_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 def etf_prices(spark: SparkSession, folder: str) -> DataFrame:
     """Suppliers as tickers; the last ticker is listed a year late and has a gap in the middle."""
-    date, series = F.to_date("l_shipdate"), F.col("l_suppkey") % 4
-    unlisted = (F.col("date") < F.lit("1996-01-01").cast("date")) | F.col("date").between(
-        F.lit("1998-03-10").cast("date"), F.lit("1998-03-20").cast("date"))
-    cells = [(F.max(F.when(series == k, F.col("l_extendedprice"))) / 1e3).alias(n) for k, n in enumerate(ETF_SERIES)]
-    daily = table(spark, folder, "lineitem").groupBy(date.alias("date")).agg(*cells)
-    return daily.withColumn("TLT", F.when(~unlisted, F.col("TLT")))
+    cells = [
+        F.expr(f"max(l_extendedprice) FILTER (WHERE l_suppkey % 4 = {k}) / 1e3 AS {n}") for k, n in enumerate(ETF_SERIES)
+    ]
+    daily = table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(*cells)
+    unlisted = "date < DATE '1996-01-01' OR date BETWEEN DATE '1998-03-10' AND DATE '1998-03-20'"
+    return daily.withColumn("TLT", F.expr(f"if({unlisted}, NULL, TLT)"))
 
 
 def quotes_wide(spark: SparkSession, folder: str) -> DataFrame:
     """Event types as quote sides, users as tenors and hours as dates; status events are no quotes."""
     events = table(spark, folder, "events").where(F.col("event_type").isin(list(EVENT_SIDES)))
-    side = _choose(F.col("event_type"), EVENT_SIDES, EVENT_SIDES.values())
-    cells = [F.max(F.when(F.col("user_id") % 4 == k, F.col("value"))).alias(n) for k, n in enumerate(QUOTE_TENORS)]
+    side = _choose("event_type", EVENT_SIDES)
+    cells = [F.expr(f"max(value) FILTER (WHERE user_id % 4 = {k}) AS `{n}`") for k, n in enumerate(QUOTE_TENORS)]
     return events.groupBy(_hour("ts").alias("date"), side.alias("quote")).agg(*cells)
 
 
@@ -94,8 +95,8 @@ def ticks(spark: SparkSession, folder: str) -> DataFrame:
 def tick_quotes(spark: SparkSession, folder: str) -> DataFrame:
     """Every quote event by hour, side and tenor, before they are reduced to one per key."""
     events = table(spark, folder, "events").where(F.col("event_type").isin(list(EVENT_SIDES)))
-    side = _choose(F.col("event_type"), EVENT_SIDES, EVENT_SIDES.values())
-    tenor = _choose(F.col("user_id") % 4, range(4), QUOTE_TENORS)
+    side = _choose("event_type", EVENT_SIDES)
+    tenor = _choose("user_id % 4", dict(enumerate(QUOTE_TENORS)))
     return events.select(_hour("ts").alias("date"), side.alias("quote"), tenor.alias("tenor"), "value")
 
 
@@ -170,9 +171,7 @@ def _hour(time: str) -> Column:
     return F.date_trunc("hour", time).cast("timestamp_ntz")
 
 
-def _choose(column: Column, cases, results) -> Column:
-    """CASE over parallel cases and results; NULL if none matches."""
-    choice = None
-    for case, result in zip(cases, results):
-        choice = F.when(column == case, result) if choice is None else choice.when(column == case, result)
-    return choice
+def _choose(column: str, results: dict) -> Column:
+    """CASE over the column's values; NULL if none matches."""
+    cases = " ".join(f"WHEN {case!r} THEN {result!r}" for case, result in results.items())
+    return F.expr(f"CASE {column} {cases} END")
