@@ -9,7 +9,8 @@ order, and no task ever sorts more than one slice (or one block) of one series:
   plus rank in the slice), are cut into blocks of equal length, and the last rows of a block are copied to the
   next: two shuffles of the rows, and copies bounded by frame length / block length.
 
-The results equal those of the plain windows in ``series``, up to the last bits of floating sums.
+The results equal those of the plain windows in ``series``, up to the last bits of floating sums. The input is
+read several times (range of the order, slice totals, rows), so hand in a stored table or a ``checkpointed`` one.
 """
 
 from collections.abc import Mapping, Sequence
@@ -27,29 +28,36 @@ SLICE, INDEX, BLOCK = "_slice", "_index", "_block"
 
 @dataclass(frozen=True)
 class LongSeries:
-    """``keys`` name a series; ``order`` is one column, complete and unique within a series."""
+    """``keys`` name a series; ``order`` is one column, complete and unique within a series.
+
+    ``rows_per_slice`` defaults to the square root of the table's row count: then neither the sort of a slice
+    nor the window over a series' slices outgrows a task (a million rows each for a trillion).
+    """
 
     keys: Sequence[str]
     order: str
-    rows_per_slice: int = 1_000_000
+    rows_per_slice: int | None = None
 
     def across_slices(self) -> WindowSpec:
         """The slices of a series: as many rows as it has slices."""
         return Window.partitionBy(*self.keys).orderBy(SLICE)
 
+    def slice_rows(self, count: Column) -> Column:
+        return F.lit(self.rows_per_slice) if self.rows_per_slice else F.ceil(F.sqrt(count))
+
     def within_slice(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, SLICE).orderBy(self.order)
 
 
 def with_slices(df: DataFrame, spec: LongSeries) -> DataFrame:
-    """Adds the slice number: equal widths of the order column, about ``rows_per_slice`` rows each.
+    """Adds the slice number: equal widths of the order column, about the asked-for rows each.
 
     The width comes from the column's own range and count, as scalar subqueries over a one-column scan. Both
     uses of the slice in a plan see the same width, so the cut does not depend on how tasks are placed.
     """
     at = _position(df, spec.order)
     bounds = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(F.lit(1)).alias("n"))
-    slices = F.ceil(F.col("n") / spec.rows_per_slice)
+    slices = F.ceil(F.col("n") / spec.slice_rows(F.col("n")))
     width = bounds.select(F.ceil((F.col("hi") - F.col("lo") + 1) / slices)).scalar()
     return df.withColumn(SLICE, F.floor((at - bounds.select("lo").scalar()) / width))
 
@@ -100,15 +108,16 @@ def with_index(df: DataFrame, spec: LongSeries) -> DataFrame:
     return carried.withColumn(INDEX, position).drop(SLICE, "_offset")
 
 
-def rolling_zscore(df: DataFrame, spec: LongSeries, value: str, out: str, rows: int) -> DataFrame:
-    """|z| of the value against the trailing ``rows`` rows, itself included.
+def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str], rows: int) -> DataFrame:
+    """|z| of each value against its trailing ``rows`` rows, itself included (``output name -> column``).
 
     NULL unless all of those rows hold a value, and NULL where they are all equal.
 
     The frame of a row is the end of one run of ``rows`` rows and the start of the next. Its statistics are
     those of the two parts merged, each a running aggregate, so the work per row does not grow with ``rows``.
     """
-    block_rows = rows * max(1, spec.rows_per_slice // rows)
+    count = df.agg(F.count(F.lit(1)).alias("n"))
+    block_rows = count.select(rows * F.ceil(spec.slice_rows(F.col("n")) / rows)).scalar()
     blocks = _with_blocks(with_index(df, spec), block_rows, rows)
     run = F.floor(F.col(INDEX) / rows).alias("_run")
     runs = Window.partitionBy(*spec.keys, BLOCK, "_run")
@@ -117,19 +126,22 @@ def rolling_zscore(df: DataFrame, spec: LongSeries, value: str, out: str, rows:
     series = Window.partitionBy(*spec.keys, BLOCK).orderBy(INDEX)
     parts = (
         blocks.withColumn("_run", run)
-        .withColumn("_end", _moments(value, ended))
-        .withColumn("_start", _moments(value, started))
-        .withColumn("_end", F.lag("_end", rows - 1).over(series))
+        .withColumns({f"_end_{out}": _moments(value, ended) for out, value in scores.items()})
+        .withColumns({f"_start_{out}": _moments(value, started) for out, value in scores.items()})
+        .withColumns({f"_end_{out}": F.lag(f"_end_{out}", rows - 1).over(series) for out in scores})
+        .where(F.col(BLOCK) == F.floor(F.col(INDEX) / block_rows))
     )
     whole_run = (F.col(INDEX) + 1) % rows == 0
-    merged = F.when(whole_run, F.col("_start")).otherwise(_merged(F.col("_end"), F.col("_start")))
-    scored = parts.where(F.col(BLOCK) == F.floor(F.col(INDEX) / block_rows)).withColumn("_all", merged)
-    n, mean, m2 = (F.col("_all")[f] for f in ("n", "mean", "m2"))
-    z = F.abs(ratio(F.col(value) - mean, F.sqrt(m2 / (rows - 1))))
-    return scored.withColumn(out, F.when(n == rows, z)).select(*df.columns, out)
+    frames = parts.withColumns({
+        f"_all_{out}": F.when(whole_run, F.col(f"_start_{out}")).otherwise(
+            _merged(F.col(f"_end_{out}"), F.col(f"_start_{out}")))
+        for out in scores
+    })
+    results = [_zscore(F.col(value), F.col(f"_all_{out}"), rows).alias(out) for out, value in scores.items()]
+    return frames.select(*[c for c in df.columns if c not in scores], *results)
 
 
-def _with_blocks(indexed: DataFrame, block_rows: int, halo: int) -> DataFrame:
+def _with_blocks(indexed: DataFrame, block_rows: Column, halo: int) -> DataFrame:
     """Adds the block number; each block's last ``halo`` rows also appear in the next block."""
     own = F.floor(F.col(INDEX) / block_rows)
     both = F.when(F.col(INDEX) % block_rows >= block_rows - halo, F.array(own, own + 1)).otherwise(F.array(own))
@@ -141,8 +153,13 @@ def _moments(value: str, frame: WindowSpec) -> Column:
     return F.struct(n.alias("n"), F.avg(value).over(frame).alias("mean"), (F.var_pop(value).over(frame) * n).alias("m2"))
 
 
+def _zscore(value: Column, frame: Column, rows: int) -> Column:
+    z = F.abs(ratio(value - frame["mean"], F.sqrt(frame["m2"] / (rows - 1))))
+    return F.when(frame["n"] == rows, z)
+
+
 def _merged(a: Column, b: Column) -> Column:
-    """Count, mean and squared deviations of two disjoint parts, both complete; NULL otherwise handled by ``n``."""
+    """Count, mean and squared deviations of two parts together. ``n`` tells if values are missing from either."""
     n = a["n"] + b["n"]
     delta = b["mean"] - a["mean"]
     mean = a["mean"] + delta * ratio(b["n"], n)
@@ -153,12 +170,13 @@ def _merged(a: Column, b: Column) -> Column:
 def _carried(sliced: DataFrame, spec: LongSeries, totals: Mapping[str, Column], before: Mapping[str, Column]) -> DataFrame:
     """Joins to every row what the earlier slices of its series amount to.
 
-    ``totals`` aggregate a slice; ``before`` are windows over the slices that use the totals by name.
+    ``totals`` aggregate a slice; ``before`` are windows over the slices that use the totals by name. The side
+    with one row per slice is hashed, which spares the rows the sort of a merge join.
     """
     keys = [*spec.keys, SLICE]
     per_slice = sliced.groupBy(*keys).agg(*[c.alias(name) for name, c in totals.items()])
     carry = per_slice.select(*keys, *[c.alias(name) for name, c in before.items()])
-    return sliced.join(carry, keys)
+    return sliced.join(carry.hint("shuffle_hash"), keys)
 
 
 def _before(window: WindowSpec) -> WindowSpec:

@@ -11,9 +11,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curveloom.config import CARRY_DAYS, DAYS_PER_WEEK, IMPUTED_SIDES, QUOTE_SIDES, ZSCORE_CUTOFF, ZSCORE_WINDOW
+from curveloom.functions.long_series import LongSeries, rolling_zscores
 from curveloom.functions.reshape import stacked, to_long, to_wide
 from curveloom.functions.scalar import first_token, last_token, present_count, row_mean
 from curveloom.functions.series import rolling_zscore, series
+from curveloom.sources.store import checkpointed
 
 KEYS = ("date", "tenor_days", "tenor")
 
@@ -63,8 +65,16 @@ def imputed_long(filled: DataFrame, sides: Sequence[str] = QUOTE_SIDES) -> DataF
     return filled.unpivot(list(KEYS), list(sides), "variable", "value")
 
 
-def with_zscores(filled: DataFrame, window_rows: int = ZSCORE_WINDOW, sides: Sequence[str] = QUOTE_SIDES) -> DataFrame:
-    """Adds a ``z_<side>`` column per side."""
+def with_zscores(
+    filled: DataFrame, window_rows: int = ZSCORE_WINDOW, sides: Sequence[str] = QUOTE_SIDES,
+    history: LongSeries | None = None,
+) -> DataFrame:
+    """Adds a ``z_<side>`` column per side.
+
+    One task sorts one tenor's rows, one per date. For finer clocks give the ``history`` to cut in slices.
+    """
+    if history is not None:
+        return rolling_zscores(filled, history, {_z(s): s for s in sides}, window_rows)
     window = series(["tenor"])
     return filled.withColumns({_z(s): rolling_zscore(F.col(s), window, window_rows) for s in sides})
 
@@ -84,15 +94,24 @@ def good_date_rows(scored: DataFrame, cutoff: float = ZSCORE_CUTOFF, sides: Sequ
     return zscores_long(scored.where(~_any_bad(cutoff, sides)), sides)
 
 
-def replaced(scored: DataFrame, cutoff: float = ZSCORE_CUTOFF, sides: Sequence[str] = QUOTE_SIDES) -> DataFrame:
+def replaced(
+    scored: DataFrame, cutoff: float = ZSCORE_CUTOFF, sides: Sequence[str] = QUOTE_SIDES, gather_tenors: bool = True,
+) -> DataFrame:
     """``date, tenor_days, tenor, variable, value, replace_value``.
 
     An outlier takes the mean of that day's sides below the cutoff, or keeps its value if there is none. A
     tenor with any outlier keeps only the rows that have a z-score; one without keeps all rows. A z-score
     equal to the cutoff is neither replaced nor part of the mean.
+
+    ``gather_tenors`` finds the tenors with outliers in the window that already holds each tenor's rows; without
+    it they are aggregated map-side and joined back, so that no task holds a whole tenor.
     """
-    tenor_has_bad = F.max(_any_bad(cutoff, sides)).over(Window.partitionBy("tenor"))
-    flagged = scored.withColumn("_tenor_has_bad", tenor_has_bad).withColumn("_good_mean", _good_mean(cutoff, sides))
+    any_bad = F.max(_any_bad(cutoff, sides))
+    if gather_tenors:
+        flagged = scored.withColumn("_tenor_has_bad", any_bad.over(Window.partitionBy("tenor")))
+    else:
+        flagged = scored.join(scored.groupBy("tenor").agg(any_bad.alias("_tenor_has_bad")), "tenor")
+    flagged = flagged.withColumn("_good_mean", _good_mean(cutoff, sides))
     rows = stacked([
         {
             "variable": f"'{s}'",
@@ -115,6 +134,20 @@ def cleaned_quotes(
     return replaced(with_zscores(filled, window_rows, sides), cutoff, sides)
 
 
+def cleaned_long_history(
+    quotes: DataFrame, window_rows: int = ZSCORE_WINDOW, cutoff: float = ZSCORE_CUTOFF,
+    sides: Sequence[str] = QUOTE_SIDES, impute_sides: Sequence[str] = IMPUTED_SIDES,
+    history: LongSeries = LongSeries(["tenor"], "date"),
+) -> DataFrame:
+    """As ``cleaned_quotes``, for tenors with histories too long for one task.
+
+    The imputed and the scored rows are each read more than once, so both are kept in the checkpoint folder.
+    """
+    filled = checkpointed(imputed(partial_rows(sides_wide(quotes, sides), sides), sides, impute_sides))
+    scored = checkpointed(with_zscores(filled, window_rows, sides, history))
+    return replaced(scored, cutoff, sides, gather_tenors=False)
+
+
 def cleaned_wide(cleaned: DataFrame, sides: Sequence[str] = QUOTE_SIDES) -> DataFrame:
     """Replacement values per tenor and date, one column per side."""
     return to_wide(cleaned, ["tenor", "date"], "variable", "replace_value", sides)

@@ -157,6 +157,11 @@ def _cleaned_quotes(spark, folder):
     return _rounded(quotes.cleaned_quotes(_quotes(spark, folder)), "replace_value")
 
 
+def _cleaned_long_history(spark, folder):
+    cleaned = quotes.cleaned_long_history(_quotes(spark, folder), SHORT_WINDOW, SHORT_CUTOFF)
+    return _rounded(cleaned, "replace_value")
+
+
 def _quote_wide_by_variable(spark, folder):
     cleaned = quotes.cleaned_quotes(_quotes(spark, folder), SHORT_WINDOW, SHORT_CUTOFF)
     return _rounded(quotes.cleaned_wide(cleaned), *a.QUOTE_SIDES)
@@ -173,7 +178,7 @@ def _tick_cumulative(spark, folder):
 
 
 def _tick_zscore(spark, folder):
-    scored = long_series.rolling_zscore(a.ticks(spark, folder), TICK_SERIES, "value", "z_score", TICK_WINDOW)
+    scored = long_series.rolling_zscores(a.ticks(spark, folder), TICK_SERIES, {"z_score": "value"}, TICK_WINDOW)
     return _rounded(scored, "z_score", digits=6)
 
 
@@ -234,6 +239,7 @@ QUERIES: dict[str, Query] = {
     "outlier_good_dates": lambda s, f: _rounded(quotes.good_date_rows(_scored(s, f), SHORT_CUTOFF), "z_score"),
     "outlier_replace": lambda s, f: _rounded(quotes.replaced(_scored(s, f), SHORT_CUTOFF), "replace_value"),
     "cleaned_quotes": _cleaned_quotes,
+    "cleaned_long_history": _cleaned_long_history,
     "quote_wide_by_variable": _quote_wide_by_variable,
     # Pages
     "page_links": _page_links,

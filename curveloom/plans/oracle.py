@@ -317,6 +317,7 @@ SELECTS: dict[str, tuple[str, str]] = {
     "outlier_good_dates": ("flags_short", f"SELECT {_Z} FROM flags_short WHERE z IS NOT NULL AND NOT bad"),
     "outlier_replace": ("replaced_short", "SELECT * FROM replaced_short"),
     "cleaned_quotes": ("replaced_long", "SELECT * FROM replaced_long"),
+    "cleaned_long_history": ("replaced_short", "SELECT * FROM replaced_short"),
     "quote_wide_by_variable": ("replaced_short", """
         SELECT tenor, date, max(CASE WHEN variable = 'bid' THEN replace_value END) AS bid,
             max(CASE WHEN variable = 'eod' THEN replace_value END) AS eod,

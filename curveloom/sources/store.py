@@ -1,5 +1,6 @@
 """Build-or-read tables."""
 
+import tempfile
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -17,6 +18,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows, computed once and kept in the shared checkpoint folder, without the lineage behind them.
+
+    Use it where a plan reads an expensive result more than once. The folder is the session's
+    ``spark.checkpoint.dir``; only a local session may go without and gets a folder of its own.
+    """
+    context = df.sparkSession.sparkContext
+    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
+    return df.checkpoint()
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
