@@ -28,7 +28,7 @@ SLICE, INDEX, BLOCK = "_slice", "_index", "_block"
 
 @dataclass(frozen=True)
 class LongSeries:
-    """``keys`` name a series; ``order`` is one column, complete and unique within a series.
+    """``keys`` name a series; ``order`` is one column, unique within a series. All of them are complete.
 
     ``rows_per_slice`` defaults to the square root of the table's row count: then neither the sort of a slice
     nor the window over a series' slices outgrows a task (a million rows each for a trillion).
@@ -118,12 +118,13 @@ def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str],
     """
     count = df.agg(F.count(F.lit(1)).alias("n"))
     block_rows = count.select(rows * F.ceil(spec.slice_rows(F.col("n")) / rows)).scalar()
-    blocks = _with_blocks(with_index(df, spec), block_rows, rows)
+    blocks = _with_blocks(with_index(df, spec), block_rows, rows).repartition(*spec.keys, BLOCK)
     run = F.floor(F.col(INDEX) / rows).alias("_run")
     runs = Window.partitionBy(*spec.keys, BLOCK, "_run")
-    started = running(runs.orderBy(INDEX))
+    # All three windows use the one shuffle on the block, the last two also the same sort.
     ended = running(runs.orderBy(F.desc(INDEX)))
-    series = Window.partitionBy(*spec.keys, BLOCK).orderBy(INDEX)
+    started = running(runs.orderBy(INDEX))
+    series = Window.partitionBy(*spec.keys, BLOCK).orderBy("_run", INDEX)
     parts = (
         blocks.withColumn("_run", run)
         .withColumns({f"_end_{out}": _moments(value, ended) for out, value in scores.items()})
