@@ -13,6 +13,7 @@ def local_session(cores: str = "8", app: str = "curveloom", memory: str = "12g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.legacy.parquet.nanosAsLong", "true")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

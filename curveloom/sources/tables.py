@@ -1,13 +1,19 @@
-"""Readers. Each applies its declared schema, turns NaN into NULL and dates into ``DateType``."""
+"""Readers. Each applies its declared schema, turns NaN into NULL and dates into ``DateType``.
+
+Dates saved as nanosecond timestamps, as pandas does, need ``spark.sql.legacy.parquet.nanosAsLong`` in the session.
+"""
 
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curveloom.functions.scalar import last_token, null_nans
 from curveloom.sources import schemas
 
+NANOS_PER_DAY = 86_400_000_000_000
+
 
 def read_risk(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """Deliverable risk, one Parquet file or folder per security."""
@@ -58,6 +64,8 @@ def _file_name() -> Column:
 
 
 def _dated(df: DataFrame, ddl: str) -> DataFrame:
-    """Project to the declared columns and types; a timestamp ``date`` column becomes a date."""
+    """Project to the declared columns and types; a timestamp, or its nanoseconds, becomes a date."""
+    if isinstance(df.schema["date"].dataType, T.LongType):
+        df = df.withColumn("date", F.date_from_unix_date(F.floor(F.col("date") / NANOS_PER_DAY).cast("int")))
     fields = [part.strip().rsplit(" ", 1) for part in ddl.split(",")]
     return df.select(*[F.col(name).cast(kind).alias(name.strip("`")) for name, kind in fields])

@@ -1,9 +1,9 @@
 import json
 import math
+from types import SimpleNamespace
 
 import pandas as pd
 import pytest
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import day, rows
@@ -75,8 +75,10 @@ def test_materialize_rebuilds_after_an_interrupted_write(spark, tmp_path):
 
 
 def test_materialize_raises_other_errors(spark, tmp_path):
-    with pytest.raises(AnalysisException):
-        store.materialize(spark, "nosuchscheme://x/y", lambda: spark.range(1))
+    (tmp_path / "notes.parquet").write_text("no table at all")
+    with pytest.raises(Exception, match="notes.parquet"):
+        store.materialize(spark, str(tmp_path / "notes.parquet"), lambda: spark.range(1))
+    assert (tmp_path / "notes.parquet").read_text() == "no table at all"
     with pytest.raises(RuntimeError):
         def broken():
             raise RuntimeError
@@ -88,14 +90,18 @@ def test_partitioned_sink(spark, tmp_path):
     assert sorted(p.name for p in (tmp_path / "t").glob("p=*")) == ["p=0", "p=1"]
 
 
-def test_shared_path_needs_the_setting(spark):
+def test_shared_path_needs_the_setting():
+    def session(settings):
+        return SimpleNamespace(conf=settings)
+    assert store.shared_path(session({"spark.checkpoint.dir": "/shared/"}), "x") == "/shared/x"
     with pytest.raises(ValueError):
-        store.shared_path(spark, "x")
-    spark.conf.set("spark.checkpoint.dir", "/shared/")
-    try:
-        assert store.shared_path(spark, "x") == "/shared/x"
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
+        store.shared_path(session({}), "x")
+
+
+def test_checkpointed_rows_have_no_lineage(spark):
+    kept = store.checkpointed(spark.range(5).where("id > 1"))
+    assert [r.id for r in kept.orderBy("id").collect()] == [2, 3, 4]
+    assert "Filter" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
 def test_links_with_extension(spark):
