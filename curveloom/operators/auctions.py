@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curveloom.config import VINTAGES
-from curveloom.functions.reshape import to_long
+from curveloom.functions.reshape import cell, stacked, to_long
 
 DATE_COLUMNS = ("auction_date", "issue_date", "record_date")
 HISTORY_IDS = ("record_date", "security_term")
@@ -43,6 +43,31 @@ def reconcile_auctions(left: DataFrame, right: DataFrame, with_conflict: bool =
     return joined.select(*keys, value, *([conflict] if with_conflict else []))
 
 
+def reconcile_histories(left: DataFrame, right: DataFrame, auction_columns: Sequence[str]) -> DataFrame:
+    """As ``reconcile_auctions(..., with_conflict=True)`` on the long forms, but joined before the unpivot.
+
+    For typed wide histories with one row per auction (see ``duplicates``): the join moves one row per auction
+    instead of one per auction and measure, and the long rows never enter a shuffle.
+    """
+    ids = [*auction_columns, *HISTORY_IDS]
+    measures = [[c for c in df.columns if c not in ids] for df in (left, right)]
+    sides = [
+        df.dropna("any", subset=ids).select(*ids, *[F.col(c).cast("string").alias(f"{side}_{c}") for c in names])
+        for df, names, side in zip((left, right), measures, ("l", "r"))
+    ]
+    long = stacked([_reconciled(c, c in measures[0], c in measures[1]) for c in dict.fromkeys(measures[0] + measures[1])])
+    return sides[0].join(sides[1], ids, "full").select(*ids, long).where("value IS NOT NULL")
+
+
+def _reconciled(measure: str, on_left: bool, on_right: bool) -> dict[str, str]:
+    left = f"`l_{measure}`" if on_left else "CAST(NULL AS STRING)"
+    right = f"`r_{measure}`" if on_right else "CAST(NULL AS STRING)"
+    return {
+        "variable": f"'{measure}'", "value": f"coalesce({left}, {right})",
+        "conflict": f"coalesce({left} != {right}, false)",
+    }
+
+
 def observed_union(vintages: Mapping[str, DataFrame]) -> DataFrame:
     """All vintages by column name, tagged with their group; a column one lacks is NULL there."""
     tagged = [df.withColumn("group", F.lit(name)) for name, df in vintages.items()]
@@ -62,13 +87,17 @@ def observed_first(long: DataFrame) -> DataFrame:
     return long.groupBy(*OBSERVED_IDS, "variable").agg(F.min("value").alias("value"))
 
 
-def reconcile_observed(long: DataFrame, vintages: Sequence[str] = VINTAGES) -> DataFrame:
-    """The value of the first vintage that has one.
+def reconcile_observed(union: DataFrame, vintages: Sequence[str] = VINTAGES, as_text: bool = False) -> DataFrame:
+    """Per security and measure, the value of the first vintage that has one.
 
-    De-duplication, first-per-vintage and the pivot to one column per vintage are one aggregation: the smallest
-    value is the same with or without duplicates.
+    De-duplication, first-per-vintage and the column per vintage are one map-side-combined aggregation of the
+    wide rows: the smallest value is the same with or without duplicates, and missing ones never count. Only
+    its result is unpivoted.
     """
-    keys = [c for c in OBSERVED_IDS if c != "group"] + ["variable"]
-    firsts = [F.min(F.when(F.col("group") == v, F.col("value"))).alias(v) for v in vintages]
-    wide = long.where(F.col("group").isin(list(vintages))).groupBy(*keys).agg(*firsts)
-    return wide.select(*keys, F.coalesce(*vintages).alias("new_val"))
+    keys = [c for c in OBSERVED_IDS if c != "group"]
+    measures = [c for c in union.columns if c not in OBSERVED_IDS]
+    firsts = [cell("min", "group", v, c, f"{c}__{v}") for c in measures for v in vintages]
+    known = union.dropna("any", subset=list(OBSERVED_IDS)).where(F.col("group").isin(list(vintages)))
+    best = [F.coalesce(*[f"{c}__{v}" for v in vintages]).alias(c) for c in measures]
+    wide = known.groupBy(*keys).agg(*firsts).select(*keys, *best)
+    return to_long(wide, keys, value="new_val", as_text=as_text).where("new_val IS NOT NULL")

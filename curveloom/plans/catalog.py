@@ -148,6 +148,11 @@ def _auction_reconcile(spark, folder):
     return auctions.reconcile_auctions(_history_a(spark, folder), _history_b(spark, folder), with_conflict=True)
 
 
+def _auction_reconcile_wide(spark, folder):
+    left, right = (auctions.typed_auctions(h(spark, folder), ["row"]) for h in (a.history_a, a.history_b))
+    return auctions.reconcile_histories(left, right, a.AUCTION_COLUMNS)
+
+
 def _quote_completeness(spark, folder):
     sides = _sides(spark, folder)
     return sides.withColumn("all_missing", F.col("n_missing") == len(a.QUOTE_SIDES))
@@ -223,10 +228,11 @@ QUERIES: dict[str, Query] = {
     "auction_filtered": _auctions,
     "auction_long": _history_a,
     "auction_reconcile": _auction_reconcile,
+    "auction_reconcile_wide": _auction_reconcile_wide,
     "observed_union": _observed_union,
     "observed_dedup": lambda s, f: auctions.observed_dedup(_observed(s, f)),
     "observed_first": lambda s, f: auctions.observed_first(_observed(s, f)),
-    "observed_reconcile": lambda s, f: auctions.reconcile_observed(_observed(s, f)),
+    "observed_reconcile": lambda s, f: auctions.reconcile_observed(_observed_union(s, f)),
     # Quotes
     "quote_ingest_long": _quotes,
     "tenor_dimension": lambda s, f: quotes.tenor_dimension(_quotes(s, f)),

@@ -342,6 +342,9 @@ SELECTS: dict[str, tuple[str, str]] = {
 }
 
 
+SELECTS["auction_reconcile_wide"] = SELECTS["auction_reconcile"]
+
+
 def _needed(names: str, seen: dict[str, str]) -> dict[str, str]:
     """The shared tables behind ``names``, each after those it reads."""
     for name in names.split():

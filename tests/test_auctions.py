@@ -29,6 +29,19 @@ def test_conflicts_resolve_to_the_left(spark):
     assert auctions.reconcile_auctions(left, right).columns == ["cusip", "variable", "value"]
 
 
+def test_wide_and_long_reconciliation_agree(spark):
+    ids = ["cusip", "record_date", "security_term"]
+    schema = "cusip string, record_date date, security_term string, a int"
+    left = spark.createDataFrame([("x", day(1), "n", 1, 5.0), ("y", day(1), "n", None, None), (None, day(1), "n", 1, 1.0)],
+                                 schema + ", b double")
+    right = spark.createDataFrame([("x", day(1), "n", 2, "q"), ("y", day(1), "n", 4, None), ("z", day(2), "n", 7, "r")],
+                                  schema + ", c string")
+    wide = auctions.reconcile_histories(left, right, ["cusip"])
+    long = auctions.reconcile_auctions(*[auctions.auction_long(df, ["cusip"]) for df in (left, right)], with_conflict=True)
+    assert rows(wide.select(*ids, "variable", "value", "conflict")) == rows(long.select(*ids, "variable", "value", "conflict"))
+    assert wide.count() == 6
+
+
 def vintages(spark):
     """Every pattern of presence over three vintages, each with values of its own."""
     data = {v: [] for v in VINTAGES}
@@ -39,7 +52,7 @@ def vintages(spark):
 
 
 def test_first_vintage_with_a_value_wins(spark):
-    found = auctions.reconcile_observed(auctions.observed_long(auctions.observed_union(vintages(spark))))
+    found = auctions.reconcile_observed(auctions.observed_union(vintages(spark)))
     values = {r.Description: r.new_val for r in found.collect()}
     assert values == {"s0": 1.0, "s1": 1.0, "s2": 1.0, "s3": 1.0, "s4": 2.0, "s5": 2.0, "s6": 3.0}
     assert found.columns == ["Action", "Description", "last_updated", "variable", "new_val"]

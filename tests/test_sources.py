@@ -49,7 +49,7 @@ def test_observed_files_are_tagged_by_vintage(spark, tmp_path):
         tmp_path / "market_observed_usts_auctioned_after_2010.parquet", index=False)
     pd.DataFrame({**base, "price": [9.0]}).to_parquet(tmp_path / "something_else.parquet", index=False)
     union = tables.read_observed(spark, str(tmp_path), ["row"])
-    found = auctions.reconcile_observed(auctions.observed_long(union))
+    found = auctions.reconcile_observed(union)
     assert {(r.variable, r.new_val) for r in found.collect()} == {("price", 1.0), ("coupon", 3.0)}
 
 
