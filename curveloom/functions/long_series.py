@@ -10,12 +10,14 @@ order, and no task ever sorts more than one slice (or one block) of one series:
   next: two shuffles of the rows, and copies bounded by frame length / block length.
 
 The results equal those of the plain windows in ``series``, up to the last bits of floating sums. The input is
-read several times (range of the order, slice totals, rows), so hand in a stored table or a ``checkpointed`` one.
+read several times (cuts, slice totals, rows), so hand in a stored table or a ``checkpointed`` one.
 """
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from math import ceil, isqrt
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,40 +28,53 @@ from curveloom.functions.series import cumulative_growth, cumulative_sum, runnin
 SLICE, INDEX, BLOCK = "_slice", "_index", "_block"
 
 
+# Slices grow with the square root of the rows, so that neither one slice nor the list of slices gets long.
+MAX_SLICES = 20_000
+SAMPLED_ROWS_PER_SLICE = 50
+
+
 @dataclass(frozen=True)
 class LongSeries:
-    """``keys`` name a series; ``order`` is one column, unique within a series. All of them are complete.
+    """How a table's series are cut; made by ``cut``.
 
-    ``rows_per_slice`` defaults to the square root of the table's row count: then neither the sort of a slice
-    nor the window over a series' slices outgrows a task (a million rows each for a trillion).
+    ``keys`` name a series; ``order`` is one column, unique within a series. All of them are complete.
     """
 
     keys: Sequence[str]
     order: str
-    rows_per_slice: int | None = None
+    cuts: Sequence[float]
+    rows_per_slice: int
 
     def across_slices(self) -> WindowSpec:
         """The slices of a series: as many rows as it has slices."""
         return Window.partitionBy(*self.keys).orderBy(SLICE)
 
-    def slice_rows(self, count: Column) -> Column:
-        return F.lit(self.rows_per_slice) if self.rows_per_slice else F.ceil(F.sqrt(count))
-
     def within_slice(self) -> WindowSpec:
         return Window.partitionBy(*self.keys, SLICE).orderBy(self.order)
 
 
-def with_slices(df: DataFrame, spec: LongSeries) -> DataFrame:
-    """Adds the slice number: equal widths of the order column, about the asked-for rows each.
+def cut(df: DataFrame, keys: Sequence[str], order: str, slices: int | None = None) -> LongSeries:
+    """Chooses the cuts: quantiles of the order column over the whole table, so that slices hold equal counts.
 
-    The width comes from the column's own range and count, as scalar subqueries over a one-column scan. Both
-    uses of the slice in a plan see the same width, so the cut does not depend on how tasks are placed.
+    No key can bring more rows to a slice than the slice holds, and neither bursts nor stray far-off values of
+    the order column unbalance the slices. This runs a count and a scan of that one column. The quantiles come
+    from a sample of it, as those of range partitioning do; they decide where a task's work ends, never a result.
     """
-    at = _position(df, spec.order)
-    bounds = df.agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count(F.lit(1)).alias("n"))
-    slices = F.ceil(F.col("n") / spec.slice_rows(F.col("n")))
-    width = bounds.select(F.ceil((F.col("hi") - F.col("lo") + 1) / slices)).scalar()
-    return df.withColumn(SLICE, F.floor((at - bounds.select("lo").scalar()) / width))
+    rows = df.count()
+    slices = slices or max(1, min(MAX_SLICES, isqrt(rows)))
+    share = min(1.0, SAMPLED_ROWS_PER_SLICE * slices / max(rows, 1))
+    at = df.select(_position(df, order).alias("at")).sample(share, seed=0)
+    cuts = at.approxQuantile("at", [i / slices for i in range(1, slices)], 0.25 / slices) if slices > 1 else []
+    return LongSeries(keys, order, sorted(set(cuts)), ceil(rows / slices))
+
+
+def with_slices(df: DataFrame, spec: LongSeries) -> DataFrame:
+    """Adds the slice number, found by binary search in the cuts."""
+    if not spec.cuts:
+        return df.withColumn(SLICE, F.lit(0))
+    splits = [-float("inf"), *spec.cuts, float("inf")]
+    sliced = Bucketizer(splits=splits, inputCol="_at", outputCol=SLICE).transform(df.withColumn("_at", _position(df, spec.order)))
+    return sliced.withColumn(SLICE, F.col(SLICE).cast("int")).drop("_at")
 
 
 def difference(df: DataFrame, spec: LongSeries, value: str, out: str) -> DataFrame:
@@ -116,8 +131,7 @@ def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str],
     The frame of a row is the end of one run of ``rows`` rows and the start of the next. Its statistics are
     those of the two parts merged, each a running aggregate, so the work per row does not grow with ``rows``.
     """
-    count = df.agg(F.count(F.lit(1)).alias("n"))
-    block_rows = count.select(rows * F.ceil(spec.slice_rows(F.col("n")) / rows)).scalar()
+    block_rows = rows * ceil(max(spec.rows_per_slice, 1) / rows)
     blocks = _with_blocks(with_index(df, spec), block_rows, rows).repartition(*spec.keys, BLOCK)
     run = F.floor(F.col(INDEX) / rows).alias("_run")
     runs = Window.partitionBy(*spec.keys, BLOCK, "_run")
@@ -142,7 +156,7 @@ def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str],
     return frames.select(*[c for c in df.columns if c not in scores], *results)
 
 
-def _with_blocks(indexed: DataFrame, block_rows: Column, halo: int) -> DataFrame:
+def _with_blocks(indexed: DataFrame, block_rows: int, halo: int) -> DataFrame:
     """Adds the block number; each block's last ``halo`` rows also appear in the next block."""
     own = F.floor(F.col(INDEX) / block_rows)
     both = F.when(F.col(INDEX) % block_rows >= block_rows - halo, F.array(own, own + 1)).otherwise(F.array(own))
@@ -185,9 +199,11 @@ def _before(window: WindowSpec) -> WindowSpec:
 
 
 def _position(df: DataFrame, order: str) -> Column:
-    """A number that never falls where the order column rises; to the second for times."""
+    """A double that never falls where the order column rises; to the second for times."""
     kind, column = df.schema[order].dataType, F.col(order)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         day = F.unix_date(column.cast("date")).cast("long")
-        return ((day * 24 + F.hour(column)) * 60 + F.minute(column)) * 60 + F.second(column)
-    return F.unix_date(column) if isinstance(kind, T.DateType) else column
+        position = ((day * 24 + F.hour(column)) * 60 + F.minute(column)) * 60 + F.second(column)
+    else:
+        position = F.unix_date(column) if isinstance(kind, T.DateType) else column
+    return position.cast("double")

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curveloom.config import CARRY_DAYS, DAYS_PER_WEEK, IMPUTED_SIDES, QUOTE_SIDES, ZSCORE_CUTOFF, ZSCORE_WINDOW
-from curveloom.functions.long_series import LongSeries, rolling_zscores
+from curveloom.functions.long_series import LongSeries, cut, rolling_zscores
 from curveloom.functions.reshape import stacked, to_long, to_wide
 from curveloom.functions.scalar import first_token, last_token, present_count, row_mean
 from curveloom.functions.series import rolling_zscore, series
@@ -137,13 +137,14 @@ def cleaned_quotes(
 def cleaned_long_history(
     quotes: DataFrame, window_rows: int = ZSCORE_WINDOW, cutoff: float = ZSCORE_CUTOFF,
     sides: Sequence[str] = QUOTE_SIDES, impute_sides: Sequence[str] = IMPUTED_SIDES,
-    history: LongSeries = LongSeries(["tenor"], "date"),
+    slices: int | None = None,
 ) -> DataFrame:
     """As ``cleaned_quotes``, for tenors with histories too long for one task.
 
     The imputed and the scored rows are each read more than once, so both are kept in the checkpoint folder.
     """
     filled = checkpointed(imputed(partial_rows(sides_wide(quotes, sides), sides), sides, impute_sides))
+    history = cut(filled, ["tenor"], "date", slices)
     scored = checkpointed(with_zscores(filled, window_rows, sides, history))
     return replaced(scored, cutoff, sides, gather_tenors=False)
 

@@ -6,6 +6,7 @@ literals and only ``min``/``max`` are used, so any engine gets the same bits.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from curveloom.config import QUOTE_SIDES, RISK_VARIABLES, UNIVERSE, VINTAGES
 from curveloom.operators.universe import etf_table, universe_table
@@ -18,10 +19,15 @@ EVENT_SIDES = {"click": "bid", "view": "eod", "purchase": "mid", "signup": "offe
 VINTAGE_START = {"auctioned_after_2000": "1995-01-01", "auctioned_after_2005": "1997-01-01", "auctioned_after_2010": "1999-01-01"}
 AUCTION_INDEX = ("row", "part")
 AUCTION_COLUMNS = ("cusip", "auction_date", "issue_date")
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A test table. Its schema is read from the files once per process, not once per query."""
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def universe(spark: SparkSession, folder: str) -> DataFrame:

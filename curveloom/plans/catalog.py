@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curveloom.functions import long_series, reshape
-from curveloom.functions.long_series import LongSeries
 from curveloom.operators import auctions, compare, flies, links, quotes, returns, spreads, universe
 from curveloom.plans import adapters as a
 
@@ -17,7 +16,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The test tables are short, so the outlier rule that shows both of its branches on them is a tighter one.
 SHORT_WINDOW, SHORT_CUTOFF = 50, 4.0
-TICK_SERIES = LongSeries(["event_type"], "event_id")
 TICK_WINDOW = 200
 
 
@@ -176,14 +174,29 @@ def _page_links(spark, folder):
     return links.page_links(a.pages(spark, folder), links.site_root(F.col("url")))
 
 
+def _ticks(spark, folder):
+    """All ticks and how their series, one per event type, are cut."""
+    ticks = a.ticks(spark, folder)
+    return ticks, long_series.cut(ticks, ["event_type"], "event_id")
+
+
+def _tick_diff(spark, folder):
+    return long_series.difference(*_ticks(spark, folder), "value", "diff")
+
+
+def _tick_pct_change(spark, folder):
+    return long_series.pct_change(*_ticks(spark, folder), "value", "change")
+
+
 def _tick_cumulative(spark, folder):
-    rated = a.ticks(spark, folder).withColumn("rate", (F.col("value") - 5e1) / 1e5)
-    total = long_series.cumulative(rated, TICK_SERIES, {"cum_value": "value"}, {"growth": "rate"})
+    ticks, series = _ticks(spark, folder)
+    rated = ticks.withColumn("rate", (F.col("value") - 5e1) / 1e5)
+    total = long_series.cumulative(rated, series, {"cum_value": "value"}, {"growth": "rate"})
     return _rounded(total.drop("rate"), "cum_value", "growth", digits=6)
 
 
 def _tick_zscore(spark, folder):
-    scored = long_series.rolling_zscores(a.ticks(spark, folder), TICK_SERIES, {"z_score": "value"}, TICK_WINDOW)
+    scored = long_series.rolling_zscores(*_ticks(spark, folder), {"z_score": "value"}, TICK_WINDOW)
     return _rounded(scored, "z_score", digits=6)
 
 
@@ -250,8 +263,8 @@ QUERIES: dict[str, Query] = {
     # Pages
     "page_links": _page_links,
     # The series operators on tick histories, whose few keys each hold a large part of the rows
-    "tick_diff": lambda s, f: long_series.difference(a.ticks(s, f), TICK_SERIES, "value", "diff"),
-    "tick_pct_change": lambda s, f: long_series.pct_change(a.ticks(s, f), TICK_SERIES, "value", "change"),
+    "tick_diff": _tick_diff,
+    "tick_pct_change": _tick_pct_change,
     "tick_cumulative": _tick_cumulative,
     "tick_rolling_zscore": _tick_zscore,
 }

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from curveloom.functions import long_series as ls
 from curveloom.functions import series as ss
 
-SLICES = [1, 23, None]
+SLICES = [1, 40, None]
 def w():
     return ss.series(["k"], ["t"])
 
@@ -35,46 +35,46 @@ def same(actual, expected, column):
         assert got[key] == (None if value is None else pytest.approx(value, rel=1e-9, abs=1e-12)), key
 
 
-@pytest.mark.parametrize("size", SLICES)
-def test_difference(ticks, size):
-    spec = ls.LongSeries(["k"], "t", size)
+@pytest.mark.parametrize("slices", SLICES)
+def test_difference(ticks, slices):
+    spec = ls.cut(ticks, ["k"], "t", slices)
     same(ls.difference(ticks, spec, "x", "d"), ticks.withColumn("d", ss.difference(F.col("x"), w())), "d")
 
 
-@pytest.mark.parametrize("size", SLICES)
-def test_pct_change(ticks, size):
-    spec = ls.LongSeries(["k"], "t", size)
+@pytest.mark.parametrize("slices", SLICES)
+def test_pct_change(ticks, slices):
+    spec = ls.cut(ticks, ["k"], "t", slices)
     same(ls.pct_change(ticks, spec, "x", "p"), ss.with_pct_change(ticks, "x", "p", w()), "p")
 
 
-@pytest.mark.parametrize("size", SLICES)
-def test_cumulative(ticks, size):
+@pytest.mark.parametrize("slices", SLICES)
+def test_cumulative(ticks, slices):
     rated = ticks.withColumn("r", F.col("x") / 1000)
-    actual = ls.cumulative(rated, ls.LongSeries(["k"], "t", size), {"s": "x"}, {"g": "r"})
+    actual = ls.cumulative(rated, ls.cut(rated, ["k"], "t", slices), {"s": "x"}, {"g": "r"})
     assert set(actual.columns) == {"k", "t", "x", "r", "s", "g"}
     same(actual, rated.withColumn("s", ss.cumulative_sum(F.col("x"), w())), "s")
     same(actual, rated.withColumn("g", ss.cumulative_growth(F.col("r"), w())), "g")
 
 
-@pytest.mark.parametrize("size", SLICES)
-def test_index_counts_every_row_once(ticks, size):
-    got = ls.with_index(ticks, ls.LongSeries(["k"], "t", size)).collect()
+@pytest.mark.parametrize("slices", SLICES)
+def test_index_counts_every_row_once(ticks, slices):
+    got = ls.with_index(ticks, ls.cut(ticks, ["k"], "t", slices)).collect()
     for key in {r.k for r in got}:
         of_key = sorted((r.t, r[ls.INDEX]) for r in got if r.k == key)
         assert [i for _, i in of_key] == list(range(len(of_key)))
 
 
-@pytest.mark.parametrize("size", SLICES)
+@pytest.mark.parametrize("slices", SLICES)
 @pytest.mark.parametrize("rows", [2, 30])
-def test_zscore(ticks, size, rows):
-    spec = ls.LongSeries(["k"], "t", size)
+def test_zscore(ticks, slices, rows):
+    spec = ls.cut(ticks, ["k"], "t", slices)
     actual = ls.rolling_zscores(ticks, spec, {"z": "x"}, rows)
     same(actual, ticks.withColumn("z", ss.rolling_zscore(F.col("x"), w(), rows)), "z")
 
 
 def test_several_zscores_and_equal_values(spark):
     df = spark.createDataFrame([("a", i, 5.0, float(i * i)) for i in range(40)], "k string, t long, x double, y double")
-    actual = ls.rolling_zscores(df, ls.LongSeries(["k"], "t", 8), {"zx": "x", "zy": "y"}, 6)
+    actual = ls.rolling_zscores(df, ls.cut(df, ["k"], "t", 6), {"zx": "x", "zy": "y"}, 6)
     assert {r.zx for r in actual.collect()} == {None}
     same(actual, df.withColumn("zy", ss.rolling_zscore(F.col("y"), w(), 6)), "zy")
 
@@ -86,11 +86,21 @@ def test_order_types(spark, kind):
     raw = spark.createDataFrame([("a", t, i, float(i % 7)) for i, t in enumerate(times)], "k string, t timestamp, n int, x double")
     df = raw.withColumn("t", (F.unix_micros("t") / 1e6 if kind == "double" else F.col("t").cast(kind)))
     same(
-        ls.cumulative(df, ls.LongSeries(["k"], "t", 9), {"s": "x"}),
+        ls.cumulative(df, ls.cut(df, ["k"], "t"), {"s": "x"}),
         df.withColumn("s", ss.cumulative_sum(F.col("x"), w())), "s")
 
 
-def test_slices_bound_the_rows_of_a_hot_key(spark):
-    df = spark.range(10_000).withColumnRenamed("id", "t").withColumn("k", F.lit("hot"))
-    sizes = ls.with_slices(df, ls.LongSeries(["k"], "t")).groupBy("k", ls.SLICE).count().collect()
-    assert max(r["count"] for r in sizes) <= 100 and len(sizes) == 100
+@pytest.mark.parametrize("stray", [False, True])
+def test_slices_bound_the_rows_of_a_hot_key(spark, stray):
+    """Equal counts per slice for one key, with bursts and with an order value far off the others."""
+    df = spark.range(10_000).select(F.lit("hot").alias("k"), F.pow(F.col("id"), 3).alias("t"))
+    if stray:
+        df = df.union(spark.createDataFrame([("hot", 1e30), ("hot", -1e30)], "k string, t double"))
+    sizes = ls.with_slices(df, ls.cut(df, ["k"], "t")).groupBy("k", ls.SLICE).count().collect()
+    assert len(sizes) == 100 and max(r["count"] for r in sizes) <= 200
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "k string, t long, x double")
+    spec = ls.cut(df, ["k"], "t")
+    assert ls.difference(df, spec, "x", "d").count() == ls.rolling_zscores(df, spec, {"z": "x"}, 5).count() == 0

@@ -4,7 +4,6 @@ import statistics
 import pytest
 
 from conftest import day, rows
-from curveloom.functions.long_series import LongSeries
 from curveloom.operators import quotes
 
 SIDES = ("bid", "eod", "mid", "offer")
@@ -77,11 +76,10 @@ def test_cleaning_against_the_model(spark):
     same(cleaned(spark, data, 20, 3.5), want)
 
 
-@pytest.mark.parametrize("size", [7, None])
-def test_long_history_cleaning_against_the_model(spark, size):
+@pytest.mark.parametrize("slices", [9, None])
+def test_long_history_cleaning_against_the_model(spark, slices):
     data = random_quotes()
-    found = quotes.cleaned_long_history(
-        long_quotes(spark, data), 20, 3.5, history=LongSeries(["tenor"], "date", size))
+    found = quotes.cleaned_long_history(long_quotes(spark, data), 20, 3.5, slices=slices)
     same({(r.date, r.tenor, r.variable): (r.value, r.replace_value) for r in found.collect()}, model(data, 20, 3.5))
 
 
