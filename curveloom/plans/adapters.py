@@ -38,31 +38,41 @@ def etfs(spark: SparkSession, folder: str) -> DataFrame:
     return etf_table(spark)
 
 
-def risk(spark: SparkSession, folder: str) -> DataFrame:
-    """Order priorities as securities; the ultra-long one has no convexity on the first of a month."""
+def risk(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFrame:
+    """Order priorities as securities; the ultra-long one has no convexity on the first of a month.
+
+    ``by_nation`` gives each customer nation a panel of its own, told apart by ``curve``.
+    """
+    orders, by = table(spark, folder, "orders"), []
+    if by_nation:
+        customers = table(spark, folder, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS curve")
+        orders, by = orders.join(customers, "o_custkey"), ["curve"]
     security = _choose("o_orderpriority", {p: f"{s} Comdty" for p, s in zip(PRIORITIES, UNIVERSE)})
     years = _choose("o_orderpriority", dict(zip(PRIORITIES, UNIVERSE.values())))
     daily = (
-        table(spark, folder, "orders")
-        .groupBy(F.to_date("o_orderdate").alias("date"), security.alias("security"), years.alias("years"))
+        orders.groupBy(*by, F.to_date("o_orderdate").alias("date"), security.alias("security"), years.alias("years"))
         .agg(F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"))
     )
     duration, convexity = RISK_VARIABLES
     wide = daily.selectExpr(
-        "date", "security",
+        *by, "date", "security",
         f"years * 8e-1 + high / 1e6 AS {duration}",
         f"if(years = 30 AND day(date) = 1, NULL, years * years / 1e2 + low / 1e6) AS {convexity}",
     )
-    return wide.unpivot(["date", "security"], [duration, convexity], "variable", "value").where("value IS NOT NULL")
+    return wide.unpivot([*by, "date", "security"], [duration, convexity], "variable", "value").where("value IS NOT NULL")
 
 
-def yields(spark: SparkSession, folder: str) -> DataFrame:
-    """Line numbers as constant-maturity series."""
+def yields(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFrame:
+    """Line numbers as constant-maturity series; ``by_nation`` gives each supplier nation its own."""
+    lines, by = table(spark, folder, "lineitem"), []
+    if by_nation:
+        suppliers = table(spark, folder, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS curve")
+        lines, by = lines.join(suppliers, "l_suppkey"), ["curve"]
     cells = [
         F.expr(f"min(l_extendedprice) FILTER (WHERE l_linenumber % 5 = {k}) / 2e4 + 1e-1 AS {n}")
         for k, n in enumerate(YIELD_SERIES)
     ]
-    return table(spark, folder, "lineitem").groupBy(F.to_date("l_shipdate").alias("date")).agg(*cells)
+    return lines.groupBy(*by, F.to_date("l_shipdate").alias("date")).agg(*cells)
 
 
 def front_prices(spark: SparkSession, folder: str) -> DataFrame:

@@ -37,6 +37,11 @@ def _returns(spark, folder):
     return returns.synthetic_returns(a.risk(spark, folder), a.yields(spark, folder), a.universe(spark, folder))
 
 
+def _nation_returns(spark, folder):
+    return returns.synthetic_returns(
+        a.risk(spark, folder, by_nation=True), a.yields(spark, folder, by_nation=True), a.universe(spark, folder), by=["curve"])
+
+
 def _pairs(spark, folder):
     return universe.tenor_pairs(a.universe(spark, folder))
 
@@ -128,6 +133,12 @@ def _yield_long(spark, folder):
     return returns.within_range(returns.yields_long(a.yields(spark, folder)), span)
 
 
+def _nation_spread_cumulative(spark, folder):
+    by = ["curve"]
+    panel = spreads.steepener_panel(_nation_returns(spark, folder), _pairs(spark, folder), ["bnd_rtn"], by)
+    return _rounded(spreads.cumulative_spread(spreads.return_legs(panel, by), by), "spread_rtn")
+
+
 def _strategy_labels(spark, folder):
     steepeners = _steepener_durations(spark, folder).select(F.col("steepener").alias("label"))
     fly_labels = _fly_durations(spark, folder).select(F.col("fly").alias("label"))
@@ -210,6 +221,7 @@ QUERIES: dict[str, Query] = {
     "curve_join": _curve,
     "yield_diff": lambda s, f: returns.yield_differences(_curve(s, f)),
     "synthetic_returns": _returns,
+    "nation_returns": _nation_returns,
     # Steepeners
     "pair_universe": lambda s, f: universe.tenor_pairs(_observed_universe(s, f)),
     "pair_weights": lambda s, f: spreads.pair_weights(_returns(s, f), _pairs(s, f)),
@@ -219,6 +231,7 @@ QUERIES: dict[str, Query] = {
     "spread_return_legs": _spread_legs,
     "spread_leg_cumulative": lambda s, f: _rounded(spreads.cumulative_legs(_spread_legs(s, f)), "cum_rtn"),
     "spread_cumulative": lambda s, f: _rounded(spreads.cumulative_spread(_spread_legs(s, f)), "spread_rtn"),
+    "nation_spread_cumulative": _nation_spread_cumulative,
     # Flies
     "triple_universe": lambda s, f: universe.tenor_triples(_observed_universe(s, f)),
     "fly_weights": lambda s, f: flies.fly_weights(_returns(s, f), _triples(s, f)),

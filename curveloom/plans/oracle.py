@@ -64,6 +64,41 @@ TABLES: dict[str, tuple[str, str]] = {
     "pair_w": ("pair_lags", """
         SELECT date, steepener, long, short, inv_long / (inv_long + inv_short) AS w_long, inv_short / (inv_long + inv_short) AS w_short
         FROM pair_lags WHERE inv_long IS NOT NULL AND inv_short IS NOT NULL"""),
+    "nation_daily": ("", """
+        SELECT c.c_nationkey AS curve, cast(o.o_orderdate AS date) AS date,
+            CASE o_orderpriority WHEN '1-URGENT' THEN 2 WHEN '2-HIGH' THEN 5 WHEN '3-MEDIUM' THEN 7
+                WHEN '4-NOT SPECIFIED' THEN 10 ELSE 30 END AS years,
+            max(o_totalprice) AS high, min(o_totalprice) AS low
+        FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY 1, 2, 3"""),
+    "nation_yields": ("", """
+        SELECT curve, date, n AS years, min(price) / 2e4 + 1e-1 AS yield
+        FROM (SELECT d.curve, d.date, s.n, l.l_extendedprice AS price
+            FROM (SELECT DISTINCT s_nationkey AS curve, cast(l_shipdate AS date) AS date
+                FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) d
+            CROSS JOIN (VALUES (0, 2), (1, 5), (2, 7), (3, 10), (4, 30)) AS s(k, n)
+            LEFT JOIN (SELECT * FROM lineitem JOIN supplier ON s_suppkey = l_suppkey) l
+                ON l.s_nationkey = d.curve AND cast(l.l_shipdate AS date) = d.date AND l.l_linenumber % 5 = s.k)
+        GROUP BY curve, date, n"""),
+    "nation_rets": ("nation_daily nation_yields", """
+        SELECT *, yld / 360 + dur_rtn + cvx_rtn AS bnd_rtn FROM (
+            SELECT *, -yld_diff * duration AS dur_rtn, 0.5::DOUBLE * (yld_diff * yld_diff) * convexity AS cvx_rtn FROM (
+                SELECT d.curve, d.date, d.years * 8e-1 + d.high / 1e6 AS duration,
+                    d.years * d.years / 1e2 + d.low / 1e6 AS convexity, 'DGS' || d.years AS yield_tenor, y.yield / 100 AS yld,
+                    y.yield / 100 - lag(y.yield / 100) OVER (PARTITION BY d.curve, d.years ORDER BY d.date) AS yld_diff
+                FROM nation_daily d JOIN nation_yields y ON y.curve = d.curve AND y.date = d.date AND y.years = d.years
+                WHERE NOT (d.years = 30 AND day(d.date) = 1))
+            WHERE yld IS NOT NULL AND yld_diff IS NOT NULL)"""),
+    "nation_lags": ("nation_rets pairs", """
+        SELECT d.*, l.bnd_rtn AS long_rtn, s.bnd_rtn AS short_rtn, lag(1 / l.duration) OVER w AS inv_long,
+            lag(1 / s.duration) OVER w AS inv_short
+        FROM (SELECT DISTINCT p.*, r.curve, r.date FROM pairs p JOIN nation_rets r ON r.yield_tenor IN (p.long, p.short)) d
+            LEFT JOIN nation_rets l ON l.curve = d.curve AND l.date = d.date AND l.yield_tenor = d.long
+            LEFT JOIN nation_rets s ON s.curve = d.curve AND s.date = d.date AND s.yield_tenor = d.short
+        WINDOW w AS (PARTITION BY d.curve, d.steepener ORDER BY d.date)"""),
+    "nation_spreads": ("nation_lags", """
+        SELECT curve, date, steepener, inv_long / (inv_long + inv_short) * long_rtn
+            - inv_short / (inv_long + inv_short) * short_rtn AS net
+        FROM nation_lags WHERE inv_long IS NOT NULL AND inv_short IS NOT NULL"""),
     "ret_long": ("rets", """
         SELECT * FROM rets UNPIVOT (value FOR var IN (duration, convexity, yld, yld_diff, dur_rtn, cvx_rtn, bnd_rtn))"""),
     "steepeners": ("pair_w ret_long", """
@@ -228,6 +263,11 @@ SELECTS: dict[str, tuple[str, str]] = {
     "curve_join": ("curve", "SELECT * FROM curve"),
     "yield_diff": ("diffs", "SELECT * FROM diffs"),
     "synthetic_returns": ("rets", "SELECT * FROM rets"),
+    "nation_returns": ("nation_rets", "SELECT * FROM nation_rets"),
+    "nation_spread_cumulative": ("nation_spreads", """
+        SELECT curve, date, steepener, CASE WHEN net IS NOT NULL THEN round(sum(net)
+            OVER (PARTITION BY curve, steepener ORDER BY date ROWS UNBOUNDED PRECEDING), 9) END AS spread_rtn
+        FROM nation_spreads"""),
     "pair_universe": ("held", """
         SELECT a.maturity || 's' || b.maturity || 's steepener' AS steepener, a.yield_tenor AS long, b.yield_tenor AS short
         FROM held a JOIN held b ON a.maturity < b.maturity"""),

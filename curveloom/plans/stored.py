@@ -8,21 +8,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curveloom.config import VINTAGES, ZSCORE_CUTOFF, ZSCORE_WINDOW
+from curveloom.config import TENOR_PREFIX, UNIVERSE, VINTAGES, ZSCORE_CUTOFF, ZSCORE_WINDOW
 from curveloom.operators import auctions, flies, quotes, returns, spreads, universe
 from curveloom.sources import tables
 from curveloom.sources.store import materialize
 
+TENORS = tuple(f"{TENOR_PREFIX}{maturity}" for maturity in UNIVERSE.values())
+
 
 def synthetic_returns(
     spark: SparkSession, folder: str, risk_paths: Sequence[str], yield_paths: Sequence[str],
-    securities: DataFrame | None = None, refresh: bool = False,
+    securities: DataFrame | None = None, tenors: Sequence[str] = TENORS, refresh: bool = False,
 ) -> DataFrame:
+    """``tenors`` are the columns to read from the yield panel."""
     def build() -> DataFrame:
-        held = _universe(spark, securities)
-        labels = [r.yield_tenor for r in held.select("yield_tenor").collect()]  # as many as the universe has rows
-        yields = tables.read_panel(spark, yield_paths, labels)
-        return returns.synthetic_returns(tables.read_risk(spark, risk_paths), yields, held)
+        yields = tables.read_panel(spark, yield_paths, tenors)
+        return returns.synthetic_returns(tables.read_risk(spark, risk_paths), yields, _universe(spark, securities))
     return materialize(spark, f"{folder}/synthetic_returns", build, refresh=refresh)
 
 

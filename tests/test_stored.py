@@ -21,7 +21,8 @@ def test_returns_and_strategies(spark, tmp_path):
     save_inputs(tmp_path)
     held = universe.universe_table(spark, {"TU1": 2, "FV1": 5, "WN1": 30})
     out = str(tmp_path / "out")
-    daily = stored.synthetic_returns(spark, out, [str(tmp_path / "risk.parquet")], [str(tmp_path / "yields.parquet")], held)
+    daily = stored.synthetic_returns(spark, out, [str(tmp_path / "risk.parquet")], [str(tmp_path / "yields.parquet")], held,
+                                     ["DGS2", "DGS5", "DGS30"])
     assert daily.count() == 18
     (tmp_path / "risk.parquet").unlink()
     assert stored.synthetic_returns(spark, out, ["gone"], ["gone"], held).count() == 18
