@@ -73,7 +73,8 @@ def with_slices(df: DataFrame, spec: LongSeries) -> DataFrame:
     if not spec.cuts:
         return df.withColumn(SLICE, F.lit(0))
     splits = [-float("inf"), *spec.cuts, float("inf")]
-    sliced = Bucketizer(splits=splits, inputCol="_at", outputCol=SLICE).transform(df.withColumn("_at", _position(df, spec.order)))
+    cutter = Bucketizer(splits=splits, inputCol="_at", outputCol=SLICE)
+    sliced = cutter.transform(df.withColumn("_at", _position(df, spec.order)))
     return sliced.withColumn(SLICE, F.col(SLICE).cast("int")).drop("_at")
 
 
@@ -133,14 +134,13 @@ def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str],
     """
     block_rows = rows * ceil(max(spec.rows_per_slice, 1) / rows)
     blocks = _with_blocks(with_index(df, spec), block_rows, rows).repartition(*spec.keys, BLOCK)
-    run = F.floor(F.col(INDEX) / rows).alias("_run")
     runs = Window.partitionBy(*spec.keys, BLOCK, "_run")
     # All three windows use the one shuffle on the block, the last two also the same sort.
     ended = running(runs.orderBy(F.desc(INDEX)))
     started = running(runs.orderBy(INDEX))
     series = Window.partitionBy(*spec.keys, BLOCK).orderBy("_run", INDEX)
     parts = (
-        blocks.withColumn("_run", run)
+        blocks.withColumn("_run", F.floor(F.col(INDEX) / rows))
         .withColumns({f"_end_{out}": _moments(value, ended) for out, value in scores.items()})
         .withColumns({f"_start_{out}": _moments(value, started) for out, value in scores.items()})
         .withColumns({f"_end_{out}": F.lag(f"_end_{out}", rows - 1).over(series) for out in scores})
@@ -199,11 +199,13 @@ def _before(window: WindowSpec) -> WindowSpec:
 
 
 def _position(df: DataFrame, order: str) -> Column:
-    """A double that never falls where the order column rises; to the second for times."""
+    """A double that never falls where the order column rises, whatever the session's time zone."""
     kind, column = df.schema[order].dataType, F.col(order)
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        day = F.unix_date(column.cast("date")).cast("long")
-        position = ((day * 24 + F.hour(column)) * 60 + F.minute(column)) * 60 + F.second(column)
-    else:
-        position = F.unix_date(column) if isinstance(kind, T.DateType) else column
-    return position.cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        minute = (F.unix_date(column.cast("date")).cast("long") * 24 + F.hour(column)) * 60 + F.minute(column)
+        return minute.cast("double") * 60 + F.extract(F.lit("SECOND"), column).cast("double")
+    if isinstance(kind, T.TimestampType):
+        column = F.unix_micros(column)
+    elif isinstance(kind, T.DateType):
+        column = F.unix_date(column)
+    return column.cast("double")

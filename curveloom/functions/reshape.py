@@ -20,7 +20,9 @@ def to_long(
     return df.unpivot(list(ids), values, variable, value)
 
 
-def to_wide(df: DataFrame, keys: Sequence[str], column: str, value: str, names: Mapping[str, str] | Sequence[str]) -> DataFrame:
+def to_wide(
+    df: DataFrame, keys: Sequence[str], column: str, value: str, names: Mapping[str, str] | Sequence[str],
+) -> DataFrame:
     """One row per key, one column per name: a single map-side-combined aggregation.
 
     ``names`` lists the variables to keep, or maps them to output names, so the schema never depends on data.

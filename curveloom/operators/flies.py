@@ -14,7 +14,9 @@ POSITIONS = ("short", "bullet", "long")
 WEIGHTS = ("short_weight", "long_weight", "bullet_weight")
 
 
-def weighted_flies(returns: DataFrame, triples: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = ()) -> DataFrame:
+def weighted_flies(
+    returns: DataFrame, triples: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = (),
+) -> DataFrame:
     """Legs with weights from the previous complete row.
 
     Dates lacking a leg are dropped before the lag, the opposite order to the pairs.
@@ -35,7 +37,9 @@ def fly_weights(returns: DataFrame, triples: DataFrame, by: Sequence[str] = ())
     return weighted_flies(returns, triples, ("duration",), by).select(*by, "date", *WEIGHTS, "fly")
 
 
-def fly_panel(returns: DataFrame, triples: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = ()) -> DataFrame:
+def fly_panel(
+    returns: DataFrame, triples: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = (),
+) -> DataFrame:
     """One row per fly, date and variable, where all three legs have the variable."""
     rows = stacked([{"variable": f"'{v}'", **{f"{p}_val": leg(p, v) for p in POSITIONS}} for v in variables])
     return (

@@ -14,7 +14,9 @@ from curveloom.operators.legs import leg, required, strategy_legs
 POSITIONS = ("long", "short")
 
 
-def weighted_pairs(returns: DataFrame, pairs: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = ()) -> DataFrame:
+def weighted_pairs(
+    returns: DataFrame, pairs: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = (),
+) -> DataFrame:
     """Legs with ``long_weight`` and ``short_weight`` from the previous row's durations.
 
     The lag runs over the union of both legs' dates, before rows without weights are dropped.
@@ -38,7 +40,9 @@ def pair_weights(returns: DataFrame, pairs: DataFrame, by: Sequence[str] = ()) -
     return weighted.join(pairs, "steepener").select(*by, "date", "steepener", legs)
 
 
-def steepener_panel(returns: DataFrame, pairs: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = ()) -> DataFrame:
+def steepener_panel(
+    returns: DataFrame, pairs: DataFrame, variables: Sequence[str] = RETURN_VARIABLES, by: Sequence[str] = (),
+) -> DataFrame:
     """One row per steepener, date and variable. A leg absent on the date has no weight and no values."""
     weighted = weighted_pairs(returns, pairs, variables, by)
     weights = [F.expr(f"if({leg(p, 'duration')} IS NULL, NULL, {p}_weight) AS {p}_weight") for p in POSITIONS]

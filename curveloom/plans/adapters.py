@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from curveloom.config import QUOTE_SIDES, RISK_VARIABLES, UNIVERSE, VINTAGES
+from curveloom.config import RISK_VARIABLES, UNIVERSE, VINTAGES
 from curveloom.operators.universe import etf_table, universe_table
 
 YIELD_SERIES = ("DGS2", "DGS5", "DGS7", "DGS10", "DGS30")
@@ -16,7 +16,7 @@ ETF_SERIES = ("SHY", "IEI", "IEF", "TLT")
 QUOTE_TENORS = ("4-Week", "1-Year", "10-Year", "30-Year")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 EVENT_SIDES = {"click": "bid", "view": "eod", "purchase": "mid", "signup": "offer"}
-VINTAGE_START = {"auctioned_after_2000": "1995-01-01", "auctioned_after_2005": "1997-01-01", "auctioned_after_2010": "1999-01-01"}
+VINTAGE_START = dict(zip(VINTAGES, ("1995-01-01", "1997-01-01", "1999-01-01")))
 AUCTION_INDEX = ("row", "part")
 AUCTION_COLUMNS = ("cusip", "auction_date", "issue_date")
 _SCHEMAS: dict[str, StructType] = {}

@@ -8,6 +8,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curveloom.config import QUOTE_SIDES
 from curveloom.functions import long_series, reshape
 from curveloom.operators import auctions, compare, flies, links, quotes, returns, spreads, universe
 from curveloom.plans import adapters as a
@@ -38,8 +39,8 @@ def _returns(spark, folder):
 
 
 def _nation_returns(spark, folder):
-    return returns.synthetic_returns(
-        a.risk(spark, folder, by_nation=True), a.yields(spark, folder, by_nation=True), a.universe(spark, folder), by=["curve"])
+    risk, yields = a.risk(spark, folder, by_nation=True), a.yields(spark, folder, by_nation=True)
+    return returns.synthetic_returns(risk, yields, a.universe(spark, folder), by=["curve"])
 
 
 def _pairs(spark, folder):
@@ -164,7 +165,7 @@ def _auction_reconcile_wide(spark, folder):
 
 def _quote_completeness(spark, folder):
     sides = _sides(spark, folder)
-    return sides.withColumn("all_missing", F.col("n_missing") == len(a.QUOTE_SIDES))
+    return sides.withColumn("all_missing", F.col("n_missing") == len(QUOTE_SIDES))
 
 
 def _cleaned_quotes(spark, folder):
@@ -178,7 +179,7 @@ def _cleaned_long_history(spark, folder):
 
 def _quote_wide_by_variable(spark, folder):
     cleaned = quotes.cleaned_quotes(_quotes(spark, folder), SHORT_WINDOW, SHORT_CUTOFF)
-    return _rounded(quotes.cleaned_wide(cleaned), *a.QUOTE_SIDES)
+    return _rounded(quotes.cleaned_wide(cleaned), *QUOTE_SIDES)
 
 
 def _page_links(spark, folder):

@@ -27,40 +27,54 @@ def synthetic_returns(
     return materialize(spark, f"{folder}/synthetic_returns", build, refresh=refresh)
 
 
-def steepeners(spark: SparkSession, folder: str, daily: DataFrame, securities: DataFrame | None = None, refresh: bool = False) -> DataFrame:
+def steepeners(
+    spark: SparkSession, folder: str, daily: DataFrame, securities: DataFrame | None = None, refresh: bool = False,
+) -> DataFrame:
     """All steepeners of the stored returns, one partition each."""
     pairs = universe.tenor_pairs(_universe(spark, securities))
-    build = lambda: spreads.steepener_panel(daily, pairs)
-    return materialize(spark, f"{folder}/steepeners", build, ["steepener"], refresh)
+    return materialize(spark, f"{folder}/steepeners", lambda: spreads.steepener_panel(daily, pairs), ["steepener"], refresh)
 
 
-def fly_strategies(spark: SparkSession, folder: str, daily: DataFrame, securities: DataFrame | None = None, refresh: bool = False) -> DataFrame:
+def fly_strategies(
+    spark: SparkSession, folder: str, daily: DataFrame, securities: DataFrame | None = None, refresh: bool = False,
+) -> DataFrame:
     """All flies of the stored returns, one partition each."""
     triples = universe.tenor_triples(_universe(spark, securities))
-    build = lambda: flies.fly_panel(daily, triples)
-    return materialize(spark, f"{folder}/flies", build, ["fly"], refresh)
+    return materialize(spark, f"{folder}/flies", lambda: flies.fly_panel(daily, triples), ["fly"], refresh)
 
 
-def filtered_auctions(spark: SparkSession, folder: str, path: str, schema: str, index_columns: Sequence[str], refresh: bool = False) -> DataFrame:
-    build = lambda: auctions.typed_auctions(tables.read_indexed(spark, path, schema, index_columns))
+def filtered_auctions(
+    spark: SparkSession, folder: str, path: str, schema: str, index_columns: Sequence[str], refresh: bool = False,
+) -> DataFrame:
+    def build() -> DataFrame:
+        return auctions.typed_auctions(tables.read_indexed(spark, path, schema, index_columns))
     return materialize(spark, f"{folder}/filtered_auctions", build, refresh=refresh)
 
 
-def historical_auctions(spark: SparkSession, folder: str, left: DataFrame, right: DataFrame, auction_columns: Sequence[str], refresh: bool = False) -> DataFrame:
+def historical_auctions(
+    spark: SparkSession, folder: str, left: DataFrame, right: DataFrame, auction_columns: Sequence[str],
+    refresh: bool = False,
+) -> DataFrame:
     """Two raw histories reconciled to ``ids, variable, value``."""
     def build() -> DataFrame:
         return auctions.reconcile_auctions(*[auctions.auction_long(h, auction_columns) for h in (left, right)])
     return materialize(spark, f"{folder}/historical_auctions", build, refresh=refresh)
 
 
-def observed_securities(spark: SparkSession, source: str, index_columns: Sequence[str] = (), vintages: Sequence[str] = VINTAGES, as_text: bool = True) -> DataFrame:
+def observed_securities(
+    spark: SparkSession, source: str, index_columns: Sequence[str] = (), vintages: Sequence[str] = VINTAGES,
+    as_text: bool = True,
+) -> DataFrame:
     """Observed securities of all vintage files in ``source``, reconciled. Not stored."""
     return auctions.reconcile_observed(tables.read_observed(spark, source, index_columns), vintages, as_text)
 
 
-def raw_quotes(spark: SparkSession, folder: str, source: str, tenors: Sequence[str], refresh: bool = False) -> DataFrame:
+def raw_quotes(
+    spark: SparkSession, folder: str, source: str, tenors: Sequence[str], refresh: bool = False,
+) -> DataFrame:
     """``date, quote, tenor, value, tenor_days`` of all quote files in ``source``."""
-    build = lambda: quotes.with_tenor_days(quotes.quotes_long(tables.read_quote_files(spark, source, tenors)))
+    def build() -> DataFrame:
+        return quotes.with_tenor_days(quotes.quotes_long(tables.read_quote_files(spark, source, tenors)))
     return materialize(spark, f"{folder}/raw_quotes", build, refresh=refresh)
 
 

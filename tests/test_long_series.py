@@ -90,6 +90,23 @@ def test_order_types(spark, kind):
         df.withColumn("s", ss.cumulative_sum(F.col("x"), w())), "s")
 
 
+@pytest.mark.parametrize("kind", ["timestamp", "timestamp_ntz"])
+def test_positions_rise_across_clock_changes(spark, kind):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        micros = [at * 1_000_000 + 5 for start in (1710048000, 1730602800) for at in range(start, start + 6 * 3600, 600)]
+        df = spark.createDataFrame([(m,) for m in micros], "m long").withColumn("t", F.timestamp_micros("m"))
+        df = df.withColumn("t", F.col("t").cast(kind))
+        at = ls._position(df, "t")
+        found = [(r.t, r.at) for r in df.select("t", at.alias("at")).collect()]
+        if kind == "timestamp":
+            assert [p for _, p in found] == [float(m) for m in micros]
+        else:
+            assert [p for _, p in sorted(found)] == sorted(p for _, p in found)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.mark.parametrize("stray", [False, True])
 def test_slices_bound_the_rows_of_a_hot_key(spark, stray):
     """Equal counts per slice for one key, with bursts and with an order value far off the others."""
