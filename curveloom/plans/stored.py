@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from curveloom.config import TENOR_PREFIX, UNIVERSE, VINTAGES, ZSCORE_CUTOFF, ZSCORE_WINDOW
+from curveloom.functions.reshape import assert_unique
 from curveloom.operators import auctions, flies, quotes, returns, spreads, universe
 from curveloom.sources import tables
 from curveloom.sources.store import materialize
@@ -20,10 +21,11 @@ def synthetic_returns(
     spark: SparkSession, folder: str, risk_paths: Sequence[str], yield_paths: Sequence[str],
     securities: DataFrame | None = None, tenors: Sequence[str] = TENORS, refresh: bool = False,
 ) -> DataFrame:
-    """``tenors`` are the columns to read from the yield panel."""
+    """``tenors`` are the columns to read from the yield panel. Repeated risk values are an error."""
     def build() -> DataFrame:
-        yields = tables.read_panel(spark, yield_paths, tenors)
-        return returns.synthetic_returns(tables.read_risk(spark, risk_paths), yields, _universe(spark, securities))
+        risk, yields = tables.read_risk(spark, risk_paths), tables.read_panel(spark, yield_paths, tenors)
+        assert_unique(risk, ["date", "security", "variable"])
+        return returns.synthetic_returns(risk, yields, _universe(spark, securities))
     return materialize(spark, f"{folder}/synthetic_returns", build, refresh=refresh)
 
 
@@ -72,9 +74,11 @@ def observed_securities(
 def raw_quotes(
     spark: SparkSession, folder: str, source: str, tenors: Sequence[str], refresh: bool = False,
 ) -> DataFrame:
-    """``date, quote, tenor, value, tenor_days`` of all quote files in ``source``."""
+    """``date, quote, tenor, value, tenor_days`` of all quote files in ``source``. Repeated quotes are an error."""
     def build() -> DataFrame:
-        return quotes.with_tenor_days(quotes.quotes_long(tables.read_quote_files(spark, source, tenors)))
+        files = tables.read_quote_files(spark, source, tenors)
+        assert_unique(files, ["date", "quote"])
+        return quotes.with_tenor_days(quotes.quotes_long(files))
     return materialize(spark, f"{folder}/raw_quotes", build, refresh=refresh)
 
 

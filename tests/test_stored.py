@@ -3,6 +3,7 @@
 import json
 
 import pandas as pd
+import pytest
 
 from conftest import day
 from curveloom.operators import flies, spreads, universe
@@ -35,6 +36,13 @@ def test_returns_and_strategies(spark, tmp_path):
     assert len(list((tmp_path / "out" / "steepeners").glob("steepener=*"))) == 3
 
 
+def test_repeated_risk_values_are_refused(spark, tmp_path):
+    save_inputs(tmp_path)
+    twice = [str(tmp_path / "risk.parquet")] * 2
+    with pytest.raises(ValueError, match="duplicate"):
+        stored.synthetic_returns(spark, str(tmp_path / "out"), twice, [str(tmp_path / "yields.parquet")], tenors=["DGS2"])
+
+
 def test_quotes(spark, tmp_path):
     for side, shift in (("bid", -0.1), ("eod", 0.0), ("mid", 0.0), ("offer", 0.1)):
         records = [{"Date": str(day(d)), "4-Week": 5 + d % 3 / 10 + shift, "10-Year": None if d % 2 else 4.0} for d in range(1, 31)]
