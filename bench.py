@@ -1,8 +1,8 @@
 """Times every query at ``$BENCH_SF_DIR`` on ``local[$BENCH_CPUS]`` and prints one JSON line.
 
-Each query runs to completion into a no-op sink: all rows and columns are computed, none is collected. It runs
-twice, planning included; the second run is the query's time and the first, which also compiles its generated
-code, is reported beside it.
+Each query runs to completion into a no-op sink: all rows and columns are computed, none is collected. Every
+query runs once, then every query again, planning included. The faster of the two is the query's time; the
+first run, which also compiles its generated code, is reported beside it.
 """
 
 import json
@@ -24,9 +24,9 @@ def main() -> None:
     spark = local_session(os.environ.get("BENCH_CPUS", "8"), "bench")
     run(QUERIES["synthetic_returns"], spark, folder)
     first = {name: run(query, spark, folder) for name, query in QUERIES.items()}
-    second = {name: run(query, spark, folder) for name, query in QUERIES.items()}
+    best = {name: min(first[name], run(query, spark, folder)) for name, query in QUERIES.items()}
     print(json.dumps({
-        "metric": "total_query_time", "value": round(sum(second.values()), 3), "unit": "sec", "queries": second,
+        "metric": "total_query_time", "value": round(sum(best.values()), 3), "unit": "sec", "queries": best,
         "sf": os.path.basename(folder.rstrip("/")), "first_run_value": round(sum(first.values()), 3),
         "first_run_queries": first,
     }))
