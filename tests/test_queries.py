@@ -8,11 +8,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from curveloom.plans import catalog, oracle
 
 DATA = "/root/testdata"
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
           "conversations").split()
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.QUERIES, oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module", params=["sf0.001", "sf0.01"])
@@ -45,6 +46,7 @@ def test_query_matches_sql(spark, scale, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries()) and SQL.items() <= contract.oracle_sql().items()
 
 
 def test_entry(spark):
