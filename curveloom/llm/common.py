@@ -1,7 +1,9 @@
 """What the operators share: tables, scratch tables in the shared folder, and connected components."""
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -9,7 +11,16 @@ from pyspark.sql import functions as F
 _OWN: dict[str, str] = {}
 
 
+def prepare(spark: SparkSession) -> None:
+    """Lets the Python workers of this machine import the package from where the driver has it."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    prepare(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import components, documents, written
+from curveloom.llm.common import components, documents, fresh, prepare, whole_text, written
 
 BITS = 64
 SEED = 42
@@ -48,14 +48,15 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` for every row; ``fp`` holds the 64 bits as a signed long."""
+    """``(doc_id, text_key, fp)`` for every row; ``fp`` holds the 64 bits as a signed long, ``text_key`` a hash of the text."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             fp = np.array([fingerprint(t, words) for t in batch["text"]], np.uint64).view(np.int64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "fp": fp})
+            yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_key": batch["text_key"], "fp": fp})
 
-    return documents(docs).mapInPandas(run, "doc_id long, fp long")
+    rows = documents(docs).withColumn("text_key", F.xxhash64("text"))
+    return rows.mapInPandas(run, "doc_id long, text_key long, fp long")
 
 
 def _shifts(blocks: int, radius: int) -> np.ndarray:
@@ -185,18 +186,41 @@ def links(prints: DataFrame, radius: int = 2, blocks: int = 6, tile_rows: int =
 
 
 def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 6) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for every row of ``docs``.
+    """``(doc_id, text_key, fp, group_fp, component_id)`` for every row of ``docs``.
 
-    ``component_id`` is the smallest ``doc_id`` reachable over fingerprints that differ in at most ``radius`` bits.
-    A missing or empty text has fingerprint 0 and is linked like any other; rows that repeat a ``doc_id`` are linked
-    by their own fingerprints; a missing ``doc_id`` counts as larger than all, and a component of such rows
-    alone has none. Other columns are ignored; an empty table gives an empty one.
+    ``component_id`` is the smallest ``doc_id`` reachable over fingerprints that differ in at most ``radius`` bits, and
+    ``group_fp`` one of those fingerprints. A missing or empty text has fingerprint 0 and is linked like any other; rows
+    that repeat a ``doc_id`` are linked by their own fingerprints; a missing ``doc_id`` counts as larger than all, and a
+    component of such rows alone has none. Other columns are ignored; an empty table gives an empty one.
     """
+    prepare(docs.sparkSession)
     marked = written(fingerprints(docs, words), "fingerprints")
     distinct = written(marked.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct-fingerprints")
-    joined = components(links(distinct.select("fp"), radius, blocks)).withColumnsRenamed({"node": "fp"})
-    lowest = joined.join(distinct, "fp").groupBy("component").agg(F.min("low").alias("component_id"))
-    moved = joined.join(lowest, "component").select("fp", "component_id")
-    classes = distinct.join(moved.withColumn("linked", F.lit(True)), "fp", "left").select(
-        "fp", F.when(F.col("linked"), F.col("component_id")).otherwise(F.col("low")).alias("component_id"))
-    return marked.join(classes, "fp").select("doc_id", "fp", "component_id")
+    joined = components(links(distinct.select("fp"), radius, blocks)).withColumnsRenamed({"node": "fp", "component": "group_fp"})
+    lowest = joined.join(distinct, "fp").groupBy("group_fp").agg(F.min("low").alias("component_id"))
+    moved = joined.join(lowest, "group_fp")
+    # One row a fingerprint on this side: a fingerprint that many rows have is one that Spark can split at run time.
+    classes = written(distinct.join(moved, "fp", "left").select(
+        "fp", F.coalesce("group_fp", "fp").alias("group_fp"),
+        F.when(F.col("group_fp").isNull(), F.col("low")).otherwise(F.col("component_id")).alias("component_id")), "classes")
+    return marked.join(classes, "fp").select("doc_id", "text_key", "fp", "group_fp", "component_id")
+
+
+def representatives(docs: DataFrame, words: int = 3, radius: int = 2) -> DataFrame:
+    """One row of each group of near-duplicates as it is: that with the smallest id, then the smallest hash of its text.
+
+    Of rows that repeat an id and a text one stays. A missing id counts as the largest.
+    """
+    found = near_duplicates(docs, words, radius)
+    last = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    first = written(found.groupBy("group_fp").agg(F.min(last).alias("row"), F.count("*").alias("n")), "first-rows")
+    row_id, row_key = fresh(docs, "_row_id", "_row_key")
+    wanted = first.select(F.col("row.doc_id").alias("wanted_id"), F.col("row.text_key").alias("wanted_key"))
+    marked = docs.withColumns({row_id: F.col("doc_id").cast("long"), row_key: F.xxhash64(whole_text(F.col("text")))})
+    kept = marked.join(wanted, F.col(row_id).eqNullSafe(F.col("wanted_id")) & (F.col(row_key) == F.col("wanted_key")), "left_semi")
+    again = written(found.groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1").select("doc_id", "text_key"), "repeated-rows")
+    if not again.isEmpty():
+        same = again.toDF("again_id", "again_key")
+        on = F.col(row_id).eqNullSafe(F.col("again_id")) & (F.col(row_key) == F.col("again_key"))
+        kept = kept.join(same, on, "left_anti").unionByName(kept.join(same, on, "left_semi").dropDuplicates([row_id, row_key]))
+    return kept.drop(row_id, row_key)
