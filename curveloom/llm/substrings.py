@@ -15,9 +15,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import fresh, written
+from curveloom.llm.common import fresh, whole_text
 
-ROWS = 2
+ROWS = 3
+MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 SHARDS = 256
 LAST_ID = (1 << 63) - 1
 WORDS_AT_ONCE = 1 << 20
@@ -79,7 +80,7 @@ def _hashed(text: str, size: int) -> np.ndarray | None:
 
 def _counters(hashes: np.ndarray, width: int) -> list[np.ndarray]:
     return [((hashes * np.uint64(odd)) >> np.uint64(64 - width.bit_length() + 1)).astype(np.int64)
-            for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+            for odd in MULTIPLIERS[:ROWS]]
 
 
 def _packed(places: np.ndarray) -> bytes:
@@ -90,7 +91,7 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.cumsum(np.frombuffer(zlib.decompress(data), "<u4"), dtype=np.int64)
 
 
-def sketch(docs: DataFrame, size: int = 20, width: int = 1 << 26) -> np.ndarray:
+def sketch(docs: DataFrame, size: int = 20, width: int = 1 << 27) -> np.ndarray:
     """Bitmaps, one a row of the sketch, of the counters that reach two: ``ROWS`` times ``width`` bits, whatever the data.
 
     Partitions send the counters they have used, in ``SHARDS`` ranges; a task adds up one range at a time.
@@ -149,11 +150,12 @@ def _estimated_twice(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return found
 
 
-def _candidates(docs: DataFrame, bits, size: int, flush: int = 1 << 21) -> DataFrame:
+def _candidates(docs: DataFrame, bits, size: int, flush: int = 1 << 20) -> DataFrame:
     """Windows estimated repeated, the first of each kind that a task holds at once; the others are certain repeats.
 
-    A kind of window that a third of the rows share so leaves a task in one row per ``flush`` windows. Certain repeats
-    are runs of starts (``h1`` and ``h2`` are null, ``last`` is the run's last start).
+    A kind of window that a third of the rows share so leaves a task in one row per ``flush`` windows. ``place`` is the start
+    in the upper and the row's key in the lower half. ``h1`` and the upper half of ``h2`` are the window's hash;
+    the lower half is 0, or the length of a run of certain repeats, which get a place's own ``h1`` to spread them.
     """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -165,54 +167,51 @@ def _candidates(docs: DataFrame, bits, size: int, flush: int = 1 << 21) -> DataF
                     continue
                 starts = np.flatnonzero(_estimated_twice(bits.value, _smallest(hashes, size)[0]))
                 if len(starts):
-                    held.append((doc, key, starts, _grams(hashes, size, 3)[starts], _grams(hashes, size, 5)[starts]))
+                    upper = _grams(hashes, size, 5)[starts] & np.uint64(0xFFFFFFFF00000000)
+                    held.append((doc, (starts << 32) | (key & 0xFFFFFFFF), _grams(hashes, size, 3)[starts], upper))
                     total += len(starts)
                     if total >= flush:
-                        yield frame(held)
+                        yield from frames(held)
                         held, total = [], 0
         if held:
-            yield frame(held)
-
-    def frame(held) -> pd.DataFrame:
-        n = [len(h[2]) for h in held]
-        doc, key = np.repeat([h[0] for h in held], n), np.repeat([h[1] for h in held], n)
-        start, h1, h2 = (np.concatenate([h[k] for h in held]) for k in (2, 3, 4))
-        order = np.lexsort((start, doc, h2, h1))
-        doc, key, start, h1, h2 = (x[order] for x in (doc, key, start, h1, h2))
+            yield from frames(held)
+
+    def frames(held) -> Iterator[pd.DataFrame]:
+        doc = np.repeat(np.array([h[0] for h in held], np.int64), [len(h[1]) for h in held])
+        place, h1, h2 = (np.concatenate([h[k] for h in held]) for k in (1, 2, 3))
+        order = np.lexsort((place >> 32, doc, h2, h1))
+        doc, place, h1, h2 = doc[order], place[order], h1[order], h2[order]
         new = np.r_[True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]
         first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        repeat = (doc != doc[first]) | (start != start[first])
-        keep = ~repeat
-        undecided = pd.DataFrame({"doc_id": doc[keep], "_key": key[keep], "start": start[keep].astype(np.int32),
-                                  "last": start[keep].astype(np.int32),
-                                  "h1": pd.array(h1[keep].view(np.int64), "Int64"), "h2": pd.array(h2[keep].view(np.int64), "Int64")})
-        doc, key, start = doc[repeat], key[repeat], start[repeat]
-        if not len(doc):
-            return undecided
-        order = np.lexsort((start, key, doc))
-        doc, key, start = doc[order], key[order], start[order]
-        begins = np.r_[True, (doc[1:] != doc[:-1]) | (key[1:] != key[:-1]) | (start[1:] > start[:-1] + 1)]
-        at = np.flatnonzero(begins)
-        certain = pd.DataFrame({"doc_id": doc[at], "_key": key[at], "start": start[at].astype(np.int32),
-                                "last": start[np.r_[at[1:], len(doc)] - 1].astype(np.int32)})
-        certain["h1"] = certain["h2"] = pd.array([None] * len(at), "Int64")
-        return pd.concat([undecided, certain], ignore_index=True)
-
-    return docs.mapInPandas(run, "doc_id long, _key long, start int, last int, h1 long, h2 long")
-
-
-def repeated_windows(docs: DataFrame, size: int = 20, width: int = 1 << 26) -> DataFrame:
-    """``(doc_id, _key, start, last)``: runs of starts of windows that also start earlier; ``docs`` as in ``kept``."""
+        repeat = (doc != doc[first]) | (place >> 32 != place[first] >> 32)
+        yield rows(doc[~repeat], place[~repeat], h1[~repeat], h2[~repeat])
+        doc, place = doc[repeat], place[repeat]
+        if len(doc):
+            order = np.lexsort((place >> 32, place & 0xFFFFFFFF, doc))
+            doc, place = doc[order], place[order]
+            at = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (place[1:] - place[:-1] != 1 << 32)])
+            length = np.diff(np.r_[at, len(doc)]).astype(np.uint64)
+            doc, place = doc[at], place[at]
+            yield rows(doc, place, _mix(doc.view(np.uint64), place.view(np.uint64), 7), length)
+
+    def rows(doc, place, h1, h2) -> pd.DataFrame:
+        return pd.DataFrame({"doc_id": doc, "place": place, "h1": h1.view(np.int64), "h2": h2.view(np.int64)})
+
+    return docs.mapInPandas(run, "doc_id long, place long, h1 long, h2 long")
+
+
+def repeated_windows(docs: DataFrame, size: int = 20, width: int = 1 << 27) -> DataFrame:
+    """``(doc_id, _key, run)``: windows that also start earlier, as runs: first start in the upper, last in the lower half."""
     bits = docs.sparkSession.sparkContext.broadcast(sketch(docs, size, width))
-    rows = written(_candidates(docs, bits, size), "windows")
     # At most a row per flush and kind is left, so a window shared by any number of rows makes no long group.
-    earlier = F.expr("rank() OVER (PARTITION BY h1, h2 ORDER BY doc_id, start) > 1")
-    decided = rows.where("h1 IS NOT NULL").withColumn("_repeat", earlier).where("_repeat")
-    return decided.select("doc_id", "_key", "start", "last").unionByName(
-        rows.where("h1 IS NULL").select("doc_id", "_key", "start", "last"))
+    earlier = F.expr("rank() OVER (PARTITION BY h1, h2 ORDER BY doc_id, shiftright(place, 32)) > 1")
+    ranked = _candidates(docs, bits, size).withColumn("_repeat", earlier).withColumn("_run", F.expr("h2 & 4294967295"))
+    last = "shiftright(place, 32) + greatest(_run, 1) - 1"
+    return ranked.where("_repeat OR _run > 0").selectExpr(
+        "doc_id", "place & 4294967295 AS _key", f"shiftleft(shiftright(place, 32), 32) + {last} AS run")
 
 
-def kept(docs: DataFrame, size: int = 20, width: int = 1 << 26, id_column: str = "doc_id",
+def kept(docs: DataFrame, size: int = 20, width: int = 1 << 27, id_column: str = "doc_id",
          text_column: str = "text") -> DataFrame:
     """Every row with ``n_words``, ``n_removed`` and ``kept_text``, the kept words joined by one space.
 
@@ -220,23 +219,21 @@ def kept(docs: DataFrame, size: int = 20, width: int = 1 << 26, id_column: str =
     smaller id, or earlier in the same row. Windows are judged on the input. A missing text is empty, and texts of less than
     ``size`` words stay whole. A missing id counts as the largest. Rows that share an id are one document: windows at
     the same place of them don't remove each other. Other columns stay; added ones whose names are taken get an underscore.
-    ``width`` counters make a sketch of ``width / 4`` bytes; more data than that make it let more windows
+    ``width`` counters make a sketch of ``3 * width / 8`` bytes; more data than that make it let more windows
     through to the second pass, never fewer.
     """
     names = fresh(docs, "n_words", "n_removed", "kept_text")
-    base = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.coalesce(text_column, F.lit("")).alias("text"))
-    base = base.withColumn("_key", F.xxhash64("text"))
+    text, row_key = whole_text(F.col(text_column)), F.xxhash64(whole_text(F.col(text_column))).bitwiseAND(0xFFFFFFFF)
+    base = docs.select(F.col(id_column).cast("long").alias("doc_id"), text.alias("text"), row_key.alias("_key"))
     runs = repeated_windows(base, size, width)
-    gone = runs.groupBy("doc_id", "_key").agg(F.collect_list(
-        F.shiftleft(F.col("start").cast("long"), 32) + F.col("last")).alias("_gone"))
+    gone = runs.groupBy("doc_id", "_key").agg(F.collect_list("run").alias("_gone"))
     key, at, gone_at = fresh(docs, "_key", "_at", "_gone")
     gone = gone.withColumnsRenamed({"doc_id": at, "_key": key, "_gone": gone_at})
-    marked = docs.withColumn(key, F.xxhash64(F.coalesce(text_column, F.lit("")))).withColumn(
-        at, F.coalesce(F.col(id_column).cast("long"), F.lit(LAST_ID)))
+    marked = docs.withColumns({key: row_key, at: F.coalesce(F.col(id_column).cast("long"), F.lit(LAST_ID))})
     rows = marked.join(gone, [at, key], "left").drop(at, key)
     result = F.pandas_udf(_removed_by(size), "n_words long, n_removed long, kept_text string")
     out = fresh(docs, "_result")[0]
-    return rows.withColumn(out, result(F.coalesce(F.col(text_column), F.lit("")), gone_at)).select(
+    return rows.withColumn(out, result(text, gone_at)).select(
         *docs.columns, *(F.col(f"{out}.{c}").alias(n) for c, n in zip(("n_words", "n_removed", "kept_text"), names)))
 
 
