@@ -6,6 +6,7 @@ placed by best fit. After each epoch the best packing of an island moves on to t
 """
 
 import bisect
+import itertools
 import os
 import re
 import zlib
@@ -13,6 +14,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,14 +24,25 @@ from curveloom.llm.common import documents, written
 CAPACITY = 4096
 # Fixed value: the id behind each document.
 END_ID = 1
-KNOWN_PIECES = 1 << 19
+KNOWN_RUNS = 1 << 21
 PIECE_SCHEMA = "part int, row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 # Between an ASCII letter and an ASCII mark other than the apostrophe the pre-tokeniser always cuts.
-_CUT = re.compile(r"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])|(?<=[!-&(-/:-@\[-`{-~])(?=[a-z])")
+_CUT = re.compile(rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])|(?<=[!-&(-/:-@\[-`{-~])(?=[a-z])")
+# A comma or stop before a blank, other than behind an ASCII or a Latin-1 letter.
+_ODD_STOP = re.compile(rb"[,.] (?<![a-z][,.] )(?<!\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][,.] )")
+_TAIL = re.compile(rb"(?<=[a-z])([!-&(-/:-@\[-`{-~]+)(?= )")
+
+
+def _blanked(text: str) -> bytes:
+    """The text with a blank between its runs; marks behind letters, where the pre-tokeniser cuts, are runs of their own."""
+    data = text.encode("utf-8", "replace").lower().replace(b"\n", b" ")
+    if _ODD_STOP.search(data):
+        return _TAIL.sub(rb" \1", data)
+    return data.replace(b", ", b" , ").replace(b". ", b" . ")
 
 
 class TokenIds:
-    """Ids of whole texts, as little-endian 32-bit bytes, from ids of their runs between blanks.
+    """Ids of whole texts, little-endian in 32 bits, from ids of their runs between blanks.
 
     The vocabulary's pre-tokeniser drops white space and never looks across it, so a text's ids are those of its
     runs, one after another. Ids of runs are kept, up to a number; texts that may hold special tokens go in whole.
@@ -48,39 +62,52 @@ class TokenIds:
         return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, runs: set[bytes]) -> None:
-        parts = {run: _CUT.split(run.decode("utf-8", "replace")) for run in runs}
-        new = sorted({p for ps in parts.values() for p in ps})
-        ids = {}
-        letters = [p for p in new if p.isalpha()]
+        """Adds the ids of runs; those of parts between cuts are added and looked up too."""
+        letters = {run for run in runs if run.isalpha()}
+        others, compound = set(), {}
+        for run in runs - letters:
+            parts = _CUT.split(run)
+            if len(parts) > 1:
+                compound[run] = parts
+            for part in parts:
+                if part not in self.known:
+                    (letters if part.decode("utf-8", "replace").isalpha() else others).add(part)
         # A run of letters is one pre-token and ends in the one id with a word end, so many can be encoded at once.
-        for at in range(0, len(letters), 512):
-            some = letters[at:at + 512]
-            found = self._encode([" ".join(some)])[0]
-            cuts = np.flatnonzero(self.ends[found]) + 1
+        words = list(letters)
+        for at in range(0, len(words), 512):
+            some = words[at:at + 512]
+            found = self._encode([b" ".join(some).decode("utf-8", "replace")])[0]
+            cuts = (4 * np.flatnonzero(self.ends[found]) + 4).tolist()
             if len(cuts) == len(some):
-                ids.update((p, found[a:b].tobytes()) for p, a, b in zip(some, np.r_[0, cuts[:-1]].tolist(), cuts.tolist()))
-        rest = [p for p in new if p not in ids]
-        ids.update(zip(rest, (x.tobytes() for x in self._encode(rest))))
-        if len(self.known) > KNOWN_PIECES:
-            self.known = {b"": b""}
-        self.known.update((run, b"".join(map(ids.__getitem__, ps))) for run, ps in parts.items())
+                data = found.tobytes()
+                self.known.update((w, data[a:b]) for w, a, b in zip(some, [0, *cuts], cuts))
+            else:
+                others.update(some)
+        rest = list(others)
+        self.known.update(zip(rest, (x.tobytes() for x in self._encode([r.decode("utf-8", "replace") for r in rest]))))
+        known = self.known.__getitem__
+        self.known.update([(run, b"".join(map(known, parts))) for run, parts in compound.items()])
 
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes | None] = [None] * len(texts)
+    def __call__(self, texts: list[str]) -> list[np.ndarray]:
+        # Special tokens are found in the text itself, so such texts go in as they are.
         special = [k for k, t in enumerate(texts) if "<|" in t]
-        for k, ids in zip(special, self._encode([texts[k] for k in special])):
-            out[k] = ids.tobytes()
-        runs = {k: t.encode("utf-8", "replace").lower().replace(b"\n", b" ").split(b" ")
-                for k, t in enumerate(texts) if out[k] is None}
-        missing = {r for rs in runs.values() for r in rs if r not in self.known}
-        if missing:
-            kept = self.known
-            self._learn(missing)
-            if kept is not self.known:  # it was emptied meanwhile
-                self._learn({r for rs in runs.values() for r in rs if r not in self.known})
-        known = self.known.__getitem__
-        for k, rs in runs.items():
-            out[k] = b"".join(map(known, rs))
+        plain = set(range(len(texts))).difference(special)
+        lists = pc.split_pattern(pa.array([_blanked(t) if k in plain else b"" for k, t in enumerate(texts)], pa.large_binary()), " ")
+        coded = lists.flatten().dictionary_encode()
+        runs, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        if len(self.known) > KNOWN_RUNS:
+            self.known = {b"": b""}
+        self._learn(set(runs).difference(self.known))
+        found = [self.known[r] for r in runs]
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, start = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
+        n = size[index]
+        end = np.cumsum(n)
+        ids = flat[np.repeat(start[index] - end + n, n) + np.arange(n.sum())]
+        cuts = np.r_[0, end][lists.offsets.to_numpy()].tolist()
+        out = [ids[a:b] for a, b in itertools.pairwise(cuts)]
+        for k, own in zip(special, self._encode([texts[k] for k in special])):
+            out[k] = own
         return out
 
 
@@ -106,17 +133,17 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFra
         from pyspark import TaskContext
 
         encode = _TOKENIZERS.get(tokenizer) or _TOKENIZERS.setdefault(tokenizer, TokenIds(tokenizer))
-        end, width = np.array([END_ID], "<u4").tobytes(), 4 * capacity
+        end = np.array([END_ID], "<u4")
         part, row = TaskContext.get().partitionId(), 0
         for batch in batches:
             names = batch["doc_id"].astype("Int64")
             for at, texts in _batches_of(batch["text"].tolist()):
                 found = []
                 for k, ids in enumerate(encode(texts)):
-                    ids += end
-                    for p, a in enumerate(range(0, len(ids), width)):
-                        cut = ids[a:a + width]
-                        found.append((part, row, names.iloc[at + k], p, a // 4, len(cut) // 4, zlib.crc32(cut)))
+                    ids = np.concatenate([ids, end])
+                    for p, a in enumerate(range(0, len(ids), capacity)):
+                        cut = ids[a:a + capacity]
+                        found.append((part, row, names.iloc[at + k], p, a, len(cut), zlib.crc32(cut)))
                         row += 1
                 frame = pd.DataFrame(found, columns=["part", "row", "doc_id", "piece", "start", "length", "ids_crc32"])
                 yield frame.astype({"doc_id": "Int64"})
