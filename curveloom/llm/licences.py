@@ -115,7 +115,8 @@ def licences(files: DataFrame, path: Column, text: Column, is_notice: Column | N
     own = cosines.where(F.col("similarity") >= least).join(some.select("line", "key", "path", "notice"), "line").groupBy("key", "path", "notice").agg(
         F.min(F.struct((-F.col("similarity")).alias("far"), "licence")).alias("best"))
     own = written(own.select("key", "path", "notice", folder, "best.licence", (-F.col("best.far")).alias("similarity")), "own-licences")
-    given = _nearest(keyed.select(folder), own.where(speaks))
+    # One row a directory, written so that a directory of many files is one that Spark can split in the join.
+    given = written(_nearest(keyed.select(folder), own.where(speaks)), "inherited-licences")
     mine = own.groupBy("key", "path").agg(F.min("licence").alias("_own"), F.max("similarity").alias("_similarity"))
     names = fresh(files, "_key", "_path", "_folder", "_own", "_own_similarity", "_given", "_given_by")
     at, there, above, own_licence, own_similarity, given_licence, given_by = names

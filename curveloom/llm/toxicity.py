@@ -1,7 +1,8 @@
 """Toxicity of texts from a weighted lexicon, matched by Aho-Corasick after folding look-alikes and digits.
 
-Weights are learned from labelled documents; matches inside exception phrases don't count, and the weight found is
-held against the text's length before a logistic curve turns it into a probability.
+A term's weight is how much more often toxic documents use it than clean ones, both learned from labels. Matches inside
+exception phrases don't count. A term's matches are held against those that a clean text of the same length has, and a
+logistic curve turns what is beyond that, and the largest weight, into a probability.
 """
 
 import math
@@ -25,16 +26,18 @@ DIGITS = dict(zip("013457@$!", "oieastasi"))
 # What is used for terms that the labelled documents don't show: common insults, and phrases in which words are harmless.
 SEEDS = ("idiot", "moron", "stupid", "scum", "pathetic", "worthless", "disgusting", "loser")
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "clownfish", "disgusting smell")
-SEED_WEIGHT = 3.0
+SEED_TERM = (6.0, 1e-7)
 PREFIXES = range(4, 9)
-OCCURRENCES = 5
+OCCURRENCES = 20
+#: Characters a word, with the blank behind it.
+WORD_CHARS = 6
 
 _FOLD = {ord(k): v for k, v in LOOKALIKES.items()}
 for _code in range(0xC0, 0x250):
     _plain = unicodedata.normalize("NFD", chr(_code))[0]
     if _plain.isascii() and _plain.isalpha():
         _FOLD[_code] = _plain.lower()
-_STANDS = re.compile(r"[013457](?=[a-z])|(?<=[a-z])[013457](?=[013457]{0,2}[a-z])|[@$!]{1,2}(?=[a-z])")
+_STANDS = re.compile(r"[013457](?=[013457]{0,2}[a-z])|[@$!]{1,2}(?=[a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -48,21 +51,33 @@ def folded(text: str) -> str:
     return _STANDS.sub(lambda m: "".join(DIGITS[c] for c in m[0]), out)
 
 
-def terms_of(text: str) -> tuple[set[str], int]:
-    """Words (``word$``) and beginnings of words of a folded text, each once, and the number of words."""
-    words = _WORD.findall(text)
-    out = set()
-    for word in set(words):
-        out.add(word + "$")
-        out.update(word[:n] for n in PREFIXES if n <= len(word))
-    return out, len(words)
+def terms_of(text: str) -> Counter:
+    """Words (``word$``) and beginnings of words of a folded text, each counted ``OCCURRENCES`` times at most."""
+    out: Counter = Counter()
+    for word, n in Counter(_WORD.findall(text)).items():
+        out[word + "$"] += n
+        for size in PREFIXES:
+            if size <= len(word):
+                out[word[:size]] += n
+    return Counter({t: min(n, OCCURRENCES) for t, n in out.items()})
+
+
+def word_count(text: str) -> float:
+    """About as many words as the text has."""
+    return len(text) / WORD_CHARS + 1
+
+
+def surplus(n: int, rate: float, text: str) -> float:
+    """How far ``n`` matches are beyond a clean text's ``rate`` a word: the Poisson deviance, 0 if they are not."""
+    expected = rate * word_count(text)
+    return n * math.log(n / expected) - (n - expected) if n > expected else 0.0
 
 
 @dataclass
 class Lexicon:
-    """Weights of terms, exception phrases, and the curve from evidence to probability."""
+    """Terms with weight and rate in clean texts, exception phrases, and the curve from evidence to probability."""
 
-    weights: dict[str, float]
+    terms: dict[str, tuple[float, float]]
     exceptions: Sequence[str] = EXCEPTIONS
     curve: tuple[float, float, float] = (-3.0, 1.0, 1.0)
     automaton: object = field(default=None, repr=False)
@@ -70,7 +85,7 @@ class Lexicon:
     def _build(self):
         automaton = ahocorasick.Automaton()
         entries: dict[str, list] = {}
-        for term, weight in self.weights.items():
+        for term, (weight, _) in self.terms.items():
             plain = term.rstrip("$")
             entries.setdefault(plain, []).append((len(plain), weight, term.endswith("$"), term))
             if "l" in plain:  # 1 also stands for l
@@ -99,13 +114,10 @@ class Lexicon:
         return [f for f in found if not any(s[0] <= f[0] and f[1] <= s[1] for s in safe)] if safe else found
 
     def evidence(self, text: str) -> tuple[float, float]:
-        """Weight of the matches against the length, and the largest weight; a term counts ``OCCURRENCES`` times at most."""
-        found = self.matches(text)
-        if not found:
-            return 0.0, 0.0
-        counts = Counter((term, weight) for _, _, term, weight in found)
-        total = sum(weight * min(n, OCCURRENCES) for (_, weight), n in counts.items())
-        return total / math.log2(16 + len(text) / 6), max(w for _, w in counts)
+        """The logarithm of all terms' surplus, and the largest weight of a term that has one."""
+        counts = Counter(term for _, _, term, _ in self.matches(text))
+        found = [(surplus(min(n, OCCURRENCES), self.terms[t][1], text), self.terms[t][0]) for t, n in counts.items()]
+        return math.log1p(sum(s for s, _ in found)), max((w for s, w in found if s > 0), default=0.0)
 
     def score(self, text: str) -> float:
         a, b, c = self.curve
@@ -136,44 +148,56 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000, exceptions
     taken = written(texts.groupBy(F.xxhash64("text").alias("key")).agg(
         F.max("toxic").alias("toxic"), F.any_value("text").alias("text")).select("toxic", "text"), "labelled")
 
-    def count_terms(wanted) -> DataFrame:
+    def count_terms(kind: int, wanted=None) -> DataFrame:
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
-                counts: Counter = Counter()
+                held, used, words = Counter(), Counter(), Counter()
                 for text in batch["text"]:
-                    terms, _ = terms_of(folded(text))
-                    counts.update(terms if wanted is None else terms & wanted.value)
-                yield pd.DataFrame({"term": list(counts), "n": list(counts.values())})
-
-        of = taken.where("toxic = 1" if wanted is None else "toxic = 0")
-        return of.mapInPandas(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-
-    size = {r["toxic"]: r["n"] for r in taken.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    toxic, clean = size.get(1, 0), size.get(0, 0)
-    if not toxic or not clean:
-        return Lexicon({f"{s}$": SEED_WEIGHT for s in SEEDS}, exceptions)
-    least = max(3, toxic // 150)
+                    terms = terms_of(folded(text))
+                    if wanted is not None:
+                        terms = {t: n for t, n in terms.items() if t in wanted.value}
+                    held.update(terms.keys())
+                    used.update(terms)
+                    words.update(dict.fromkeys(terms, word_count(text)))
+                yield pd.DataFrame({"term": list(held), "docs": list(held.values()), "used": [used[t] for t in held],
+                                    "words": [words[t] for t in held]})
+
+        found = taken.where(F.col("toxic") == kind).mapInPandas(run, "term string, docs long, used long, words double")
+        return found.groupBy("term").agg(*(F.sum(c).alias(c) for c in ("docs", "used", "words")))
+
+    size = {r["toxic"]: (r["n"], r["words"]) for r in taken.groupBy("toxic").agg(
+        F.count("*").alias("n"), F.sum(F.length("text") / WORD_CHARS + 1).alias("words")).collect()}
+    if len(size) < 2:
+        return Lexicon({f"{s}$": SEED_TERM for s in SEEDS}, exceptions)
+    least = max(3, size[1][0] // 150)
     # Each term is in at least that share of the sample's toxic documents, so their number is bounded by its words.
-    often = {r["term"]: r["n"] for r in count_terms(None).where(F.col("n") >= least).collect()}
+    often = {r["term"]: r for r in count_terms(1).where(F.col("docs") >= least).collect()}
     shared = docs.sparkSession.sparkContext.broadcast(set(often))
-    rare = {r["term"]: r["n"] for r in count_terms(shared).collect()}
-    odds = {t: math.log((n + 0.5) / (toxic + 1)) - math.log((rare.get(t, 0) + 0.5) / (clean + 1)) for t, n in often.items()}
-    telling = {t for t, w in odds.items() if w >= 2.5}
-    wanted = docs.sparkSession.sparkContext.broadcast(telling)
-
-    def present(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    rates = {r["term"]: r for r in count_terms(0, shared).collect()}
+    terms = {}
+    for term, toxic in often.items():
+        clean = rates.get(term)
+        # Half an occurrence stands for a term that the sample's clean documents don't have. Rates are those of documents that
+        # have the term at all, since a word of one language says nothing of texts in others.
+        everywhere = max(clean["used"] if clean else 0, 0.5) / size[0][1]
+        base = clean["used"] / clean["words"] if clean else everywhere
+        weight = math.log(toxic["used"] / toxic["words"] / base)
+        if toxic["used"] / size[1][1] >= 5 * everywhere and weight >= 1:
+            terms[term] = (min(weight, 8.0), base)
+    wanted = docs.sparkSession.sparkContext.broadcast(terms)
+
+    def explained(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"toxic": batch["toxic"], "terms": [
-                sorted(terms_of(folded(t))[0] & wanted.value) for t in batch["text"]]})
-
-    held = [(r["toxic"], set(r["terms"])) for r in taken.mapInPandas(present, "toxic int, terms array<string>").where(
-        "size(terms) > 0").collect()]
-    chosen = _in_turn([t for y, t in held if y], [t for y, t in held if not y], least)
-    weights = {t: min(odds[t], 6.0) for t in chosen}
-    for seed in SEEDS:
-        if not rare.get(f"{seed}$"):
-            weights.setdefault(f"{seed}$", SEED_WEIGHT)
-    lexicon = Lexicon(weights, exceptions)
+            rows = []
+            for toxic, text in zip(batch["toxic"], batch["text"]):
+                found = {t: n for t, n in terms_of(folded(text)).items() if t in wanted.value}
+                rows.append((toxic, [t for t, n in found.items() if surplus(n, wanted.value[t][1], text) >= 2]))
+            yield pd.DataFrame(rows, columns=["toxic", "terms"])
+
+    held = taken.mapInPandas(explained, "toxic int, terms array<string>").where("size(terms) > 0").collect()
+    chosen = _in_turn([set(r["terms"]) for r in held if r["toxic"]], [r["terms"] for r in held if not r["toxic"]], least)
+    seeds = {f"{s}$": SEED_TERM for s in SEEDS if f"{s}$" not in rates}
+    lexicon = Lexicon(seeds | {t: terms[t] for t in chosen}, exceptions)
     shared_lexicon = docs.sparkSession.sparkContext.broadcast(lexicon)
 
     def evidence(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -186,14 +210,14 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000, exceptions
     return lexicon
 
 
-def _in_turn(toxic: list[set[str]], clean: list[set[str]], least: int) -> list[str]:
-    """Terms that explain the most toxic documents that are left, until none explains ``least`` (a quarter of it for few)."""
+def _in_turn(toxic: list[set[str]], clean: list[list[str]], least: int) -> list[str]:
+    """Terms that explain the most toxic documents that are left, until none explains a quarter of ``least``."""
     cost = Counter(t for terms in clean for t in terms)
     left, chosen = toxic, []
     while left:
         gain = Counter(t for terms in left for t in terms)
         # Of terms that explain as many, a beginning is taken before the words that begin so.
-        term, best = max(((t, n - 4 * cost[t]) for t, n in gain.items()), key=lambda x: (x[1], -len(x[0]), x[0]), default=("", 0))
+        term, best = max(((t, n - 2 * cost[t]) for t, n in gain.items()), key=lambda x: (x[1], -len(x[0]), x[0]), default=("", 0))
         if best < max(2, least // 4):
             return chosen
         chosen.append(term)
