@@ -10,12 +10,12 @@ order, and no task ever sorts more than one slice (or one block) of one series:
   next: two shuffles of the rows, and copies bounded by frame length / block length.
 
 The results equal those of the plain windows in ``series``, up to the last bits of floating sums. The input is
-read several times (cuts, slice totals, rows), so hand in a stored table or a ``checkpointed`` one.
+read several times (cuts, slice totals, rows), so hand in a stored table or a ``kept`` one.
 """
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from math import ceil, isqrt
+from math import ceil
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -25,11 +25,11 @@ from pyspark.sql import types as T
 from curveloom.functions.scalar import ratio
 from curveloom.functions.series import cumulative_growth, cumulative_sum, running
 
-SLICE, INDEX, BLOCK = "_slice", "_index", "_block"
+SERIES, SLICE, INDEX, BLOCK = "_series", "_slice", "_index", "_block"
 
 
-# Slices grow with the square root of the rows, so that neither one slice nor the list of slices gets long.
-MAX_SLICES = 20_000
+# What one task sorts; the list of cuts has a number for each of so many rows of the table.
+ROWS_PER_SLICE = 1_000_000
 SAMPLED_ROWS_PER_SLICE = 50
 
 
@@ -37,7 +37,8 @@ SAMPLED_ROWS_PER_SLICE = 50
 class LongSeries:
     """How a table's series are cut; made by ``cut``.
 
-    ``keys`` name a series; ``order`` is one column, unique within a series. All of them are complete.
+    ``keys`` name a series, missing ones one of their own; ``order`` is one column, complete and unique within a series.
+    A series goes by the struct of its keys, which is never missing, so joins and windows treat it alike.
     """
 
     keys: Sequence[str]
@@ -47,13 +48,15 @@ class LongSeries:
 
     def across_slices(self) -> WindowSpec:
         """The slices of a series: as many rows as it has slices."""
-        return Window.partitionBy(*self.keys).orderBy(SLICE)
+        return Window.partitionBy(SERIES).orderBy(SLICE)
 
     def within_slice(self) -> WindowSpec:
-        return Window.partitionBy(*self.keys, SLICE).orderBy(self.order)
+        return Window.partitionBy(SERIES, SLICE).orderBy(self.order)
 
 
-def cut(df: DataFrame, keys: Sequence[str], order: str, slices: int | None = None) -> LongSeries:
+def cut(
+    df: DataFrame, keys: Sequence[str], order: str, slices: int | None = None, rows_per_slice: int = ROWS_PER_SLICE,
+) -> LongSeries:
     """Chooses the cuts: quantiles of the order column over the whole table, so that slices hold equal counts.
 
     No key can bring more rows to a slice than the slice holds, and neither bursts nor stray far-off values of
@@ -61,7 +64,7 @@ def cut(df: DataFrame, keys: Sequence[str], order: str, slices: int | None = Non
     from a sample of it, as those of range partitioning do; they decide where a task's work ends, never a result.
     """
     rows = df.count()
-    slices = slices or max(1, min(MAX_SLICES, isqrt(rows)))
+    slices = slices or max(1, ceil(rows / rows_per_slice))
     share = min(1.0, SAMPLED_ROWS_PER_SLICE * slices / max(rows, 1))
     at = df.select(_position(df, order).alias("at")).sample(share, seed=0)
     cuts = at.approxQuantile("at", [i / slices for i in range(1, slices)], 0.25 / slices) if slices > 1 else []
@@ -69,7 +72,8 @@ def cut(df: DataFrame, keys: Sequence[str], order: str, slices: int | None = Non
 
 
 def with_slices(df: DataFrame, spec: LongSeries) -> DataFrame:
-    """Adds the slice number, found by binary search in the cuts."""
+    """Adds the series and the slice number, found by binary search in the cuts."""
+    df = df.withColumn(SERIES, F.struct(*spec.keys))
     if not spec.cuts:
         return df.withColumn(SLICE, F.lit(0))
     splits = [-float("inf"), *spec.cuts, float("inf")]
@@ -85,7 +89,7 @@ def difference(df: DataFrame, spec: LongSeries, value: str, out: str) -> DataFra
     carried = _carried(sliced, spec, {"_last": last}, {"_last": F.lag("_last").over(spec.across_slices())})
     within = spec.within_slice()
     previous = F.when(F.row_number().over(within) == 1, F.col("_last")).otherwise(F.lag(value).over(within))
-    return carried.withColumn(out, F.col(value) - previous).drop(SLICE, "_last")
+    return carried.withColumn(out, F.col(value) - previous).drop(SERIES, SLICE, "_last")
 
 
 def pct_change(df: DataFrame, spec: LongSeries, value: str, out: str) -> DataFrame:
@@ -97,7 +101,7 @@ def pct_change(df: DataFrame, spec: LongSeries, value: str, out: str) -> DataFra
     previous = F.coalesce(F.last(value, ignorenulls=True).over(_before(spec.within_slice())), "_known")
     moved = carried.withColumn("_previous", previous)
     change = ratio(F.coalesce(value, "_previous"), F.col("_previous")) - 1
-    return moved.withColumn(out, change).drop(SLICE, "_known", "_previous")
+    return moved.withColumn(out, change).drop(SERIES, SLICE, "_known", "_previous")
 
 
 def cumulative(
@@ -113,7 +117,7 @@ def cumulative(
     carried = _carried(sliced, spec, totals, before)
     results = {out: F.col(f"_{out}") + cumulative_sum(F.col(c), within) for out, c in sums.items()}
     results |= {out: F.col(f"_{out}") * (cumulative_growth(F.col(c), within) + 1) - 1 for out, c in growths.items()}
-    return carried.withColumns(results).drop(SLICE, *totals)
+    return carried.withColumns(results).drop(SERIES, SLICE, *totals)
 
 
 def with_index(df: DataFrame, spec: LongSeries) -> DataFrame:
@@ -121,7 +125,7 @@ def with_index(df: DataFrame, spec: LongSeries) -> DataFrame:
     offset = {"_offset": F.coalesce(F.sum("_offset").over(_before(spec.across_slices())), F.lit(0))}
     carried = _carried(with_slices(df, spec), spec, {"_offset": F.count(F.lit(1))}, offset)
     position = F.col("_offset") + F.row_number().over(spec.within_slice()) - 1
-    return carried.withColumn(INDEX, position).drop(SLICE, "_offset")
+    return carried.withColumn(INDEX, position).drop(SERIES, SLICE, "_offset")
 
 
 def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str], rows: int) -> DataFrame:
@@ -133,12 +137,13 @@ def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str],
     those of the two parts merged, each a running aggregate, so the work per row does not grow with ``rows``.
     """
     block_rows = rows * ceil(max(spec.rows_per_slice, 1) / rows)
-    blocks = _with_blocks(with_index(df, spec), block_rows, rows).repartition(*spec.keys, BLOCK)
-    runs = Window.partitionBy(*spec.keys, BLOCK, "_run")
+    indexed = with_index(df, spec).withColumn(SERIES, F.struct(*spec.keys))
+    blocks = _with_blocks(indexed, block_rows, rows).repartition(SERIES, BLOCK)
+    runs = Window.partitionBy(SERIES, BLOCK, "_run")
     # All three windows use the one shuffle on the block, the last two also the same sort.
     ended = running(runs.orderBy(F.desc(INDEX)))
     started = running(runs.orderBy(INDEX))
-    series = Window.partitionBy(*spec.keys, BLOCK).orderBy("_run", INDEX)
+    series = Window.partitionBy(SERIES, BLOCK).orderBy("_run", INDEX)
     parts = (
         blocks.withColumn("_run", F.floor(F.col(INDEX) / rows))
         .withColumns({f"_end_{out}": _moments(value, ended) for out, value in scores.items()})
@@ -165,12 +170,15 @@ def _with_blocks(indexed: DataFrame, block_rows: int, halo: int) -> DataFrame:
 
 def _moments(value: str, frame: WindowSpec) -> Column:
     n = F.count(value).over(frame)
-    return F.struct(n.alias("n"), F.avg(value).over(frame).alias("mean"), (F.var_pop(value).over(frame) * n).alias("m2"))
+    return F.struct(
+        n.alias("n"), F.avg(value).over(frame).alias("mean"), (F.var_pop(value).over(frame) * n).alias("m2"),
+        F.min(value).over(frame).alias("low"), F.max(value).over(frame).alias("high"))
 
 
 def _zscore(value: Column, frame: Column, rows: int) -> Column:
     z = F.abs(ratio(value - frame["mean"], F.sqrt(frame["m2"] / (rows - 1))))
-    return F.when(frame["n"] == rows, z)
+    # Means of two parts of one repeated value may differ in their last bits, so equality is that of the extremes.
+    return F.when((frame["n"] == rows) & (frame["low"] < frame["high"]), z)
 
 
 def _merged(a: Column, b: Column) -> Column:
@@ -179,19 +187,20 @@ def _merged(a: Column, b: Column) -> Column:
     delta = b["mean"] - a["mean"]
     mean = a["mean"] + delta * ratio(b["n"], n)
     m2 = a["m2"] + b["m2"] + delta * delta * ratio(a["n"] * b["n"], n)
-    return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"))
+    low, high = F.least(a["low"], b["low"]), F.greatest(a["high"], b["high"])
+    return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"), low.alias("low"), high.alias("high"))
 
 
 def _carried(sliced: DataFrame, spec: LongSeries, totals: Mapping[str, Column], before: Mapping[str, Column]) -> DataFrame:
     """Joins to every row what the earlier slices of its series amount to.
 
-    ``totals`` aggregate a slice; ``before`` are windows over the slices that use the totals by name. The side
-    with one row per slice is hashed, which spares the rows the sort of a merge join.
+    ``totals`` aggregate a slice; ``before`` are windows over the slices that use the totals by name. How to join is
+    Spark's choice by the measured size of the side with a row per series and slice.
     """
-    keys = [*spec.keys, SLICE]
+    keys = [SERIES, SLICE]
     per_slice = sliced.groupBy(*keys).agg(*[c.alias(name) for name, c in totals.items()])
     carry = per_slice.select(*keys, *[c.alias(name) for name, c in before.items()])
-    return sliced.join(carry.hint("shuffle_hash"), keys)
+    return sliced.join(carry, keys)
 
 
 def _before(window: WindowSpec) -> WindowSpec:

@@ -97,7 +97,10 @@ def reconcile_observed(union: DataFrame, vintages: Sequence[str] = VINTAGES, as_
     keys = [c for c in OBSERVED_IDS if c != "group"]
     measures = [c for c in union.columns if c not in OBSERVED_IDS]
     firsts = [cell("min", "group", v, c, f"{c}__{v}") for c in measures for v in vintages]
-    known = union.dropna("any", subset=list(OBSERVED_IDS)).where(F.col("group").isin(list(vintages)))
+    known = union.dropna("any", subset=list(OBSERVED_IDS))
+    # A vintage that has no rank among the others is an error, not a row to leave out.
+    ranked = F.assert_true(F.col("group").isin(list(vintages)), F.concat(F.lit("unknown vintage "), "group")).isNull()
+    known = known.where(ranked)
     best = [F.coalesce(*[f"{c}__{v}" for v in vintages]).alias(c) for c in measures]
     wide = known.groupBy(*keys).agg(*firsts).select(*keys, *best)
     return to_long(wide, keys, value="new_val", as_text=as_text).where("new_val IS NOT NULL")

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from curveloom.functions.scalar import last_token
 
-# Fixed value: an anchor tag's attribute, as a pattern; {} is the attribute's name.
-ANCHOR = r'<a\b[^>]*\b{}="([^"]*)"'
+# An anchor tag, whose quoted values may hold any character, and a link that names its own scheme or host.
+ANCHOR = r"""(?i)<a\s(?:[^>"']++|"[^"]*+"|'[^']*+')*+>"""
+ABSOLUTE = r"(?i)^([a-z][a-z0-9+.-]*:|//)"
 
 
 def site_root(url: Column) -> Column:
@@ -15,14 +16,31 @@ def site_root(url: Column) -> Column:
 
 def page_links(
     pages: DataFrame, base: Column, extension: str | None = None, attribute: str = "href", html: str = "html",
+    css_class: str | None = None,
 ) -> DataFrame:
-    """One row per anchor: ``page_id, file, link`` with ``link = base/file``.
+    """One row per anchor with the attribute: ``page_id, file, link`` with ``link = base/file``.
 
-    With an ``extension`` only the files whose text after the last dot equals it are kept.
+    Values may be in double, single or no quotes, and names in either case. A link with a scheme or host of its own stays
+    as it is. With an ``extension`` only the files whose text after the last dot equals it are kept, and with a
+    ``css_class`` only anchors of that class.
     """
-    found = F.explode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR.format(attribute)), 1))
-    files = pages.select("page_id", base.alias("_base"), found.alias("_found"))
-    files = files.select("page_id", "_base", F.ltrim(F.col("_found"), F.lit("/")).alias("file"))
+    tags = pages.select("page_id", base.alias("_base"), F.explode(F.regexp_extract_all(F.col(html), F.lit(ANCHOR), 0)).alias("_tag"))
+    if css_class is not None:
+        classes = F.split(F.coalesce(_attribute(F.col("_tag"), "class"), F.lit("")), r"\s+")
+        tags = tags.where(F.array_contains(classes, css_class))
+    files = tags.select("page_id", "_base", _attribute(F.col("_tag"), attribute).alias("_found")).where("_found IS NOT NULL")
+    absolute = F.col("_found").rlike(ABSOLUTE)
+    files = files.select("page_id", "_base", absolute.alias("_absolute"),
+                         F.when(absolute, F.col("_found")).otherwise(F.ltrim(F.col("_found"), F.lit("/"))).alias("file"))
     if extension is not None:
         files = files.where(last_token(F.col("file"), ".") == extension)
-    return files.select("page_id", "file", F.concat_ws("/", "_base", "file").alias("link"))
+    link = F.when(F.col("_absolute"), F.col("file")).otherwise(F.concat_ws("/", "_base", "file"))
+    return files.select("page_id", "file", link.alias("link"))
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The attribute's value; NULL if the tag lacks it. Quoted values before it are passed over whole."""
+    before = r"""(?i)^<a(?:\s+[^\s=>"']+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']++))?)*?\s+"""
+    value = before + name + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
+    found = F.regexp_extract(tag, value, 1)
+    return F.when(found != "", F.regexp_replace(found, r"""^["']|["']$""", ""))

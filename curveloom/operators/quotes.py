@@ -15,7 +15,7 @@ from curveloom.functions.long_series import LongSeries, cut, rolling_zscores
 from curveloom.functions.reshape import stacked, to_long, to_wide
 from curveloom.functions.scalar import first_token, last_token, present_count, row_mean
 from curveloom.functions.series import rolling_zscore, series
-from curveloom.sources.store import checkpointed
+from curveloom.sources.store import kept
 
 KEYS = ("date", "tenor_days", "tenor")
 
@@ -110,7 +110,8 @@ def replaced(
     if gather_tenors:
         flagged = scored.withColumn("_tenor_has_bad", any_bad.over(Window.partitionBy("tenor")))
     else:
-        flagged = scored.join(scored.groupBy("tenor").agg(any_bad.alias("_tenor_has_bad")), "tenor")
+        bad = scored.groupBy(F.col("tenor").alias("_of")).agg(any_bad.alias("_tenor_has_bad"))
+        flagged = scored.join(bad, F.col("tenor").eqNullSafe(F.col("_of"))).drop("_of")
     flagged = flagged.withColumn("_good_mean", _good_mean(cutoff, sides))
     rows = stacked([
         {
@@ -141,11 +142,11 @@ def cleaned_long_history(
 ) -> DataFrame:
     """As ``cleaned_quotes``, for tenors with histories too long for one task.
 
-    The imputed and the scored rows are each read more than once, so both are kept in the checkpoint folder.
+    The imputed and the scored rows are each read more than once, so both are kept in the shared folder.
     """
-    filled = checkpointed(imputed(partial_rows(sides_wide(quotes, sides), sides), sides, impute_sides))
+    filled = kept(imputed(partial_rows(sides_wide(quotes, sides), sides), sides, impute_sides), "imputed")
     history = cut(filled, ["tenor"], "date", slices)
-    scored = checkpointed(with_zscores(filled, window_rows, sides, history))
+    scored = kept(with_zscores(filled, window_rows, sides, history), "scored")
     return replaced(scored, cutoff, sides, gather_tenors=False)
 
 

@@ -6,7 +6,6 @@ literals and only ``min``/``max`` are used, so any engine gets the same bits.
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from curveloom.config import RISK_VARIABLES, UNIVERSE, VINTAGES
 from curveloom.operators.universe import etf_table, universe_table
@@ -15,19 +14,14 @@ YIELD_SERIES = ("DGS2", "DGS5", "DGS7", "DGS10", "DGS30")
 ETF_SERIES = ("SHY", "IEI", "IEF", "TLT")
 QUOTE_TENORS = ("4-Week", "1-Year", "10-Year", "30-Year")
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
-EVENT_SIDES = {"click": "bid", "view": "eod", "purchase": "mid", "signup": "offer"}
-VINTAGE_START = dict(zip(VINTAGES, ("1995-01-01", "1997-01-01", "1999-01-01")))
+EVENT_SIDES = dict(enumerate(("bid", "eod", "mid", "offer")))
+VINTAGE_START = dict(zip(VINTAGES, (None, "1997-01-01", "1999-01-01")))
 AUCTION_INDEX = ("row", "part")
 AUCTION_COLUMNS = ("cusip", "auction_date", "issue_date")
-_SCHEMAS: dict[str, StructType] = {}
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A test table. Its schema is read from the files once per process, not once per query."""
-    path = f"{folder}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
 def universe(spark: SparkSession, folder: str) -> DataFrame:
@@ -43,16 +37,18 @@ def risk(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFrame
 
     ``by_nation`` gives each customer nation a panel of its own, told apart by ``curve``.
     """
-    orders, by = table(spark, folder, "orders"), []
-    if by_nation:
-        customers = table(spark, folder, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS curve")
-        orders, by = orders.join(customers, "o_custkey"), ["curve"]
+    orders, by = table(spark, folder, "orders"), ["curve"] if by_nation else []
     security = _choose("o_orderpriority", {p: f"{s} Comdty" for p, s in zip(PRIORITIES, UNIVERSE)})
     years = _choose("o_orderpriority", dict(zip(PRIORITIES, UNIVERSE.values())))
-    daily = (
-        orders.groupBy(*by, F.to_date("o_orderdate").alias("date"), security.alias("security"), years.alias("years"))
-        .agg(F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low"))
-    )
+    keys = [F.to_date("o_orderdate").alias("date"), security.alias("security"), years.alias("years")]
+    extremes = [F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low")]
+    if by_nation:
+        # A customer's orders shrink to one row a day and security before they meet the customers.
+        customers = table(spark, folder, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS curve")
+        daily = orders.groupBy("o_custkey", *keys).agg(*extremes).join(customers, "o_custkey").groupBy(
+            "curve", "date", "security", "years").agg(F.max("high").alias("high"), F.min("low").alias("low"))
+    else:
+        daily = orders.groupBy(*keys).agg(*extremes)
     duration, convexity = RISK_VARIABLES
     wide = daily.selectExpr(
         *by, "date", "security",
@@ -64,15 +60,15 @@ def risk(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFrame
 
 def yields(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFrame:
     """Line numbers as constant-maturity series; ``by_nation`` gives each supplier nation its own."""
-    lines, by = table(spark, folder, "lineitem"), []
+    lines, date = table(spark, folder, "lineitem"), F.to_date("l_shipdate").alias("date")
+    lows = [F.expr(f"min(l_extendedprice) FILTER (WHERE l_linenumber % 5 = {k}) AS {n}") for k, n in enumerate(YIELD_SERIES)]
     if by_nation:
+        # A supplier's lines shrink to one row a day before they meet the suppliers.
         suppliers = table(spark, folder, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS curve")
-        lines, by = lines.join(suppliers, "l_suppkey"), ["curve"]
-    cells = [
-        F.expr(f"min(l_extendedprice) FILTER (WHERE l_linenumber % 5 = {k}) / 2e4 + 1e-1 AS {n}")
-        for k, n in enumerate(YIELD_SERIES)
-    ]
-    return lines.groupBy(*by, F.to_date("l_shipdate").alias("date")).agg(*cells)
+        daily = lines.groupBy("l_suppkey", date).agg(*lows).join(suppliers, "l_suppkey").groupBy("curve", "date").agg(
+            *[F.min(n).alias(n) for n in YIELD_SERIES])
+        return daily.select("curve", "date", *[F.expr(f"{n} / 2e4 + 1e-1 AS {n}") for n in YIELD_SERIES])
+    return lines.groupBy(date).agg(*lows).select("date", *[F.expr(f"{n} / 2e4 + 1e-1 AS {n}") for n in YIELD_SERIES])
 
 
 def front_prices(spark: SparkSession, folder: str) -> DataFrame:
@@ -95,9 +91,9 @@ def etf_prices(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quotes_wide(spark: SparkSession, folder: str) -> DataFrame:
-    """Event types as quote sides, users as tenors and hours as dates; status events are no quotes."""
-    events = table(spark, folder, "events").where(F.col("event_type").isin(list(EVENT_SIDES)))
-    side = _choose("event_type", EVENT_SIDES)
+    """Every event: event numbers as quote sides, users as tenors and hours as dates."""
+    events = table(spark, folder, "events")
+    side = _choose("event_id % 4", EVENT_SIDES)
     cells = [F.expr(f"max(value) FILTER (WHERE user_id % 4 = {k}) AS `{n}`") for k, n in enumerate(QUOTE_TENORS)]
     return events.groupBy(_hour("ts").alias("date"), side.alias("quote")).agg(*cells)
 
@@ -109,9 +105,9 @@ def ticks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def tick_quotes(spark: SparkSession, folder: str) -> DataFrame:
-    """Every quote event by hour, side and tenor, before they are reduced to one per key."""
-    events = table(spark, folder, "events").where(F.col("event_type").isin(list(EVENT_SIDES)))
-    side = _choose("event_type", EVENT_SIDES)
+    """Every event by hour, side and tenor, before they are reduced to one per key."""
+    events = table(spark, folder, "events")
+    side = _choose("event_id % 4", EVENT_SIDES)
     tenor = _choose("user_id % 4", dict(enumerate(QUOTE_TENORS)))
     return events.select(_hour("ts").alias("date"), side.alias("quote"), tenor.alias("tenor"), "value")
 
@@ -153,8 +149,12 @@ def vintages(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
         third: [price.alias("price"), F.month("o_orderdate").cast("double").alias("month")],
     }
     orders = table(spark, folder, "orders")
+
+    def since(start: str | None) -> DataFrame:
+        return orders if start is None else orders.where(F.col("o_orderdate") >= F.lit(start).cast("timestamp_ntz"))
+
     return {
-        name: orders.where(F.col("o_orderdate") >= F.lit(VINTAGE_START[name]).cast("timestamp_ntz")).select(
+        name: since(VINTAGE_START[name]).select(
             F.col("o_orderstatus").alias("Action"), F.col("o_custkey").cast("string").alias("Description"),
             F.col("o_orderpriority").alias("last_updated"),
             F.year("o_orderdate").cast("double").alias("year"), *columns)

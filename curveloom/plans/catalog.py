@@ -12,6 +12,7 @@ from curveloom.config import QUOTE_SIDES
 from curveloom.functions import long_series, reshape
 from curveloom.operators import auctions, compare, flies, links, quotes, returns, spreads, universe
 from curveloom.plans import adapters as a
+from curveloom.plans import files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,7 +190,7 @@ def _page_links(spark, folder):
 def _ticks(spark, folder):
     """All ticks and how their series, one per event type, are cut."""
     ticks = a.ticks(spark, folder)
-    return ticks, long_series.cut(ticks, ["event_type"], "event_id")
+    return ticks, long_series.cut(ticks, ["event_type"], "event_id", rows_per_slice=1000)
 
 
 def _tick_diff(spark, folder):
@@ -276,6 +277,12 @@ QUERIES: dict[str, Query] = {
     "quote_wide_by_variable": _quote_wide_by_variable,
     # Pages
     "page_links": _page_links,
+    # The same through saved files and the readers
+    "read_risk_panel": files.risk_panel,
+    "read_daily_quotes": files.daily_quotes,
+    "read_observed": files.observed,
+    "read_auctions": files.saved_auctions,
+    "build_returns": files.built_returns,
     # The series operators on tick histories, whose few keys each hold a large part of the rows
     "tick_diff": _tick_diff,
     "tick_pct_change": _tick_pct_change,

@@ -200,10 +200,10 @@ TABLES: dict[str, tuple[str, str]] = {
             SELECT *, row_number() OVER (PARTITION BY "Action", "Description", "group", last_updated, variable
                 ORDER BY value) AS rn FROM (SELECT DISTINCT * FROM observed)) WHERE rn = 1"""),
     "tick_quotes": ("", """
-        SELECT date_trunc('hour', ts) AS date, CASE event_type WHEN 'click' THEN 'bid' WHEN 'view' THEN 'eod'
-            WHEN 'purchase' THEN 'mid' ELSE 'offer' END AS quote,
+        SELECT date_trunc('hour', ts) AS date, CASE event_id % 4 WHEN 0 THEN 'bid' WHEN 1 THEN 'eod'
+            WHEN 2 THEN 'mid' ELSE 'offer' END AS quote,
             CASE user_id % 4 WHEN 0 THEN '4-Week' WHEN 1 THEN '1-Year' WHEN 2 THEN '10-Year' ELSE '30-Year' END AS tenor, value
-        FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup')"""),
+        FROM events"""),
     "quotes": ("tick_quotes", """
         SELECT d.date, d.quote, t.tenor, max(q.value) AS value FROM (SELECT DISTINCT date, quote FROM tick_quotes) d
             CROSS JOIN (VALUES ('4-Week'), ('1-Year'), ('10-Year'), ('30-Year')) AS t(tenor)
@@ -365,7 +365,15 @@ SELECTS: dict[str, tuple[str, str]] = {
             max(CASE WHEN variable = 'offer' THEN replace_value END) AS offer FROM replaced_short GROUP BY tenor, date"""),
     "page_links": ("", r"""
         SELECT page_id, ltrim(found, '/') AS file, regexp_extract(url, '^(https?://[^/]+)', 1) || '/' || ltrim(found, '/') AS link
-        FROM (SELECT page_id, url, unnest(regexp_extract_all(html, '<a\b[^>]*\bhref="([^"]*)"', 1)) AS found FROM pages)"""),
+        FROM (SELECT page_id, url, split_part(split_part(' ' || tag, ' href="', 2), '"', 1) AS found FROM (
+            SELECT page_id, url, split_part(unnest(string_split(html, '<a ')[2:]), '>', 1) AS tag FROM pages)
+            WHERE contains(' ' || tag, ' href="'))"""),
+    "read_daily_quotes": ("tick_quotes", """
+        SELECT d.date, d.quote, t.tenor, max(q.value) AS value
+        FROM (SELECT DISTINCT cast(date AS DATE) AS date, quote FROM tick_quotes) d
+        CROSS JOIN (SELECT DISTINCT tenor FROM tick_quotes) t
+        LEFT JOIN tick_quotes q ON cast(q.date AS DATE) = d.date AND q.quote = d.quote AND q.tenor = t.tenor
+        GROUP BY d.date, d.quote, t.tenor"""),
     "tick_diff": ("", f"""
         SELECT *, value - lag(value) OVER ({_BY_EVENT}) AS diff FROM ({_TICKS})"""),
     "tick_pct_change": ("", f"""
@@ -395,9 +403,16 @@ def _needed(names: str, seen: dict[str, str]) -> dict[str, str]:
     return seen
 
 
+# Queries that read saved files give what those give that start from the tables.
+FROM_FILES = {
+    "read_risk_panel": "deliverable_panel", "read_observed": "observed_reconcile", "read_auctions": "auction_filtered",
+    "build_returns": "synthetic_returns",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     queries = {}
     for name, (reads, select) in SELECTS.items():
         tables = [f"{t} AS ({definition})" for t, definition in _needed(reads, {}).items()]
         queries[name] = (f"WITH {', '.join(tables)} " if tables else "") + select
-    return queries
+    return queries | {name: queries[same] for name, same in FROM_FILES.items()}

@@ -7,9 +7,11 @@ folder is any path that all executors share, such as ``store.shared_path(spark,
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curveloom.config import TENOR_PREFIX, UNIVERSE, VINTAGES, ZSCORE_CUTOFF, ZSCORE_WINDOW
 from curveloom.functions.reshape import assert_unique
+from curveloom.functions.scalar import first_token
 from curveloom.operators import auctions, flies, quotes, returns, spreads, universe
 from curveloom.sources import tables
 from curveloom.sources.store import materialize
@@ -24,7 +26,9 @@ def synthetic_returns(
     """``tenors`` are the columns to read from the yield panel. Repeated risk values are an error."""
     def build() -> DataFrame:
         risk, yields = tables.read_risk(spark, risk_paths), tables.read_panel(spark, yield_paths, tenors)
-        assert_unique(risk, ["date", "security", "variable"])
+        # As the panel keys them: securities by their first token.
+        assert_unique(risk.withColumn("security", first_token(F.col("security"))), ["date", "security", "variable"])
+        assert_unique(yields, ["date"])
         return returns.synthetic_returns(risk, yields, _universe(spark, securities))
     return materialize(spark, f"{folder}/synthetic_returns", build, refresh=refresh)
 

@@ -3,13 +3,16 @@
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8", app: str = "curveloom", memory: str = "12g") -> SparkSession:
+def local_session(
+    cores: str = "8", app: str = "curveloom", memory: str = "12g", shared: str = "/tmp/curveloom-shared",
+) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", shared)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")

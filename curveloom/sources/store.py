@@ -1,6 +1,6 @@
 """Build-or-read tables."""
 
-import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -11,25 +11,28 @@ NOT_BUILT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
-    """A path in the folder that all executors share, named by ``spark.checkpoint.dir``."""
+    """A path in the folder that all executors share, named by ``spark.checkpoint.dir``.
+
+    Only a session on this machine alone may leave it unset, and gets a folder by its application's id.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        raise ValueError("spark.checkpoint.dir is not set; pass a full path")
+        context = getattr(spark, "sparkContext", None)
+        if context is None or not context.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
+        folder = f"/tmp/curveloom-shared/{context.applicationId}"
     return f"{folder.rstrip('/')}/{name}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """The rows, computed once and kept in the shared checkpoint folder, without the lineage behind them.
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows, computed once into a table of the shared folder, without the lineage behind them.
 
-    Use it where a plan reads an expensive result more than once. The folder is the session's
-    ``spark.checkpoint.dir``; only a local session may go without and gets a folder of its own.
+    Use it where a plan reads an expensive result more than once. The table stays until the folder is cleared.
     """
-    context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        if not context.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-"))
-    return df.checkpoint()
+    spark = df.sparkSession
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+    write_table(df, path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
@@ -40,15 +43,34 @@ def materialize(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], partition_by: Sequence[str] = (),
     refresh: bool = False,
 ) -> DataFrame:
-    """The table at ``path``, built first if it is not there yet or ``refresh`` is set.
+    """The table at ``path``, built first if it is not finished or ``refresh`` is set.
 
-    Any error other than "not built yet" is raised. The result reads from storage, so the lineage behind it is cut.
+    A table is finished when the small table ``path.state`` beside it says so. That is taken back before the first
+    file is written and set after the last, so what an interrupted write leaves is built again. Any error other than
+    "not built yet" is raised. The result reads from storage, so the lineage behind it is cut.
     """
-    if not refresh:
+    if refresh or not _finished(spark, path):
         try:
-            return spark.read.parquet(path)
+            spark.read.parquet(path)
         except AnalysisException as error:
             if error.getCondition() not in NOT_BUILT:
-                raise
-    write_table(build(), path, partition_by, "overwrite")
+                raise  # there is something else that is not to be written over
+        rows = build()
+        _set_finished(spark, path, False)
+        write_table(rows, path, partition_by, "overwrite")
+        _set_finished(spark, path, True)
     return spark.read.parquet(path)
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    try:
+        states = spark.read.schema("finished boolean").parquet(f"{path}.state").collect()
+    except AnalysisException as error:
+        if error.getCondition() not in NOT_BUILT:
+            raise
+        return False
+    return [s["finished"] for s in states] == [True]
+
+
+def _set_finished(spark: SparkSession, path: str, finished: bool) -> None:
+    write_table(spark.range(1).selectExpr(f"{str(finished).lower()} AS finished").coalesce(1), f"{path}.state", mode="overwrite")

@@ -3,6 +3,7 @@
 Dates saved as nanosecond timestamps, as pandas does, need ``spark.sql.legacy.parquet.nanosAsLong`` in the session.
 """
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,34 +34,44 @@ def read_panel(spark: SparkSession, paths: Sequence[str], series: Sequence[str])
 def read_quote_files(spark: SparkSession, folder: str, tenors: Sequence[str], pattern: str = "historical_*") -> DataFrame:
     """JSON quote files, one per side, as ``date, quote`` and a column per tenor.
 
-    Only files named like ``pattern`` are listed; the side is the second last ``_`` token of the name.
+    Files, and folders of part files, named like ``pattern`` are read; the side is the second last ``_`` token of that
+    name. Records that don't parse are an error, and so is a folder without any such name.
     """
     raw = (
-        spark.read.schema(schemas.quotes(tenors)).option("multiLine", True).option("pathGlobFilter", pattern)
-        .json(folder)
+        spark.read.schema(schemas.quotes(tenors)).option("multiLine", True).option("mode", "FAILFAST")
+        .json(f"{folder.rstrip('/')}/{pattern}")
     )
-    side = F.element_at(F.split(_file_name(), "_"), -2)
+    side = F.element_at(F.split(_named(_expression(pattern)), "_"), -2)
     return null_nans(raw.select(F.to_date("Date").alias("date"), side.alias("quote"), *[F.col(f"`{t}`") for t in tenors]))
 
 
 def read_observed(spark: SparkSession, folder: str, index_columns: Sequence[str] = ()) -> DataFrame:
-    """Parquet tables of observed securities whose names have six ``_`` tokens, tagged with their vintage.
+    """Parquet files, or folders of part files, whose names have six ``_`` tokens, tagged with their vintage.
 
-    The vintage is the file's stem after ``usts_``. A column that one vintage lacks is NULL there.
+    The vintage is the name's stem after ``usts_``. A column that one vintage lacks is NULL there. A folder without
+    any such name is an error; other tables in it are not opened.
     """
-    stem = F.substring_index(_file_name(), ".", 1)
-    rows = spark.read.option("mergeSchema", True).parquet(folder)
-    named = rows.select("*", stem.alias("_stem")).where(F.size(F.split(F.col("_stem"), "_")) == 6)
+    rows = spark.read.option("mergeSchema", True).parquet(f"{folder.rstrip('/')}/*_*_*_*_*_*")
+    stem = F.substring_index(_named("[^_.]+(_[^_.]+){5}([.].*)?"), ".", 1)
+    named = rows.select("*", stem.alias("_stem")).where(F.col("_stem").isNotNull())
     return null_nans(named.withColumn("group", last_token(F.col("_stem"), "usts_")).drop("_stem", *index_columns))
 
 
 def read_indexed(spark: SparkSession, path: str, schema: str, index_columns: Sequence[str]) -> DataFrame:
-    """A saved CSV table without its leading row-number columns."""
-    return spark.read.schema(schema).option("header", True).csv(path).drop(*index_columns)
+    """A saved CSV table without its leading row-number columns. Another header, or a cell that doesn't parse, is an error."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+    return reader.csv(path).drop(*index_columns)
 
 
-def _file_name() -> Column:
-    return F.col("_metadata.file_name")
+def _expression(pattern: str) -> str:
+    """The expression of a file pattern with stars."""
+    return ".*".join(map(re.escape, pattern.split("*")))
+
+
+def _named(expression: str) -> Column:
+    """The last part of a row's path, be it a file or a folder above it, that matches a whole expression; NULL if none."""
+    parts = F.filter(F.split(F.col("_metadata.file_path"), "/"), lambda part: part.rlike(f"^(?:{expression})$"))
+    return F.try_element_at(parts, F.lit(-1))
 
 
 def _dated(df: DataFrame, ddl: str) -> DataFrame:

@@ -113,8 +113,26 @@ def test_slices_bound_the_rows_of_a_hot_key(spark, stray):
     df = spark.range(10_000).select(F.lit("hot").alias("k"), F.pow(F.col("id"), 3).alias("t"))
     if stray:
         df = df.union(spark.createDataFrame([("hot", 1e30), ("hot", -1e30)], "k string, t double"))
-    sizes = ls.with_slices(df, ls.cut(df, ["k"], "t")).groupBy("k", ls.SLICE).count().collect()
-    assert len(sizes) == 100 and max(r["count"] for r in sizes) <= 200
+    sizes = ls.with_slices(df, ls.cut(df, ["k"], "t", rows_per_slice=100)).groupBy("k", ls.SLICE).count().collect()
+    assert 100 <= len(sizes) <= 101 and max(r["count"] for r in sizes) <= 200
+
+
+@pytest.mark.parametrize("value", [0.1, 4.37, 0.7])
+def test_runs_of_one_value_have_no_zscore(spark, value):
+    rng = random.Random(1)
+    data = [("a", i, value) for i in range(900)] + [("a", 900 + i, rng.uniform(1, 9)) for i in range(300)]
+    df = spark.createDataFrame(data, "k string, t long, x double")
+    actual = ls.rolling_zscores(df, ls.cut(df, ["k"], "t", 5), {"z": "x"}, 200)
+    assert not [r for r in actual.where("t < 900").collect() if r.z is not None]
+    same(actual.where("t >= 1100"), df.where("t >= 901").withColumn("z", ss.rolling_zscore(F.col("x"), w(), 200)).where("t >= 1100"), "z")
+
+
+def test_rows_without_a_key_are_a_series_of_their_own(spark):
+    data = [(k, i, float(i)) for i in range(6) for k in ("a", None)]
+    df = spark.createDataFrame(data, "k string, t long, x double")
+    spec = ls.cut(df, ["k"], "t", 3)
+    same(ls.difference(df, spec, "x", "d"), df.withColumn("d", ss.difference(F.col("x"), w())), "d")
+    assert ls.cumulative(df, spec, {"s": "x"}).count() == ls.rolling_zscores(df, spec, {"z": "x"}, 2).count() == 12
 
 
 def test_empty_table(spark):

@@ -98,17 +98,42 @@ def test_shared_path_needs_the_setting():
         store.shared_path(session({}), "x")
 
 
-def test_checkpointed_rows_have_no_lineage(spark):
-    kept = store.checkpointed(spark.range(5).where("id > 1"))
+def test_materialize_rebuilds_a_table_that_lacks_files(spark, tmp_path):
+    path = tmp_path / "t"
+    store.materialize(spark, str(path), lambda: spark.range(0, 1000, 1, 4))
+
+    def interrupted():
+        store._set_finished(spark, str(path), False)
+        for part in sorted(path.glob("part-*"))[:2]:
+            part.unlink()
+    interrupted()
+    assert store.materialize(spark, str(path), lambda: spark.range(1000)).count() == 1000
+    store.write_table(spark.range(3), str(tmp_path / "u"))
+    assert store.materialize(spark, str(tmp_path / "u"), lambda: spark.range(7)).count() == 7
+
+
+def test_kept_rows_have_no_lineage(spark):
+    kept = store.kept(spark.range(5).where("id > 1"), "rows")
     assert [r.id for r in kept.orderBy("id").collect()] == [2, 3, 4]
-    assert "Filter" not in kept._jdf.queryExecution().executedPlan().toString()
+    assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
 def test_links_with_extension(spark):
-    html = '<a class="x" href="a/b.xlsx">t</a><A href="no.xlsx"><a title="c.xlsx" href="/c.csv"></a><abbr href="d.xlsx">'
+    html = '<a class="x" href="a/b.xlsx">t</a><A HREF="no.xlsx"><a title="c.xlsx" href="/c.csv"></a><abbr href="d.xlsx">'
     pages = spark.createDataFrame([(1, "https://h.org/p/q?x=1", html), (2, "http://g.net", "none")], "page_id int, url string, html string")
     base = links.site_root(F.col("url"))
     assert rows(links.page_links(pages, base)) == [
-        (1, "a/b.xlsx", "https://h.org/a/b.xlsx"), (1, "c.csv", "https://h.org/c.csv")]
-    assert rows(links.page_links(pages, base, "xlsx")) == [(1, "a/b.xlsx", "https://h.org/a/b.xlsx")]
+        (1, "a/b.xlsx", "https://h.org/a/b.xlsx"), (1, "c.csv", "https://h.org/c.csv"), (1, "no.xlsx", "https://h.org/no.xlsx")]
+    assert rows(links.page_links(pages, base, "csv")) == [(1, "c.csv", "https://h.org/c.csv")]
     assert rows(links.page_links(pages, F.lit("https://raw/data"), "xlsx", "title")) == [(1, "c.xlsx", "https://raw/data/c.xlsx")]
+
+
+def test_links_in_any_quotes(spark):
+    html = ("<a href='one.csv'>x</a><a data-href=\"no.csv\" HREF=two.csv class=\"box link\"><a title='href=\"no\"' href=\"3 > 2.csv\">"
+            "<a href=\"http://o.org/z.xlsx\"><a href=\"//c.net/y\"><a name=top><a\nhref=\"../up.csv\" >")
+    pages = spark.createDataFrame([(1, "https://h.org/p", html)], "page_id int, url string, html string")
+    base = links.site_root(F.col("url"))
+    assert {(r.file, r.link) for r in links.page_links(pages, base).collect()} == {
+        ("one.csv", "https://h.org/one.csv"), ("two.csv", "https://h.org/two.csv"), ("3 > 2.csv", "https://h.org/3 > 2.csv"),
+        ("http://o.org/z.xlsx", "http://o.org/z.xlsx"), ("//c.net/y", "//c.net/y"), ("../up.csv", "https://h.org/../up.csv")}
+    assert [r.file for r in links.page_links(pages, base, css_class="link").collect()] == ["two.csv"]
