@@ -1,14 +1,13 @@
 """What the operators share: tables, scratch tables in the shared folder, and connected components."""
 
 import os
-import tempfile
 import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_OWN: dict[str, str] = {}
+from curveloom.sources.store import shared_path
 
 
 def prepare(spark: SparkSession) -> None:
@@ -25,17 +24,8 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, from ``spark.checkpoint.dir``.
-
-    A local session that leaves it unset gets a folder of its own; a cluster must name one.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local["):
-        raise ValueError("spark.checkpoint.dir is not set; name a folder that all executors share")
-    return _OWN.setdefault(context.applicationId, tempfile.mkdtemp(prefix="run-"))
+    """The folder that all executors share, from ``spark.checkpoint.dir``."""
+    return shared_path(spark, "training-data")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
