@@ -24,7 +24,7 @@ from curveloom.llm.common import documents, written
 CAPACITY = 4096
 # Fixed value: the id behind each document.
 END_ID = 1
-KNOWN_RUNS = 1 << 21
+KNOWN_RUNS = 1 << 20
 PIECE_SCHEMA = "part int, row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 # Between an ASCII letter and an ASCII mark other than the apostrophe the pre-tokeniser always cuts.
 _CUT = re.compile(rb"(?<=[a-z])(?=[!-&(-/:-@\[-`{-~])|(?<=[!-&(-/:-@\[-`{-~])(?=[a-z])")
