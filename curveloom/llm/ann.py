@@ -22,10 +22,10 @@ SHORTLIST = 16
 def _neighbours(x: np.ndarray, k: int) -> np.ndarray:
     """For each row of unit vectors the numbers of its ``k`` nearest others."""
     k, out = min(k, len(x) - 1), []
-    for at in range(0, len(x), 1024):
-        near = x[at:at + 1024] @ x.T
+    for at in range(0, len(x), 256):
+        near = x[at:at + 256] @ x.T
         near[np.arange(len(near)), np.arange(at, at + len(near))] = -2.0
-        out.append(np.argpartition(-near, k - 1, axis=1)[:, :k] if k else np.zeros((len(near), 0), np.int64))
+        out.append(np.argpartition(-near, k - 1, axis=1)[:, :k].copy() if k else np.zeros((len(near), 0), np.int64))
     return np.concatenate(out)
 
 
