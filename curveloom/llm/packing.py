@@ -63,7 +63,7 @@ class TokenIds:
 
     def _learn(self, runs: set[bytes]) -> None:
         """Adds the ids of runs; those of parts between cuts are added and looked up too."""
-        letters = {run for run in runs if run.isalpha()}
+        letters = {run for run in runs if run.isalpha() or run.decode("utf-8", "replace").isalpha()}
         others, compound = set(), {}
         for run in runs - letters:
             parts = _CUT.split(run)
@@ -94,11 +94,14 @@ class TokenIds:
         plain = set(range(len(texts))).difference(special)
         lists = pc.split_pattern(pa.array([_blanked(t) if k in plain else b"" for k, t in enumerate(texts)], pa.large_binary()), " ")
         coded = lists.flatten().dictionary_encode()
-        runs, index = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        runs, index = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
         if len(self.known) > KNOWN_RUNS:
             self.known = {b"": b""}
-        self._learn(set(runs).difference(self.known))
-        found = [self.known[r] for r in runs]
+        found = list(map(self.known.get, runs))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        self._learn({runs[k] for k in new})
+        for k in new:
+            found[k] = self.known[runs[k]]
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         flat, start = np.frombuffer(b"".join(found), "<u4"), np.cumsum(size) - size
         n = size[index]
