@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curveloom.functions.scalar import ratio
-from curveloom.functions.series import cumulative_growth, cumulative_sum, running
+from curveloom.functions.series import cumulative_growth, cumulative_sum, zscores_by_runs
 
 SERIES, SLICE, INDEX, BLOCK = "_series", "_slice", "_index", "_block"
 
@@ -132,33 +132,13 @@ def rolling_zscores(df: DataFrame, spec: LongSeries, scores: Mapping[str, str],
     """|z| of each value against its trailing ``rows`` rows, itself included (``output name -> column``).
 
     NULL unless all of those rows hold a value, and NULL where they are all equal.
-
-    The frame of a row is the end of one run of ``rows`` rows and the start of the next. Its statistics are
-    those of the two parts merged, each a running aggregate, so the work per row does not grow with ``rows``.
     """
     block_rows = rows * ceil(max(spec.rows_per_slice, 1) / rows)
     indexed = with_index(df, spec).withColumn(SERIES, F.struct(*spec.keys))
     blocks = _with_blocks(indexed, block_rows, rows).repartition(SERIES, BLOCK)
-    runs = Window.partitionBy(SERIES, BLOCK, "_run")
-    # All three windows use the one shuffle on the block, the last two also the same sort.
-    ended = running(runs.orderBy(F.desc(INDEX)))
-    started = running(runs.orderBy(INDEX))
-    series = Window.partitionBy(SERIES, BLOCK).orderBy("_run", INDEX)
-    parts = (
-        blocks.withColumn("_run", F.floor(F.col(INDEX) / rows))
-        .withColumns({f"_end_{out}": _moments(value, ended) for out, value in scores.items()})
-        .withColumns({f"_start_{out}": _moments(value, started) for out, value in scores.items()})
-        .withColumns({f"_end_{out}": F.lag(f"_end_{out}", rows - 1).over(series) for out in scores})
-        .where(F.col(BLOCK) == F.floor(F.col(INDEX) / block_rows))
-    )
-    whole_run = (F.col(INDEX) + 1) % rows == 0
-    frames = parts.withColumns({
-        f"_all_{out}": F.when(whole_run, F.col(f"_start_{out}")).otherwise(
-            _merged(F.col(f"_end_{out}"), F.col(f"_start_{out}")))
-        for out in scores
-    })
-    results = [_zscore(F.col(value), F.col(f"_all_{out}"), rows).alias(out) for out, value in scores.items()]
-    return frames.select(*[c for c in df.columns if c not in scores], *results)
+    scored = zscores_by_runs(blocks, [SERIES, BLOCK], INDEX, scores, rows)
+    return scored.where(F.col(BLOCK) == F.floor(F.col(INDEX) / block_rows)).select(
+        *[c for c in df.columns if c not in scores], *scores)
 
 
 def _with_blocks(indexed: DataFrame, block_rows: int, halo: int) -> DataFrame:
@@ -168,29 +148,6 @@ def _with_blocks(indexed: DataFrame, block_rows: int, halo: int) -> DataFrame:
     return indexed.select("*", F.explode(both).alias(BLOCK))
 
 
-def _moments(value: str, frame: WindowSpec) -> Column:
-    n = F.count(value).over(frame)
-    return F.struct(
-        n.alias("n"), F.avg(value).over(frame).alias("mean"), (F.var_pop(value).over(frame) * n).alias("m2"),
-        F.min(value).over(frame).alias("low"), F.max(value).over(frame).alias("high"))
-
-
-def _zscore(value: Column, frame: Column, rows: int) -> Column:
-    z = F.abs(ratio(value - frame["mean"], F.sqrt(frame["m2"] / (rows - 1))))
-    # Means of two parts of one repeated value may differ in their last bits, so equality is that of the extremes.
-    return F.when((frame["n"] == rows) & (frame["low"] < frame["high"]), z)
-
-
-def _merged(a: Column, b: Column) -> Column:
-    """Count, mean and squared deviations of two parts together. ``n`` tells if values are missing from either."""
-    n = a["n"] + b["n"]
-    delta = b["mean"] - a["mean"]
-    mean = a["mean"] + delta * ratio(b["n"], n)
-    m2 = a["m2"] + b["m2"] + delta * delta * ratio(a["n"] * b["n"], n)
-    low, high = F.least(a["low"], b["low"]), F.greatest(a["high"], b["high"])
-    return F.struct(n.alias("n"), mean.alias("mean"), m2.alias("m2"), low.alias("low"), high.alias("high"))
-
-
 def _carried(sliced: DataFrame, spec: LongSeries, totals: Mapping[str, Column], before: Mapping[str, Column]) -> DataFrame:
     """Joins to every row what the earlier slices of its series amount to.
 

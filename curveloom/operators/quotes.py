@@ -2,19 +2,19 @@
 
 From the side pivot to the final unpivot a row is one tenor and date with the four sides side by side, so
 imputation, the "any bad side" test and the replacement mean are row-wise expressions, and the rolling
-statistics of all sides share one window per tenor.
+statistics of all sides share one shuffle per tenor.
 """
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curveloom.config import CARRY_DAYS, DAYS_PER_WEEK, IMPUTED_SIDES, QUOTE_SIDES, ZSCORE_CUTOFF, ZSCORE_WINDOW
 from curveloom.functions.long_series import LongSeries, cut, rolling_zscores
 from curveloom.functions.reshape import stacked, to_long, to_wide
 from curveloom.functions.scalar import first_token, last_token, present_count, row_mean
-from curveloom.functions.series import rolling_zscore, series
+from curveloom.functions.series import with_rolling_zscores
 from curveloom.sources.store import kept
 
 KEYS = ("date", "tenor_days", "tenor")
@@ -75,8 +75,7 @@ def with_zscores(
     """
     if history is not None:
         return rolling_zscores(filled, history, {_z(s): s for s in sides}, window_rows)
-    window = series(["tenor"])
-    return filled.withColumns({_z(s): rolling_zscore(F.col(s), window, window_rows) for s in sides})
+    return with_rolling_zscores(filled, ["tenor"], {_z(s): s for s in sides}, window_rows)
 
 
 def zscores_long(scored: DataFrame, sides: Sequence[str] = QUOTE_SIDES) -> DataFrame:
@@ -94,24 +93,19 @@ def good_date_rows(scored: DataFrame, cutoff: float = ZSCORE_CUTOFF, sides: Sequ
     return zscores_long(scored.where(~_any_bad(cutoff, sides)), sides)
 
 
-def replaced(
-    scored: DataFrame, cutoff: float = ZSCORE_CUTOFF, sides: Sequence[str] = QUOTE_SIDES, gather_tenors: bool = True,
-) -> DataFrame:
+def replaced(scored: DataFrame, cutoff: float = ZSCORE_CUTOFF, sides: Sequence[str] = QUOTE_SIDES) -> DataFrame:
     """``date, tenor_days, tenor, variable, value, replace_value``.
 
     An outlier takes the mean of that day's sides below the cutoff, or keeps its value if there is none. A
     tenor with any outlier keeps only the rows that have a z-score; one without keeps all rows. A z-score
     equal to the cutoff is neither replaced nor part of the mean.
 
-    ``gather_tenors`` finds the tenors with outliers in the window that already holds each tenor's rows; without
-    it they are aggregated map-side and joined back, so that no task holds a whole tenor.
+    The tenors with outliers are aggregated map-side and joined back, so no task holds a tenor for them. ``scored``
+    is read twice, so hand in a ``kept`` one.
     """
     any_bad = F.max(_any_bad(cutoff, sides))
-    if gather_tenors:
-        flagged = scored.withColumn("_tenor_has_bad", any_bad.over(Window.partitionBy("tenor")))
-    else:
-        bad = scored.groupBy(F.col("tenor").alias("_of")).agg(any_bad.alias("_tenor_has_bad"))
-        flagged = scored.join(bad, F.col("tenor").eqNullSafe(F.col("_of"))).drop("_of")
+    bad = scored.groupBy(F.col("tenor").alias("_of")).agg(any_bad.alias("_tenor_has_bad"))
+    flagged = scored.join(bad, F.col("tenor").eqNullSafe(F.col("_of"))).drop("_of")
     flagged = flagged.withColumn("_good_mean", _good_mean(cutoff, sides))
     rows = stacked([
         {
@@ -132,7 +126,7 @@ def cleaned_quotes(
 ) -> DataFrame:
     """Long quotes -> cleaned quotes, end to end."""
     filled = imputed(partial_rows(sides_wide(quotes, sides), sides), sides, impute_sides)
-    return replaced(with_zscores(filled, window_rows, sides), cutoff, sides)
+    return replaced(kept(with_zscores(filled, window_rows, sides), "scored"), cutoff, sides)
 
 
 def cleaned_long_history(
@@ -147,7 +141,7 @@ def cleaned_long_history(
     filled = kept(imputed(partial_rows(sides_wide(quotes, sides), sides), sides, impute_sides), "imputed")
     history = cut(filled, ["tenor"], "date", slices)
     scored = kept(with_zscores(filled, window_rows, sides, history), "scored")
-    return replaced(scored, cutoff, sides, gather_tenors=False)
+    return replaced(scored, cutoff, sides)
 
 
 def cleaned_wide(cleaned: DataFrame, sides: Sequence[str] = QUOTE_SIDES) -> DataFrame:

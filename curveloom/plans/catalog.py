@@ -13,6 +13,7 @@ from curveloom.functions import long_series, reshape
 from curveloom.operators import auctions, compare, flies, links, quotes, returns, spreads, universe
 from curveloom.plans import adapters as a
 from curveloom.plans import files
+from curveloom.sources.store import kept
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -271,7 +272,7 @@ QUERIES: dict[str, Query] = {
     "rolling_zscore": lambda s, f: _rounded(quotes.zscores_long(_scored(s, f)), "z_score"),
     "outlier_bad_dates": lambda s, f: _rounded(quotes.bad_date_rows(_scored(s, f), SHORT_CUTOFF), "z_score"),
     "outlier_good_dates": lambda s, f: _rounded(quotes.good_date_rows(_scored(s, f), SHORT_CUTOFF), "z_score"),
-    "outlier_replace": lambda s, f: _rounded(quotes.replaced(_scored(s, f), SHORT_CUTOFF), "replace_value"),
+    "outlier_replace": lambda s, f: _rounded(quotes.replaced(kept(_scored(s, f), "scored"), SHORT_CUTOFF), "replace_value"),
     "cleaned_quotes": _cleaned_quotes,
     "cleaned_long_history": _cleaned_long_history,
     "quote_wide_by_variable": _quote_wide_by_variable,

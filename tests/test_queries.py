@@ -94,6 +94,19 @@ def test_cleaning_shuffles_a_tenor_once(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(tenor#\d+, \d+\)", text)) == 1
 
 
+def test_replacement_reads_the_scored_rows_from_a_table(spark):
+    """Neither the flag of a tenor nor the join of it repeats the scores or gathers a tenor's rows."""
+    for name in ("cleaned_quotes", "outlier_replace"):
+        text = plan(spark, name)
+        assert "Window" not in text and "events" not in text
+
+
+def test_rolling_scores_read_no_frame_of_that_many_rows(spark):
+    text = plan(spark, "rolling_zscore")
+    assert "specifiedwindowframe" in text and not re.findall(r"specifiedwindowframe\(RowFrame, -(?!1,)\d+, currentrow", text)
+    assert len(re.findall(r"Exchange hashpartitioning\(tenor#\d+, \d+\)", text)) == 1
+
+
 def test_rolling_over_ticks_shuffles_the_rows_twice(spark):
     text = plan(spark, "tick_rolling_zscore")
     assert len(re.findall(r"Exchange hashpartitioning\(_series#\d+, _block", text)) == 1

@@ -55,3 +55,13 @@ def test_zscore_needs_a_full_frame_of_values(spark):
 def test_zscore_of_equal_values_is_null(spark):
     df = frame(spark, [5.0] * 25).withColumn("z", ss.rolling_zscore(F.col("x"), w(), 20))
     assert {v for (v,) in by_date(df, "z").values()} == {None}
+
+
+@pytest.mark.parametrize("rows_in_frame", [2, 3, 7])
+def test_scores_by_runs_equal_those_of_the_frame(spark, rows_in_frame):
+    values = [None if i % 11 == 5 else 0.1 if 30 <= i < 45 else (i * 37 % 17) / 10 for i in range(70)]
+    df = frame(spark, values)
+    want = by_date(df.withColumn("z", ss.rolling_zscore(F.col("x"), w(), rows_in_frame)), "z")
+    found = by_date(ss.with_rolling_zscores(df, ["k"], {"z": "x"}, rows_in_frame), "z")
+    assert found == {d: (None if z is None else pytest.approx(z, abs=1e-9),) for d, (z,) in want.items()}
+    assert any(z is not None for (z,) in want.values())
