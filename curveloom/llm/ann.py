@@ -156,10 +156,14 @@ class Partitions:
 
 
 def fit(vectors: DataFrame, sample: int = 8192, parts: int = 32, neighbours: int = 20) -> Partitions:
-    """Partitions learned from about ``sample`` vectors, picked by a hash of their id; fewer of them for small tables."""
+    """Partitions learned from about ``sample`` vectors, picked by a hash of their id; fewer of them for small tables.
+
+    An id counts once however many rows have it, so no id makes the sample larger than that.
+    """
     total = vectors.count()
     share = min(1.0, sample / max(total, 1))
-    rows = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < round(share * 1_000_000)).orderBy("vec_id").select("vector").collect()
+    picked = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < round(share * 1_000_000))
+    rows = picked.groupBy("vec_id").agg(F.min("vector").alias("vector")).orderBy("vec_id").select("vector").collect()
     x = np.unique(_unit([r["vector"] for r in rows]), axis=0) if rows else np.zeros((0, 1))  # equal vectors count once
     while parts > 1 and len(x) < 32 * parts:
         parts //= 2

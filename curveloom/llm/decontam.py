@@ -196,8 +196,11 @@ def _runs(texts: list[str]) -> Iterator[tuple[np.ndarray, list[int], list[int],
 
 def indexes(benchmark: DataFrame, rate: float = 0.1, shortest: int = 16, block_chars: int = 1 << 20,
             id_column: str = "item_id", text_column: str = "text") -> Iterator[Index]:
-    """Indexes over blocks of the query set, of about ``block_chars`` characters each, so each broadcast is bounded."""
-    items = benchmark.select(F.col(id_column).cast("long").alias("item"), whole_text(F.col(text_column)).alias("text"))
+    """Indexes over blocks of the query set, of about ``block_chars`` characters each, so each broadcast is bounded.
+
+    Items that repeat count once, since all rows of one would go to the same block.
+    """
+    items = benchmark.select(F.col(id_column).cast("long").alias("item"), whole_text(F.col(text_column)).alias("text")).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = -(-total // block_chars) or 1
     for block in range(blocks):

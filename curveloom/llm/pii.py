@@ -7,6 +7,7 @@ Loopy message passing then gives a token that no pattern matches the label of th
 """
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -119,8 +120,6 @@ class Tokens:
 
 def _shape(word: str) -> int:
     """A hash of the word with letters as one ``a`` and each run of digits as its length."""
-    import zlib
-
     letters = re.sub(r"[^\W\d_]+", "a", word[:256])
     return zlib.crc32(re.sub(r"[0-9]+", lambda m: str(min(len(m[0]), 20)), letters).encode()) % SHAPES
 
@@ -187,10 +186,10 @@ def beliefs(tokens: Tokens, model: dict[str, np.ndarray], rounds: int = ROUNDS)
     unary[fixed, tokens.label[fixed]] = 0.0
     pairs = np.array(tokens.chain + tokens.skip, np.int64).reshape(-1, 2)
     if len(pairs):
-        tables = np.concatenate([np.broadcast_to(model["chain"], (len(tokens.chain), LABELS, LABELS)),
-                                 np.broadcast_to(model["skip"], (len(tokens.skip), LABELS, LABELS))])
         source, target = np.r_[pairs[:, 0], pairs[:, 1]], np.r_[pairs[:, 1], pairs[:, 0]]
-        both = np.exp(np.concatenate([tables, tables.transpose(0, 2, 1)]))
+        # The potentials are symmetric, so a link has the same table both ways.
+        is_chain = np.tile(np.arange(len(pairs)) < len(tokens.chain), 2)
+        tables = [(np.flatnonzero(is_chain), np.exp(model["chain"])), (np.flatnonzero(~is_chain), np.exp(model["skip"]))]
         reverse = np.r_[np.arange(len(pairs), 2 * len(pairs)), np.arange(len(pairs))]
         messages = np.zeros((2 * len(pairs), LABELS))
         for _ in range(rounds):
@@ -198,7 +197,9 @@ def beliefs(tokens: Tokens, model: dict[str, np.ndarray], rounds: int = ROUNDS)
             np.add.at(gathered, target, messages)
             cavity = gathered[source] - messages[reverse]
             cavity = np.exp(cavity - cavity.max(axis=1, keepdims=True))
-            sent = np.log(np.einsum("es,est->et", cavity, both))
+            sent = np.empty_like(messages)
+            for links, table in tables:
+                sent[links] = np.log(cavity[links] @ table)
             sent -= sent.max(axis=1, keepdims=True)
             done = np.abs(sent - messages).max() < 1e-4
             messages = 0.5 * messages + 0.5 * sent  # damped

@@ -3,7 +3,7 @@
 A window is ``size`` consecutive words. Of each window the sketch counts its smallest gram of half the length: equal
 windows have equal smallest grams at different places, so a window that occurs twice is always estimated as repeated.
 The first pass sketches each partition and adds the sketches up; the second groups only the windows that are
-estimated repeated, by 128 bits of hash, and exactly.
+estimated repeated, by 96 bits of hash of all their words.
 """
 
 import zlib

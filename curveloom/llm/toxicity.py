@@ -5,6 +5,8 @@ exception phrases don't count. A term's matches are held against those that a cl
 logistic curve turns what is beyond that, and the largest weight, into a probability.
 """
 
+import bisect
+import itertools
 import math
 import re
 import unicodedata
@@ -111,7 +113,10 @@ class Lexicon:
                 if (start and text[start - 1].isalpha()) or (whole and last + 1 < n and text[last + 1].isalpha()):
                     continue
                 (safe if weight is None else found).append((start, last + 1, term, weight))
-        return [f for f in found if not any(s[0] <= f[0] and f[1] <= s[1] for s in safe)] if safe else found
+        safe.sort()
+        starts, reach = [s[0] for s in safe], list(itertools.accumulate((s[1] for s in safe), max, initial=-1))
+        # The furthest end of the phrases that start no later tells if one of them holds the match.
+        return [f for f in found if reach[bisect.bisect_right(starts, f[0])] < f[1]]
 
     def evidence(self, text: str) -> tuple[float, float]:
         """The logarithm of all terms' surplus, and the largest weight of a term that has one."""

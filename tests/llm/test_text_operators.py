@@ -221,6 +221,37 @@ def test_repeated_tokens_share_their_label(spark):
     assert spans[2] == [] and spans[3] == []
 
 
+def test_messages_are_those_of_the_full_tables():
+    rng = np.random.default_rng(3)
+    text = " ".join(rng.choice(["555-0689", "+1 555 0689 00", "a1b2c3", "ab@cd.ef", "ab@x", "1234567", "word"], 60).tolist())
+    tokens = pii.Tokens(text, pii.base_spans(text))
+    model = pii.from_counts(rng.integers(0, 50, pii.SIZE).astype(float))
+    assert tokens.chain and tokens.skip
+    unary = model["node"][tokens.shape].copy()
+    for k in np.flatnonzero(tokens.label):
+        unary[k] = [0.0 if label == tokens.label[k] else -50.0 for label in range(pii.LABELS)]
+    links = [(a, b, np.exp(model[kind])) for kind, pairs in (("chain", tokens.chain), ("skip", tokens.skip)) for a, b in pairs]
+    sent = {(n, way): np.zeros(pii.LABELS) for n in range(len(links)) for way in (0, 1)}
+    for _ in range(pii.ROUNDS):
+        held = unary.copy()
+        for (n, way), message in sent.items():
+            held[links[n][1 - way]] += message
+        after = {}
+        for n, (a, b, table) in enumerate(links):
+            for way, node, square in ((0, a, table), (1, b, table.T)):
+                inside = held[node] - sent[n, 1 - way]
+                out = np.log(np.exp(inside - inside.max()) @ square)
+                after[n, way] = out - out.max()
+        done = max(np.abs(after[k] - sent[k]).max() for k in sent) < 1e-4
+        sent = {k: 0.5 * sent[k] + 0.5 * after[k] for k in sent}
+        if done:
+            break
+    for (n, way), message in sent.items():
+        unary[links[n][1 - way]] += message
+    want = np.exp(unary - unary.max(axis=1, keepdims=True))
+    assert np.allclose(pii.beliefs(tokens, model), want / want.sum(axis=1, keepdims=True), atol=1e-9)
+
+
 def test_spans_on_odd_rows(odd, nothing):
     for found, added in ((pii.found, ["_base", "_spans"]), (secrets.found, ["_spans"])):
         assert found(odd).columns == [*odd.columns, *added]
@@ -281,6 +312,8 @@ def test_leaks_in_blocks_and_long_texts(spark, docs):
     bench = read(spark, SMALL, "benchmark")
     whole = got(decontam.leaks(docs, bench))
     assert whole and whole == got(decontam.leaks(docs, bench, block_chars=500))
+    assert whole == got(decontam.leaks(docs, bench.unionByName(bench).unionByName(bench)))
+    assert sum(len(i.items) for i in decontam.indexes(bench.unionByName(bench))) == sum(len(i.items) for i in decontam.indexes(bench))
     items = {r["item_id"]: decontam.normalised(r["text"]) for r in bench.collect()}
     held = {r["doc_id"]: decontam.normalised(r["text"] or "") for r in docs.collect()}
     exact = {(d, i) for d, t in held.items() for i, p in items.items() if len(p) >= 16 and p in t}
@@ -340,6 +373,7 @@ def test_folding_and_exceptions():
     assert terms("10ser l0ser trash can trash loweichen flowei") == ["loser$", "loser$", "trash$", "lowei"]
     short, long = lexicon.score("idiot"), lexicon.score("idiot " + "word " * 5000)
     assert 0 < lexicon.score("") < long < short < 1
+    assert terms("trash can trash " * 50_000) == ["trash$"] * 50_000
 
 
 def test_classifiers_on_odd_rows(spark, odd, nothing):
