@@ -30,7 +30,6 @@ SEEDS = ("idiot", "moron", "stupid", "scum", "pathetic", "worthless", "disgustin
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "clownfish", "disgusting smell")
 SEED_TERM = (6.0, 1e-7)
 PREFIXES = range(4, 9)
-OCCURRENCES = 20
 #: Characters a word, with the blank behind it.
 WORD_CHARS = 6
 
@@ -54,14 +53,14 @@ def folded(text: str) -> str:
 
 
 def terms_of(text: str) -> Counter:
-    """Words (``word$``) and beginnings of words of a folded text, each counted ``OCCURRENCES`` times at most."""
+    """Words (``word$``) and beginnings of words of a folded text, and how often each occurs."""
     out: Counter = Counter()
     for word, n in Counter(_WORD.findall(text)).items():
         out[word + "$"] += n
         for size in PREFIXES:
             if size <= len(word):
                 out[word[:size]] += n
-    return Counter({t: min(n, OCCURRENCES) for t, n in out.items()})
+    return out
 
 
 def word_count(text: str) -> float:
@@ -121,7 +120,7 @@ class Lexicon:
     def evidence(self, text: str) -> tuple[float, float]:
         """The logarithm of all terms' surplus, and the largest weight of a term that has one."""
         counts = Counter(term for _, _, term, _ in self.matches(text))
-        found = [(surplus(min(n, OCCURRENCES), self.terms[t][1], text), self.terms[t][0]) for t, n in counts.items()]
+        found = [(surplus(n, self.terms[t][1], text), self.terms[t][0]) for t, n in counts.items()]
         return math.log1p(sum(s for s, _ in found)), max((w for s, w in found if s > 0), default=0.0)
 
     def score(self, text: str) -> float:

@@ -1,5 +1,6 @@
 """The operators on texts against plain-Python versions, on odd rows and on empty tables."""
 
+import math
 import random
 import re
 
@@ -376,6 +377,23 @@ def test_folding_and_exceptions():
     assert terms("trash can trash " * 50_000) == ["trash$"] * 50_000
 
 
+def test_terms_of_long_texts_count_in_full(spark):
+    lexicon = toxicity.Lexicon({"idiot$": (6.0, 0.002)})
+    toxic, clean = ("idiot " + "words " * 49) * 1000, ("idiot " + "words " * 499) * 100
+    total, most = lexicon.evidence(toxic)
+    assert total > math.log1p(1000) and most == 6.0 and lexicon.score(toxic) > 0.99
+    assert lexicon.evidence(clean) == (0.0, 0.0)
+    assert toxicity.terms_of(toxic)["idiot$"] == 1000
+    # Learned: long clean documents use the term once in 500 words, long toxic ones once in 50.
+    rows = [(i, (toxic if i % 4 == 0 else clean) + f"n{'abcdefghij'[i % 10]}{'abcdefghij'[i // 10]}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    learned = toxicity.learned(docs, labels)
+    held = [rate for _, rate in learned.terms.values()]
+    assert held and all(abs(rate - 0.002) < 2e-4 for t, (_, rate) in learned.terms.items() if t.startswith("idio"))
+    assert learned.score(toxic) > learned.score(clean)
+
+
 def test_classifiers_on_odd_rows(spark, odd, nothing):
     labels = spark.createDataFrame([(3, 1, 1), (4, 1, 0), (None, 1, 1), (5, None, None)], "doc_id long, quality int, toxic int")
     for table in (labels, labels.limit(0)):
