@@ -117,11 +117,11 @@ class Index:
             passage, band = self.bands(codes)
             budget = self.budget[passage]
             low = band * (budget + 1) - SEGMENT
-            owner = np.searchsorted(starts, np.maximum(low + budget, 0), side="right") - 1
-            todo = list(zip(passage.tolist(), low.tolist(), owner.tolist()))
-            # A band may reach into the next text.
-            todo += [(p, a, o + 1) for p, a, o in todo
-                     if o + 1 < len(starts) and a + 2 * self.budget[p] + len(self.codes[p]) >= starts[o + 1]]
+            # A passage starts on one of its band's diagonals, in any of the texts that lie there.
+            owner = np.searchsorted(starts, np.maximum(low, 0), side="right") - 1
+            last = np.searchsorted(starts, np.maximum(low + 2 * budget, 0), side="right") - 1
+            todo = [(p, a, o) for p, a, first, end in zip(passage.tolist(), low.tolist(), owner.tolist(), last.tolist())
+                    for o in range(first, end + 1)]
             jobs = []
             for p, a, o in todo:
                 k = int(self.budget[p])

@@ -309,6 +309,20 @@ def test_leaks_equal_the_full_table():
             assert best_edits(dict(items)[i], text[start:end]) == edits
 
 
+def test_leaks_behind_empty_and_short_texts():
+    rng = random.Random(6)
+    for size in (300, 390):
+        item = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(size))
+        index = decontam.Index.build([(1, item)], 0.1, 16)
+        for cut in range(0, decontam.edit_budget(size, 0.1) + 1, 3):
+            text = item[cut:] + " behind it"
+            alone = index.leaks([text])[0]
+            assert [r[:3] for r in alone] == [(1, cut, 0)]
+            for before in ([""], ["", ""], ["", "", ""], ["a"], ["ab", "c", ""], [""] * 9):
+                for shift in range(0, 40, 3):
+                    assert index.leaks(["x" * shift, *before, text]) == [[]] * (len(before) + 1) + [alone]
+
+
 def test_leaks_in_blocks_and_long_texts(spark, docs):
     bench = read(spark, SMALL, "benchmark")
     whole = got(decontam.leaks(docs, bench))
