@@ -21,7 +21,13 @@ from curveloom.llm.spans import SPANS, in_order
 KINDS = ("email", "ip", "card", "phone")
 LABELS = len(KINDS) + 1  # 0 is other
 SHAPES = 4096
-ROUNDS = 8
+# Messages are sent until they converge. These only bound rounds that oscillate: so many, and so many a link of the longest
+# skip chain, along which a label travels a link every few rounds.
+ROUNDS = 1000
+ROUNDS_A_LINK = 50
+CONVERGED = 1e-4
+# A message is sent again only if what goes into it has changed by more.
+STILL = 1e-11
 SMOOTHING = 0.5
 # Linked tokens are taken to agree until the corpus says otherwise: so many pairs of each label count beforehand.
 AGREEMENT = 10.0
@@ -178,7 +184,15 @@ def from_counts(counts: np.ndarray) -> dict[str, np.ndarray]:
             "skip": ratios(counts[SKIP:].reshape(LABELS, LABELS) + AGREEMENT * np.eye(LABELS))}
 
 
-def beliefs(tokens: Tokens, model: dict[str, np.ndarray], rounds: int = ROUNDS) -> np.ndarray:
+def _longest(links: list[tuple[int, int]]) -> int:
+    """Links of the longest path; links lead to later tokens and come in their order."""
+    depth: dict[int, int] = {}
+    for a, b in links:
+        depth[b] = max(depth.get(b, 0), depth.get(a, 0) + 1)
+    return max(depth.values(), default=0)
+
+
+def beliefs(tokens: Tokens, model: dict[str, np.ndarray], rounds: int | None = None) -> np.ndarray:
     """Label probabilities of the tokens by loopy sum-product messages; tokens that a pattern labels stay."""
     unary = model["node"][tokens.shape].copy()
     fixed = tokens.label > 0
@@ -189,23 +203,29 @@ def beliefs(tokens: Tokens, model: dict[str, np.ndarray], rounds: int = ROUNDS)
         source, target = np.r_[pairs[:, 0], pairs[:, 1]], np.r_[pairs[:, 1], pairs[:, 0]]
         # The potentials are symmetric, so a link has the same table both ways.
         is_chain = np.tile(np.arange(len(pairs)) < len(tokens.chain), 2)
-        tables = [(np.flatnonzero(is_chain), np.exp(model["chain"])), (np.flatnonzero(~is_chain), np.exp(model["skip"]))]
+        chain, skip = np.exp(model["chain"]), np.exp(model["skip"])
         reverse = np.r_[np.arange(len(pairs), 2 * len(pairs)), np.arange(len(pairs))]
-        messages = np.zeros((2 * len(pairs), LABELS))
-        for _ in range(rounds):
-            gathered = unary.copy()
-            np.add.at(gathered, target, messages)
-            cavity = gathered[source] - messages[reverse]
+        leaving = np.argsort(source, kind="stable")  # the links that leave each token
+        first = np.searchsorted(source[leaving], np.arange(len(unary) + 1))
+        messages, gathered = np.zeros((2 * len(pairs), LABELS)), unary.copy()
+        todo = np.arange(len(source))
+        for _ in range(rounds or max(ROUNDS, ROUNDS_A_LINK * _longest(tokens.skip))):
+            cavity = gathered[source[todo]] - messages[reverse[todo]]
             cavity = np.exp(cavity - cavity.max(axis=1, keepdims=True))
-            sent = np.empty_like(messages)
-            for links, table in tables:
-                sent[links] = np.log(cavity[links] @ table)
+            sent = np.log(np.where(is_chain[todo, None], cavity @ chain, cavity @ skip))
             sent -= sent.max(axis=1, keepdims=True)
-            done = np.abs(sent - messages).max() < 1e-4
-            messages = 0.5 * messages + 0.5 * sent  # damped
-            if done:
+            change = sent - messages[todo]
+            size = np.abs(change).max(axis=1)
+            messages[todo] += 0.5 * change  # damped
+            np.add.at(gathered, target[todo], 0.5 * change)
+            if size.max() < CONVERGED:
                 break
-        np.add.at(unary, target, messages)
+            moved = todo[size > STILL]
+            stirred = np.unique(target[moved])
+            n = first[stirred + 1] - first[stirred]
+            out = leaving[np.repeat(first[stirred], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            todo = np.union1d(moved, out)
+        unary = gathered
     out = np.exp(unary - unary.max(axis=1, keepdims=True))
     return out / out.sum(axis=1, keepdims=True)
 

@@ -253,6 +253,35 @@ def test_messages_are_those_of_the_full_tables():
     assert np.allclose(pii.beliefs(tokens, model), want / want.sum(axis=1, keepdims=True), atol=1e-9)
 
 
+@pytest.mark.parametrize("repeats, both, mixed, neither, share, labelled",
+                         [(40, 3000, 30, 3000, 0.49, 40), (40, 3000, 10, 20_000, 0.12, 27), (400, 3000, 30, 3000, 0.49, 17)])
+def test_labels_go_as_far_as_exact_marginals(repeats, both, mixed, neither, share, labelled):
+    text = "+1 437-555-0689" + " word 437-555-0689" * repeats
+    base = pii.base_spans(text)
+    tokens = pii.Tokens(text, base)
+    assert [text[s:e] for _, s, e in base] == ["+1 437-555-0689"] and len(tokens.skip) == repeats
+    counts, phone = np.zeros(pii.SIZE), pii.KINDS.index("phone") + 1
+    shape = pii.NODE + tokens.shape[-1] * pii.LABELS
+    counts[shape], counts[shape + phone] = 100_000 * (1 - share), 100_000 * share
+    for a, b, n in ((0, 0, neither), (0, phone, mixed), (phone, phone, both)):
+        counts[pii.SKIP + a * pii.LABELS + b] = n
+    model = pii.from_counts(counts)
+    # The skip links are a path, on which one pass forward and one backward are exact.
+    unary, table = np.exp(model["node"][tokens.shape[-1]]), np.exp(model["skip"])
+    ahead, behind = np.zeros((repeats + 1, pii.LABELS)), np.ones((repeats + 1, pii.LABELS))
+    ahead[0, phone] = 1
+    for k in range(1, repeats + 1):
+        ahead[k] = ahead[k - 1] @ table * unary
+        ahead[k] /= ahead[k].sum()
+    for k in range(repeats - 1, -1, -1):
+        behind[k] = table @ (behind[k + 1] * unary)
+        behind[k] /= behind[k].sum()
+    exact = ahead * behind / (ahead * behind).sum(axis=1, keepdims=True)
+    assert (exact[1:, phone] >= 0.5).sum() == labelled
+    assert np.allclose(pii.beliefs(tokens, model)[2:], exact[1:], atol=1e-3)
+    assert [text[s:e] for _, s, e in pii.added_spans(text, base, model)] == ["437-555-0689"] * labelled
+
+
 def test_spans_on_odd_rows(odd, nothing):
     for found, added in ((pii.found, ["_base", "_spans"]), (secrets.found, ["_spans"])):
         assert found(odd).columns == [*odd.columns, *added]
