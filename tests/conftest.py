@@ -1,10 +1,9 @@
-import datetime as dt
 import sys
 from pathlib import Path
 
 import pytest
 
-sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+sys.path[:0] = [str(Path(__file__).resolve().parent), str(Path(__file__).resolve().parent.parent)]
 
 from curveloom.session import local_session  # noqa: E402
 
@@ -14,21 +13,3 @@ def spark():
     session = local_session("8", "tests", "8g")
     yield session
     session.stop()
-
-
-def day(number: int) -> dt.date:
-    """The n-th day of January 2024 and on."""
-    return dt.date(2024, 1, 1) + dt.timedelta(days=number - 1)
-
-
-def rows(df, *order):
-    """Collected rows as tuples, sorted by the given columns (default: all)."""
-    collected = [tuple(r) for r in df.orderBy(*(order or df.columns)).collect()]
-    return collected
-
-
-def by_date(df, *columns, date="date"):
-    """Rows as ``{date: tuple of columns}``; dates must be unique."""
-    found = {r[date]: tuple(r[c] for c in columns) for r in df.collect()}
-    assert len(found) == df.count()
-    return found

@@ -1,6 +1,6 @@
 import itertools
 
-from conftest import day, rows
+from helpers import day, rows
 from curveloom.config import VINTAGES
 from curveloom.operators import auctions
 

@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import by_date, day, rows
+from helpers import by_date, day, rows
 from curveloom.operators import compare, universe
 
 PRICES = "date date, security string, PX_LAST double"

@@ -3,7 +3,7 @@ import statistics
 
 import pytest
 
-from conftest import day, rows
+from helpers import day, rows
 from curveloom.operators import quotes
 
 SIDES = ("bid", "eod", "mid", "offer")

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.errors import AnalysisException
 
-from conftest import rows
+from helpers import rows
 from curveloom.functions import reshape
 from curveloom.functions.scalar import null_nans, row_mean
 

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import by_date, day
+from helpers import by_date, day
 from curveloom.functions import series as ss
 
 def w():

@@ -6,7 +6,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, rows
+from helpers import day, rows
 from curveloom.operators import auctions, links, quotes
 from curveloom.sources import store, tables
 

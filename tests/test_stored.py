@@ -5,7 +5,7 @@ import json
 import pandas as pd
 import pytest
 
-from conftest import day
+from helpers import day
 from curveloom.operators import flies, spreads, universe
 from curveloom.plans import stored
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import by_date, day, rows
+from helpers import by_date, day, rows
 from curveloom.operators import flies, returns, spreads, universe
 
 RISK = "date date, security string, variable string, value double"
