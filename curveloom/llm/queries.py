@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curveloom.llm import (ann, decontam, licences, packing, pii, quality, secrets, simhash, spans, substrings,
+from curveloom.llm import (ann, decontam, licences, packing, pii, quality, rules, rules_sql, secrets, simhash, spans, substrings,
                            toxicity)
-from curveloom.llm.common import read
+from curveloom.llm.common import read, written
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -69,6 +69,14 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(read(spark, folder, "documents"), vocabulary())
 
 
+def op11_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """The measures are kept as a table, a hundred bytes a document, for the estimation and for the verdicts."""
+    found = written(rules.measured(read(spark, folder, "documents").select("doc_id", "text")).drop("text"), "measures")
+    verdicts = rules.judged(found, rules.posteriors(found))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+                           F.round("posterior", 6).alias("posterior"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -80,11 +88,13 @@ QUERIES = {
     "op8_substrings": op8_substrings,
     "op9_neighbours": op9_neighbours,
     "op10_packing": op10_packing,
+    "op11_rules": op11_rules,
 }
 
 _TEMPLATES = ", ".join(f"({n}, '{licence}', '{text}')" for n, (licence, text) in enumerate(licences.TEMPLATES))
 
 SQL: dict[str, str] = {
+    "op11_rules": rules_sql.sql(),
     "op7_licences": f"""
 WITH files AS (
   SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://', ''),
