@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curveloom.llm import (ann, decontam, licences, packing, pii, quality, rules, rules_sql, secrets, simhash, spans, substrings,
+from curveloom.llm import (alignment, ann, decontam, licences, packing, pii, quality, rules, rules_sql, secrets, simhash, spans, substrings,
                            toxicity)
 from curveloom.llm.common import read, written
 
@@ -77,6 +77,11 @@ def op11_rules(spark: SparkSession, folder: str) -> DataFrame:
                            F.round("posterior", 6).alias("posterior"))
 
 
+def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    found = alignment.aligned(read(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -89,6 +94,7 @@ QUERIES = {
     "op9_neighbours": op9_neighbours,
     "op10_packing": op10_packing,
     "op11_rules": op11_rules,
+    "op12_alignment": op12_alignment,
 }
 
 _TEMPLATES = ", ".join(f"({n}, '{licence}', '{text}')" for n, (licence, text) in enumerate(licences.TEMPLATES))
