@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curveloom.llm import (alignment, ann, decontam, licences, packing, pii, quality, rules, rules_sql, secrets, simhash, spans, substrings,
-                           toxicity)
+from curveloom.llm import (alignment, ann, decontam, licences, negatives, packing, pii, quality, rules, rules_sql, secrets,
+                           simhash, spans, substrings, toxicity)
 from curveloom.llm.common import read, written
 
 
@@ -82,6 +82,10 @@ def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined(read(spark, folder, "embeddings"), every_nth=50, positives=5, negatives=3)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_toxicity": op2_toxicity,
@@ -95,6 +99,7 @@ QUERIES = {
     "op10_packing": op10_packing,
     "op11_rules": op11_rules,
     "op12_alignment": op12_alignment,
+    "op13_negatives": op13_negatives,
 }
 
 _TEMPLATES = ", ".join(f"({n}, '{licence}', '{text}')" for n, (licence, text) in enumerate(licences.TEMPLATES))
