@@ -9,6 +9,7 @@ what is shuffled are the documents, once, and one row for each block and pair it
 """
 
 import hashlib
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -23,11 +24,17 @@ from pyspark.sql import functions as F
 
 from curveloom.llm.common import prepare, written
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
+# What is tokenised and joined at once; a block adds up its parts.
+PART_CHARACTERS = 1 << 20
+KNOWN_RUNS = 1 << 18
 # Links that are expanded at once.
 EXPANDED = 1 << 22
 # A blank between two visible Latin characters. No token of either vocabulary goes on across it (``Vocabularies`` makes sure).
 _CUT = re.compile("(?<=[!-~¡-¬®-ɏ]) (?=[!-~¡-¬®-ɏ])")
+_LATIN = re.compile("[!-~¡-¬®-ɏ]+")
+# Fixed value: how byte-level vocabularies cut texts before merging.
+_PRETOKENS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 # How the byte-level alphabet writes bytes: these stand for themselves, the others are numbered from 256 on.
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
@@ -40,11 +47,12 @@ DOCUMENT_DDL = ("block long, doc_id long, n_a long, n_b long, n_groups long, n_l
 
 
 class Vocabularies:
-    """Both tokenizers, and the bytes of each of their ids."""
+    """Both tokenizers, the bytes of each of their ids, and the ids of parts of texts seen lately."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -52,21 +60,68 @@ class Vocabularies:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         others = iter(range(256, 512))
         byte = {chr(n if n in _SELF else next(others)): n for n in range(256)}
+        special = set(self.a.get_added_tokens_decoder())
         words: list[bytes] = [b""] * self.a.get_vocab_size()
         for word, i in self.a.get_vocab().items():
-            words[i] = bytes(byte[c] for c in word) if all(c in byte for c in word) else word.encode()
+            words[i] = word.encode() if i in special else bytes(byte[c] for c in word)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.a_bytes = pa.array(words, pa.binary())
         self.b_bytes = pa.array([bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                                  for i, p in enumerate(pieces)], pa.binary())
+        self.a_lengths = pc.binary_length(self.a_bytes).to_numpy()
+        # The same vocabulary in the library that is quicker on plain Latin text; its ids are the order of its merges.
+        self.fast = tiktoken.Encoding("a", pat_str=_PRETOKENS, special_tokens={},
+                                      mergeable_ranks={w: i for i, w in enumerate(words) if i not in special})
         # Ids of parts are those of the whole only if no piece has a blank behind another character.
         self.separable = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.known: dict[str, tuple[bytes, bytes]] = {}
+        self.misspelled: set[str] = set()
 
     def encode(self, runs: list[str]) -> tuple[pa.Array, pa.Array]:
         """Lists of ids of each run with a blank before it."""
-        a = [e.ids for at in range(0, len(runs), 256)
-             for e in self.a.encode_batch_fast([" " + r for r in runs[at:at + 256]], add_special_tokens=False)]
-        return pa.array(a, pa.list_(pa.int32())), pa.array(self.b.encode(runs, num_threads=1), pa.list_(pa.int32()))
+        if len(self.known) > KNOWN_RUNS:
+            self.known, self.misspelled = {}, set()
+        found = list(map(self.known.get, runs))
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for at in range(0, len(new), 4096):
+            self._learn([runs[k] for k in new[at:at + 4096]])
+        for k in new:
+            found[k] = self.known[runs[k]]
+        out = []
+        for side in (0, 1):
+            ids = [f[side] for f in found]
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) // 4
+            out.append(pa.ListArray.from_arrays(np.r_[0, ends].astype(np.int32), pa.array(np.frombuffer(b"".join(ids), np.int32))))
+        return tuple(out)
+
+    def _learn(self, runs: list[str]) -> None:
+        plain = [r for r in runs if _LATIN.fullmatch(r)]
+        ids_a = dict(zip(plain, self._latin(plain)))
+        rest = [r for r in runs if r not in ids_a]
+        for ids, of, spelled in (([e.ids for e in self.a.encode_batch_fast([" " + r for r in rest], add_special_tokens=False)], rest, self.a_bytes),
+                                 (self.b.encode(runs, num_threads=1), runs, self.b_bytes)):
+            ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+            flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(ends[-1]) if len(ends) else 0)
+            said = pc.binary_join(pa.ListArray.from_arrays(np.r_[0, ends].astype(np.int32), spelled.take(pa.array(flat))), b"")
+            right = pc.equal(said, pa.array([" " + r for r in of], pa.string()).cast(pa.binary())).to_numpy(zero_copy_only=False)
+            self.misspelled.update(of[k] for k in np.flatnonzero(~right))
+            ids_b = dict(zip(of, _slices(flat, ends)))
+            if of is rest:
+                ids_a |= ids_b
+        self.known.update((r, (ids_a[r], ids_b[r])) for r in runs)
+
+    def _latin(self, runs: list[str]) -> Iterator[bytes]:
+        """A's ids of runs of visible Latin characters, many at a time: the blank before each keeps them apart."""
+        for at in range(0, len(runs), 512):
+            some = runs[at:at + 512]
+            ids = np.array(self.fast.encode_ordinary(" " + " ".join(some)), np.int32)
+            lengths = pc.binary_length(pa.array(some, pa.string()).cast(pa.binary())).to_numpy() + 1
+            yield from _slices(ids, np.searchsorted(np.cumsum(self.a_lengths[ids]), np.cumsum(lengths)) + 1)
+
+
+def _slices(ids: np.ndarray, ends: np.ndarray) -> Iterator[bytes]:
+    data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+    return (data[a:b] for a, b in itertools.pairwise(cuts))
 
 
 @cache
@@ -76,29 +131,22 @@ def vocabularies(a_path: str, b_path: str) -> Vocabularies:
 
 def _tokens(texts: list[str | None], known: Vocabularies) -> tuple[list[np.ndarray], list[np.ndarray]]:
     """For A and for B the ids and their documents, without documents whose tokens don't spell the text with a blank before it."""
-    split = [(_CUT.split(t) if known.separable else [t]) if t else [] for t in texts]
-    lists = pa.array(split, pa.list_(pa.string()))
+    lists = pa.array([(_CUT.split(t) if known.separable else [t]) if t else [] for t in texts], pa.list_(pa.string()))
     coded = lists.flatten().dictionary_encode()
     runs = coded.dictionary.to_pylist()
     encoded = known.encode(runs)
-    document = pc.list_parent_indices(lists)
-    written_out = pa.array([(" " + r).encode() for r in runs], pa.binary())
-    right = np.ones(len(runs), bool)
-    for ids, spelled in zip(encoded, (known.a_bytes, known.b_bytes)):
-        right &= pc.equal(pc.binary_join(pa.ListArray.from_arrays(ids.offsets, spelled.take(ids.values)), b""), written_out).to_numpy(
-            zero_copy_only=False)
-    wrong = np.zeros(len(texts), bool)
-    if not right.all():
-        for k in np.unique(document.to_numpy()[~right[coded.indices.to_numpy()]]):
-            # Rare: parts that are spelled otherwise. Whether the whole text is, its own tokens tell.
-            whole = known.encode([texts[k]])
-            wrong[k] = any(b"".join(s.take(w.values).to_pylist()) != (" " + texts[k]).encode()
-                           for w, s in zip(whole, (known.a_bytes, known.b_bytes)))
+    document, wrong = pc.list_parent_indices(lists), np.zeros(len(texts), bool)
+    misspelled = [k for k, r in enumerate(runs) if r in known.misspelled] if known.misspelled else []
+    for k in np.unique(document.to_numpy()[np.isin(coded.indices.to_numpy(), misspelled)]) if misspelled else ():
+        # Rare: parts that are spelled otherwise. Whether the whole text is, its own tokens tell.
+        whole = known.encode([texts[k]])
+        wrong[k] = any(b"".join(s.take(w.values).to_pylist()) != (" " + texts[k]).encode()
+                       for w, s in zip(whole, (known.a_bytes, known.b_bytes)))
     ids, documents = [], []
     for found in encoded:
         taken = found.take(coded.indices)
-        own = document.take(pc.list_parent_indices(taken)).to_numpy()
-        flat, keep = taken.flatten().to_numpy(), ~wrong[own]
+        own, flat = document.take(pc.list_parent_indices(taken)).to_numpy(), taken.flatten().to_numpy()
+        keep = ~wrong[own] if wrong.any() else slice(None)
         ids.append(flat[keep])
         documents.append(own[keep])
     return ids, documents
@@ -112,8 +160,8 @@ def _ends(ids: np.ndarray, document: np.ndarray, spelled: pa.Array, n: int) -> n
     return sums - before[document]
 
 
-def _expanded(a, b, group_a, group_b, start_a, start_b, size_b) -> Iterator[pa.Table]:
-    """``document, pair, times`` of all links, with ``document`` the group's first; a bounded number of rows at a time."""
+def _expanded(a, b, group_a, start_a, start_b, size_b) -> Iterator[tuple[np.ndarray, ...]]:
+    """Groups, A's ids, B's ids and how often they meet, for all links, a bounded number at a time."""
     links = size_b * np.diff(np.r_[start_a, len(a)])
     total = np.cumsum(links)
     at = 0
@@ -137,17 +185,18 @@ def _expanded(a, b, group_a, group_b, start_a, start_b, size_b) -> Iterator[pa.T
         at = upto
 
 
-def _block(block: int, doc_ids: pa.Array, texts: list[str | None], known: Vocabularies) -> pa.RecordBatch:
-    """Rows of a block's documents, and one row without a hash that has its pairs and how many of its documents hold each."""
+def _part(texts: list[str | None], known: Vocabularies) -> tuple[dict[str, np.ndarray | list], pa.Table]:
+    """Numbers and hashes of the documents, and ``document, pair, times`` of their links."""
     n, n_pieces = len(texts), len(known.b_bytes)
     (a, b), (doc_a, doc_b) = _tokens(texts, known)
-    ends = [pa.table({"document": d, "end": _ends(ids, d, s, n), name: np.arange(len(ids))})
+    # Document and end in one number, the key of the join.
+    ends = [pa.table({"key": (d << 40) + _ends(ids, d, s, n), name: np.arange(len(ids))})
             for ids, d, s, name in ((a, doc_a, known.a_bytes, "i"), (b, doc_b, known.b_bytes, "j"))]
-    cuts = ends[0].join(ends[1], ["document", "end"], join_type="inner").sort_by("i")
-    last_a, last_b, group_doc = (cuts[c].to_numpy() for c in ("i", "j", "document"))
+    cuts = ends[0].join(ends[1], "key", join_type="inner", use_threads=False).sort_by("i")
+    last_a, last_b, group_doc = cuts["i"].to_numpy(), cuts["j"].to_numpy(), cuts["key"].to_numpy() >> 40
     start_a, start_b = np.r_[0, last_a + 1][:-1], np.r_[0, last_b + 1][:-1]
     size_a, size_b = last_a + 1 - start_a, last_b + 1 - start_b
-    group_a, group_b = np.repeat(np.arange(len(cuts)), size_a), np.repeat(np.arange(len(cuts)), size_b)
+    group_a = np.repeat(np.arange(len(cuts)), size_a)
 
     def joined(ids: np.ndarray, start: np.ndarray) -> pa.Array:
         return pc.binary_join(pa.ListArray.from_arrays(np.r_[start, len(ids)].astype(np.int32), pa.array(ids).cast(pa.string())), ",")
@@ -156,28 +205,39 @@ def _block(block: int, doc_ids: pa.Array, texts: list[str | None], known: Vocabu
     named = pc.binary_join_element_wise(joined(a, start_a), joined(b, start_b), "|")
     named = pc.binary_join(pa.ListArray.from_arrays(group_at.astype(np.int32), named), ";").to_pylist()
     n_groups = np.diff(group_at)
-    hashes = [hashlib.sha256(t.encode()).hexdigest() if g else "" for t, g in zip(named, n_groups)]
-
-    parts = [pa.table({"document": group_doc[g], "pair": ia.astype(np.int64) * n_pieces + ib, "times": t}).group_by(
-        ["document", "pair"], use_threads=False).aggregate([("times", "sum")])
-        for g, ia, ib, t in _expanded(a, b, group_a, group_b, start_a, start_b, size_b)]
-    if not parts:
-        parts = [pa.table({"document": np.zeros(0, np.int64), "pair": np.zeros(0, np.int64), "times_sum": np.zeros(0, np.int64)})]
-    links = pa.concat_tables(parts)
-    if len(parts) > 1:
-        links = links.rename_columns(["document", "pair", "times"]).group_by(["document", "pair"], use_threads=False).aggregate([("times", "sum")])
-    links = links.combine_chunks()
+    sums = np.r_[0, np.cumsum(size_a * size_b)]
+    documents = {
+        "n_a": np.bincount(doc_a, minlength=n), "n_b": np.bincount(doc_b, minlength=n), "n_groups": n_groups,
+        "n_links": sums[group_at[1:]] - sums[group_at[:-1]],
+        "groups_sha256": [hashlib.sha256(t.encode()).hexdigest() if g else "" for t, g in zip(named, n_groups)]}
+    links = [_summed(pa.table({"document": group_doc[g], "pair": ia.astype(np.int64) * n_pieces + ib, "times": t}))
+             for g, ia, ib, t in _expanded(a, b, group_a, start_a, start_b, size_b)]
+    return documents, pa.concat_tables(links) if links else pa.table({c: np.zeros(0, np.int64) for c in ("document", "pair", "times")})
+
+
+def _summed(links: pa.Table) -> pa.Table:
+    found = links.group_by(["document", "pair"], use_threads=False).aggregate([("times", "sum")])
+    return found.select(["document", "pair", "times_sum"]).rename_columns(["document", "pair", "times"])
+
+
+def _block(block: int, doc_ids: pa.Array, texts: list[str | None], known: Vocabularies) -> pa.RecordBatch:
+    """Rows of a block's documents, and one row without a hash that has its pairs and how many of its documents hold each."""
+    n, parts, at = len(texts), [], 0
+    for upto in _cuts([len(t or "") for t in texts], PART_CHARACTERS):
+        numbers, links = _part(texts[at:upto], known)
+        parts.append((numbers, links.set_column(0, "document", pc.add(links["document"], at))))
+        at = upto
+    # A large group's links may come in several pieces.
+    links = _summed(pa.concat_tables([links for _, links in parts])).combine_chunks()
     held = links.group_by("pair", use_threads=False).aggregate([([], "count_all")]).sort_by([("count_all", "descending"), ("pair", "ascending")])
     pairs, counts = held["pair"].to_numpy(), held["count_all"].to_numpy()
     order = np.argsort(pairs)
     codes = order[np.searchsorted(pairs[order], links["pair"].to_numpy())].astype(np.int32)
     by_document = np.lexsort((codes, links["document"].to_numpy()))
-    document = links["document"].to_numpy()[by_document]
-    offsets = np.searchsorted(document, np.arange(n + 1)).astype(np.int32)
-    all_links = np.add.reduceat(np.r_[size_a * size_b, 0], np.minimum(group_at[:-1], len(cuts))) * (n_groups > 0) if n else np.zeros(0, np.int64)
+    offsets = np.searchsorted(links["document"].to_numpy()[by_document], np.arange(n + 1)).astype(np.int32)
 
-    def with_last(values: np.ndarray | list, kind, last=0) -> pa.Array:
-        return pa.concat_arrays([pa.array(values, kind), pa.array([last], kind)])
+    def with_last(name: str, kind, last=0) -> pa.Array:
+        return pa.concat_arrays([*[pa.array(numbers[name], kind) for numbers, _ in parts], pa.array([last], kind)])
 
     def lists(values, kind) -> pa.Array:
         return pa.concat_arrays([pa.ListArray.from_arrays(offsets, pa.array(values, kind)), pa.array([None], pa.list_(kind))])
@@ -186,24 +246,29 @@ def _block(block: int, doc_ids: pa.Array, texts: list[str | None], known: Vocabu
         return pa.concat_arrays([pa.nulls(n, pa.list_(kind)), pa.array([values], pa.list_(kind))])
 
     return pa.RecordBatch.from_arrays([
-        pa.array(np.full(n + 1, block)), with_last(doc_ids, pa.int64(), None),
-        with_last(np.bincount(doc_a, minlength=n), pa.int64()), with_last(np.bincount(doc_b, minlength=n), pa.int64()),
-        with_last(n_groups, pa.int64()), with_last(all_links, pa.int64()), with_last(hashes, pa.string(), None),
-        lists(codes[by_document], pa.int32()), lists(links["times_sum"].to_numpy()[by_document], pa.int64()),
+        pa.array(np.full(n + 1, block)), pa.concat_arrays([doc_ids, pa.nulls(1, pa.int64())]),
+        *[with_last(c, pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")], with_last("groups_sha256", pa.string(), None),
+        lists(codes[by_document], pa.int32()), lists(links["times"].to_numpy()[by_document], pa.int64()),
         only_last(pairs, pa.int64()), only_last(counts, pa.int64())], schema=DOCUMENT)
 
 
+def _cuts(sizes: list[int] | np.ndarray, most: int) -> Iterator[int]:
+    """Ends of runs whose sizes add up to ``most`` at most; a larger one is alone."""
+    total, at = np.cumsum(sizes), 0
+    while at < len(total):
+        at = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + most, "right")))
+        yield at
+
+
 def blocks(docs: DataFrame, a_path: str, b_path: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``DOCUMENT`` rows of all documents and, without a hash, of their blocks. A block is numbered by its task and place."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, number = vocabularies(a_path, b_path), TaskContext.get().partitionId() << 32
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            # A running sum of bytes cuts blocks; a text longer than a block is one of its own.
-            size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            # A text longer than a block is a block of its own.
             at = 0
-            while at < len(size):
-                upto = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + block_bytes, "right")))
+            for upto in _cuts(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64), block_bytes):
                 yield _block(number, ids.slice(at, upto - at), texts.slice(at, upto - at).to_pylist(), known)
                 number, at = number + 1, upto
 
