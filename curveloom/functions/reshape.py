@@ -26,11 +26,32 @@ def to_wide(
     """One row per key, one column per name: a single map-side-combined aggregation.
 
     ``names`` lists the variables to keep, or maps them to output names, so the schema never depends on data.
-    ``(keys, column)`` is expected to be unique (see ``duplicates``); the largest value wins otherwise.
+    A cell of more than one row is an error, be its values equal or missing; the same aggregation finds it.
     """
     names = names if isinstance(names, Mapping) else {n: n for n in names}
     cells = [cell("max", column, name, value, out) for name, out in names.items()]
-    return df.where(F.col(column).isin(list(names))).groupBy(*keys).agg(*cells)
+    wide = df.where(F.col(column).isin(list(names))).groupBy(*keys).agg(*cells, *cell_counts(column, list(names)))
+    return with_single_cells(wide, keys)
+
+
+BITS = 62  # names that one long has a bit for
+
+
+def cell_counts(column: str, names: Sequence[str]) -> list[Column]:
+    """Aggregates beside a group's cells: its rows, and a bit for each name that it has. As many of both: no repeats."""
+    seen = []
+    for at in range(0, len(names), BITS):
+        cases = " ".join(f"WHEN '{name}' THEN {1 << k}L" for k, name in enumerate(names[at:at + BITS]))
+        seen.append(F.expr(f"bit_or(CASE `{column}` {cases} ELSE 0L END) AS `_seen_{at}`"))
+    return [F.count(F.lit(1)).alias("_rows"), *seen]
+
+
+def with_single_cells(wide: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The pivoted rows without their ``cell_counts``, which raise where a cell had more than one row."""
+    seen = [c for c in wide.columns if c.startswith("_seen_")]
+    different = F.expr(" + ".join(f"bit_count(`{c}`)" for c in seen))
+    message = F.concat(F.lit("repeated value for key "), F.to_json(F.struct(*keys)))
+    return wide.where(F.assert_true(F.col("_rows") == different, message).isNull()).drop("_rows", *seen)
 
 
 def cell(aggregate: str, column: str, name: str, value: str, out: str) -> Column:

@@ -3,7 +3,7 @@
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curveloom.config import VINTAGES
@@ -30,42 +30,55 @@ def auction_long(history: DataFrame, auction_columns: Sequence[str], index_colum
     return to_long(typed_auctions(history, index_columns), ids, as_text=True).dropna("any")
 
 
-def reconcile_auctions(left: DataFrame, right: DataFrame, with_conflict: bool = False) -> DataFrame:
-    """Full outer join of two long histories: the left value, else the right one.
+def reconcile_auctions(
+    left: DataFrame, right: DataFrame, with_conflict: bool = False, with_repeats: bool = False,
+) -> DataFrame:
+    """Two long histories by auction and measure: the left value, else the right one.
 
-    Values that disagree also resolve to the left; ``with_conflict`` adds a column that marks them. The join is
-    on every column but ``value``; those are complete, and unique per auction and measure (see ``duplicates``).
+    Both sides go through one aggregation by every column but ``value``; those are complete. Values that disagree also
+    resolve to the left; ``with_conflict`` adds a column that marks them. A key is one row, however often a side has it: the
+    first of a side's values is the smallest, and ``with_repeats`` adds a column that marks such keys.
     """
     keys = [c for c in left.columns if c != "value"]
-    joined = left.withColumnRenamed("value", "_left").join(right.withColumnRenamed("value", "_right"), keys, "full")
-    value = F.coalesce(F.col("_left"), F.col("_right")).alias("value")
+    both = _tagged(left, right, keys, ["value"]).groupBy(*keys).agg(*_sides("value"))
+    value = F.coalesce("_left", "_right").alias("value")
     conflict = F.coalesce(F.col("_left") != F.col("_right"), F.lit(False)).alias("conflict")
-    return joined.select(*keys, value, *([conflict] if with_conflict else []))
+    return both.select(*keys, value, *([conflict] if with_conflict else []),
+                       *([(F.col("_most") > 1).alias("repeated")] if with_repeats else []))
 
 
-def reconcile_histories(left: DataFrame, right: DataFrame, auction_columns: Sequence[str]) -> DataFrame:
-    """As ``reconcile_auctions(..., with_conflict=True)`` on the long forms, but joined before the unpivot.
+def reconcile_histories(left: DataFrame, right: DataFrame, auction_columns: Sequence[str], with_repeats: bool = False) -> DataFrame:
+    """As ``reconcile_auctions(..., with_conflict=True)`` on the long forms, but aggregated before the unpivot.
 
-    For typed wide histories with one row per auction (see ``duplicates``): the join moves one row per auction
-    instead of one per auction and measure, and the long rows never enter a shuffle.
+    For typed wide histories: one row per auction and side enters the shuffle instead of one per measure.
     """
     ids = [*auction_columns, *HISTORY_IDS]
-    measures = [[c for c in df.columns if c not in ids] for df in (left, right)]
-    sides = [
-        df.dropna("any", subset=ids).select(*ids, *[F.col(c).cast("string").alias(f"{side}_{c}") for c in names])
-        for df, names, side in zip((left, right), measures, ("l", "r"))
+    texts = [df.dropna("any", subset=ids).select(*ids, *[F.col(c).cast("string").alias(c) for c in df.columns if c not in ids])
+             for df in (left, right)]
+    measures = [c for c in dict.fromkeys([*left.columns, *right.columns]) if c not in ids]
+    sides = [_sides(m, f"{k}_") for k, m in enumerate(measures)]
+    both = _tagged(*texts, ids, measures).groupBy(*ids).agg(*[c for side in sides for c in side])
+    repeats = {"repeated": "`{k}__most` > 1"} if with_repeats else {}
+    long = stacked([{
+        "variable": f"'{m}'", "value": f"coalesce(`{k}__left`, `{k}__right`)",
+        "conflict": f"coalesce(`{k}__left` != `{k}__right`, false)", **{n: sql.format(k=k) for n, sql in repeats.items()},
+    } for k, m in enumerate(measures)])
+    return both.select(*ids, long).where("value IS NOT NULL")
+
+
+def _tagged(left: DataFrame, right: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Both sides' rows, told apart by ``_is_left``; a column that a side lacks is missing there."""
+    tagged = [df.withColumn("_is_left", F.lit(is_left)) for df, is_left in ((left, True), (right, False))]
+    return tagged[0].unionByName(tagged[1], allowMissingColumns=True).select(*keys, *values, "_is_left")
+
+
+def _sides(value: str, prefix: str = "") -> list[Column]:
+    """The first value of each side, and how many values the side has that has more."""
+    left, right = [f"FILTER (WHERE {side})" for side in ("_is_left", "NOT _is_left")]
+    return [
+        F.expr(f"min(`{value}`) {left} AS `{prefix}_left`"), F.expr(f"min(`{value}`) {right} AS `{prefix}_right`"),
+        F.expr(f"greatest(count(`{value}`) {left}, count(`{value}`) {right}) AS `{prefix}_most`"),
     ]
-    long = stacked([_reconciled(c, c in measures[0], c in measures[1]) for c in dict.fromkeys(measures[0] + measures[1])])
-    return sides[0].join(sides[1], ids, "full").select(*ids, long).where("value IS NOT NULL")
-
-
-def _reconciled(measure: str, on_left: bool, on_right: bool) -> dict[str, str]:
-    left = f"`l_{measure}`" if on_left else "CAST(NULL AS STRING)"
-    right = f"`r_{measure}`" if on_right else "CAST(NULL AS STRING)"
-    return {
-        "variable": f"'{measure}'", "value": f"coalesce({left}, {right})",
-        "conflict": f"coalesce({left} != {right}, false)",
-    }
 
 
 def observed_union(vintages: Mapping[str, DataFrame]) -> DataFrame:

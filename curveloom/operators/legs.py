@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from curveloom.functions.reshape import cell
+from curveloom.functions.reshape import cell, cell_counts, with_single_cells
 
 
 def strategy_legs(
@@ -18,17 +18,18 @@ def strategy_legs(
 ) -> DataFrame:
     """``label, date`` and a ``<position>_<variable>`` column per leg, over the union of the legs' dates.
 
-    ``(date, yield_tenor)`` is unique in ``returns``, so a cell holds one value and a strategy one row per date.
+    A strategy has one row per date. Two rows of a tenor on one date (two securities of that tenor) are an error.
     """
     legs = combos.unpivot([label], list(positions), "position", "yield_tenor")
     cells = [cell("max", "position", p, v, leg(p, v)) for p in positions for v in variables]
-    return (
+    wide = (
         returns.select(*by, "date", "yield_tenor", *variables)
         .join(legs, "yield_tenor")
         .repartition(*by, label)
         .groupBy(*by, label, "date")
-        .agg(*cells)
+        .agg(*cells, *cell_counts("position", positions))
     )
+    return with_single_cells(wide, [*by, label, "date"])
 
 
 def leg(position: str, variable: str) -> str:

@@ -1,6 +1,6 @@
 """The instrument universe and the ordered tenor combinations built from it."""
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +15,8 @@ def universe_table(spark: SparkSession, securities: Mapping[str, int] = UNIVERSE
         "security": pa.array(securities.keys(), pa.string()),
         "maturity": pa.array(securities.values(), pa.int32()),
     })
-    return spark.createDataFrame(table).withColumn("yield_tenor", tenor_label(F.col("maturity")))
+    # One partition, so that gathering its few rows needs no shuffle.
+    return spark.createDataFrame(table).coalesce(1).withColumn("yield_tenor", tenor_label(F.col("maturity")))
 
 
 def etf_table(spark: SparkSession, tickers: Mapping[str, str] = ETF_TICKERS) -> DataFrame:
@@ -34,22 +35,36 @@ def observed_universe(risk_panel: DataFrame, universe: DataFrame) -> DataFrame:
 
 def tenor_pairs(universe: DataFrame) -> DataFrame:
     """``steepener, long, short``: every pair of tenors, the shorter maturity being the long leg."""
-    a, b = _ranked(universe, "long"), _ranked(universe, "short")
-    pairs = a.join(b, F.col("long_maturity") < F.col("short_maturity"))
+    pairs = combinations(universe, ["long", "short"])
     return pairs.selectExpr(f"{_years('long')} || 's' || {_years('short')} || 's steepener' AS steepener", "long", "short")
 
 
 def tenor_triples(universe: DataFrame) -> DataFrame:
     """``fly, short, bullet, long``: every triple of tenors in order of maturity."""
-    a, b, c = _ranked(universe, "short"), _ranked(universe, "bullet"), _ranked(universe, "long")
-    triples = a.join(b, F.col("short_maturity") < F.col("bullet_maturity")).join(
-        c, F.col("bullet_maturity") < F.col("long_maturity"))
-    label = " || ".join(f"{_years(p)} || 's'" for p in ("short", "bullet", "long"))
-    return triples.selectExpr(f"{label} AS fly", "short", "bullet", "long")
-
-
-def _ranked(universe: DataFrame, position: str) -> DataFrame:
-    return universe.selectExpr(f"yield_tenor AS {position}", f"maturity AS {position}_maturity")
+    positions = ["short", "bullet", "long"]
+    label = " || ".join(f"{_years(p)} || 's'" for p in positions)
+    return combinations(universe, positions).selectExpr(f"{label} AS fly", *positions)
+
+
+def combinations(universe: DataFrame, positions: Sequence[str]) -> DataFrame:
+    """A row for each choice of as many tenors as there are positions, which name the columns in order of maturity.
+
+    The universe is gathered into one array, as long as it has tenors, and expanded from there: whatever it is made from is
+    read once. A tenor that two securities have counts once, and tenors of equal maturity are never chosen together.
+    """
+    held = universe.agg(F.sort_array(F.collect_set(F.struct("maturity", "yield_tenor"))).alias("held"))
+    chosen = held.select(F.explode(choices(F.col("held"), len(positions))).alias("legs"))
+    return chosen.select(*[F.col("legs")[k]["yield_tenor"].alias(p) for k, p in enumerate(positions)])
+
+
+def choices(held: Column, k: int) -> Column:
+    """All arrays of ``k`` of the array's structs, each of a longer maturity than the one before."""
+    def extended(picked: list[Column]) -> Column:
+        if len(picked) == k:
+            return F.array(F.array(*picked))
+        rest = F.filter(held, lambda x: x["maturity"] > picked[-1]["maturity"]) if picked else held
+        return F.flatten(F.transform(rest, lambda x: extended([*picked, x])))
+    return extended([])
 
 
 def _years(tenor: str) -> str:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from curveloom.config import QUOTE_SIDES
 from curveloom.functions import long_series, reshape
-from curveloom.operators import auctions, compare, flies, links, quotes, returns, spreads, universe
+from curveloom.operators import auctions, compare, flies, labels, links, quotes, returns, spreads, universe
 from curveloom.plans import adapters as a
 from curveloom.plans import files
 from curveloom.sources.store import kept
@@ -143,9 +143,7 @@ def _nation_spread_cumulative(spark, folder):
 
 
 def _strategy_labels(spark, folder):
-    steepeners = _steepener_durations(spark, folder).select(F.col("steepener").alias("label"))
-    fly_labels = _fly_durations(spark, folder).select(F.col("fly").alias("label"))
-    return steepeners.unionByName(fly_labels).distinct().orderBy("label")
+    return labels.strategy_labels(_returns(spark, folder), a.universe(spark, folder))
 
 
 def _etf_vs_fut_vs_cash(spark, folder):

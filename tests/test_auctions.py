@@ -42,6 +42,24 @@ def test_wide_and_long_reconciliation_agree(spark):
     assert wide.count() == 6
 
 
+def test_repeated_keys_are_one_row(spark):
+    left = spark.createDataFrame([("x", "v", "2"), ("x", "v", "1"), ("y", "v", "5")], LONG)
+    right = spark.createDataFrame([("x", "v", "3"), ("x", "v", "1"), ("z", "v", "4")], LONG)
+    found = auctions.reconcile_auctions(left, right, with_conflict=True, with_repeats=True)
+    assert rows(found) == [("x", "v", "1", False, True), ("y", "v", "5", False, False), ("z", "v", "4", False, False)]
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_repeated_histories_are_one_row_a_measure(spark):
+    schema = "cusip string, record_date date, security_term string, a int, b int"
+    left = spark.createDataFrame([("x", day(1), "n", 1, 5), ("x", day(1), "n", 2, None)], schema)
+    right = spark.createDataFrame([("x", day(1), "n", 1, 6)], schema)
+    wide = auctions.reconcile_histories(left, right, ["cusip"], with_repeats=True)
+    long = auctions.reconcile_auctions(*[auctions.auction_long(df, ["cusip"]) for df in (left, right)], True, True)
+    columns = ["variable", "value", "conflict", "repeated"]
+    assert rows(wide.select(*columns)) == rows(long.select(*columns)) == [("a", "1", False, True), ("b", "5", True, False)]
+
+
 def vintages(spark):
     """Every pattern of presence over three vintages, each with values of its own."""
     data = {v: [] for v in VINTAGES}

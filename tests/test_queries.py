@@ -61,7 +61,9 @@ def plan(spark, name, scale="sf0.01"):
 def test_plans_stay_in_the_engine(spark, name):
     text = plan(spark, name)
     assert "Python" not in text and "CartesianProduct" not in text
-    assert "Exchange SinglePartition" not in re.sub(r"(?s)Subquery.*?FileScan[^\n]*", "", text) or name == "panel_date_range"
+    # One row of the first and last date, and one of the universe's tenors.
+    single = ("panel_date_range", "pair_universe", "triple_universe")
+    assert "Exchange SinglePartition" not in re.sub(r"(?s)Subquery.*?FileScan[^\n]*", "", text) or name in single
 
 
 def test_scans_read_only_the_columns_they_need(spark):
@@ -89,6 +91,19 @@ def test_all_steepeners_share_one_scan_and_one_shuffle(spark):
     assert len(re.findall(r"Exchange hashpartitioning\(steepener", text)) == 1
 
 
+def test_combinations_and_labels_read_each_table_once(spark):
+    for name in ("pair_universe", "triple_universe"):
+        assert plan(spark, name).count("FileScan") == 1
+    text = plan(spark, "strategy_labels")
+    assert text.count("FileScan") == 2 and text.count("Exchange hashpartitioning(steepener") == 0
+    assert len(re.findall(r"\blag\(", text)) == 1  # that of the yields; the strategies need none
+
+
+def test_reconciliation_shuffles_once(spark):
+    for name in ("auction_reconcile", "auction_reconcile_wide"):
+        assert plan(spark, name).count("Exchange") == 1
+
+
 def test_cleaning_shuffles_a_tenor_once(spark):
     text = plan(spark, "cleaned_quotes")
     assert len(re.findall(r"Exchange hashpartitioning\(tenor#\d+, \d+\)", text)) == 1

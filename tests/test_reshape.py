@@ -36,3 +36,20 @@ def test_nan_becomes_null(spark):
 def test_row_mean_of_present_values(spark):
     df = spark.createDataFrame([(1.0, None, 4.0), (None, None, None)], "a double, b double, c double")
     assert [r[0] for r in df.select(row_mean(["a", "b", "c"])).collect()] == [2.5, None]
+
+
+@pytest.mark.parametrize("repeat", [("a", 9.0), ("a", 1.0), ("a", None)])
+def test_a_repeated_cell_is_an_error(spark, repeat):
+    df = spark.createDataFrame([("k", "a", 1.0), ("k", "b", 2.0), ("j", "a", 3.0), ("k", "other", 1.0), ("k", "other", 2.0)], "k string, v string, x double")
+    assert rows(reshape.to_wide(df, ["k"], "v", "x", ["a", "b"])) == [("j", 3.0, None), ("k", 1.0, 2.0)]
+    twice = df.unionByName(spark.createDataFrame([("k", *repeat)], "k string, v string, x double"))
+    with pytest.raises(Exception, match='repeated value for key .*"k":"k"'):
+        reshape.to_wide(twice, ["k"], "v", "x", ["a", "b"]).collect()
+
+
+def test_cells_of_more_names_than_a_long_has_bits(spark):
+    names = [f"n{i}" for i in range(130)]
+    df = spark.createDataFrame([(1, n, 1.0) for n in names], "k int, v string, x double")
+    assert reshape.to_wide(df, ["k"], "v", "x", names).count() == 1
+    with pytest.raises(Exception, match="repeated"):
+        reshape.to_wide(df.unionByName(df.where("v = 'n129'")), ["k"], "v", "x", names).collect()

@@ -1,9 +1,11 @@
 """Returns, steepeners and flies on hand-computed frames."""
 
+import random
+
 import pytest
 
 from helpers import by_date, day, rows
-from curveloom.operators import flies, returns, spreads, universe
+from curveloom.operators import flies, labels, returns, spreads, universe
 
 RISK = "date date, security string, variable string, value double"
 RETURNS = "date date, yield_tenor string, duration double, bnd_rtn double"
@@ -32,6 +34,34 @@ def test_universe_and_combinations(spark):
     assert rows(universe.tenor_triples(tenors(spark))) == [("2s7s30s", "DGS2", "DGS7", "DGS30")]
 
 
+def test_combinations_of_any_size(spark):
+    held = universe.universe_table(spark, {"A1": 2, "B1": 5, "C1": 7, "D1": 7, "E1": 30})
+    four = universe.combinations(held, list("wxyz"))
+    assert rows(four) == [("DGS2", "DGS5", "DGS7", "DGS30")]
+    assert universe.combinations(held, ["only"]).count() == 4 and universe.combinations(held, list("vwxyz")).count() == 0
+    assert rows(universe.tenor_pairs(held)) == rows(universe.tenor_pairs(held.where("security <> 'D1'")))
+    assert universe.tenor_triples(held.limit(0)).count() == 0
+
+
+def test_two_securities_of_a_tenor_on_a_date_are_an_error(spark):
+    data = [(1, "DGS2", 2.0, 0.1), (1, "DGS7", 6.0, 0.1), (2, "DGS2", 2.0, 0.1), (2, "DGS7", 6.0, 0.1), (1, "DGS2", 2.0, 0.1)]
+    twice, combos = returns_frame(spark, data), universe.tenor_pairs(tenors(spark))
+    for found in (spreads.steepener_panel(twice, combos, ["duration"]), labels.strategy_labels(twice, universe.universe_table(spark))):
+        with pytest.raises(Exception, match="repeated"):
+            found.collect()
+
+
+def test_labels_are_those_of_the_panels(spark):
+    tenors, rng = universe.universe_table(spark), random.Random(4)
+    names = [r.yield_tenor for r in tenors.collect()]
+    for _ in range(6):
+        data = [(day(d), n, rng.choice([0.0, 2.0, 2.0, 3.0])) for d in range(1, 5) for n in names if rng.random() < 0.4]
+        frame = spark.createDataFrame(data, "date date, yield_tenor string, duration double")
+        panels = [spreads.steepener_panel(frame, universe.tenor_pairs(tenors), ["duration"]).selectExpr("steepener AS label"),
+                  flies.fly_panel(frame, universe.tenor_triples(tenors), ["duration"]).selectExpr("fly AS label")]
+        assert rows(labels.strategy_labels(frame, tenors)) == rows(panels[0].unionByName(panels[1]).distinct())
+
+
 def test_observed_universe_is_what_the_panel_holds(spark):
     panel = returns.deliverable_panel(risk(spark, [1, 2], "TY1").union(risk(spark, [1], "XX1")))
     assert [r.security for r in universe.observed_universe(panel, tenors(spark)).collect()] == ["TY1"]
