@@ -14,7 +14,7 @@ read several times (cuts, slice totals, rows), so hand in a stored table or a ``
 """
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from math import ceil
 
 from pyspark.ml.feature import Bucketizer
@@ -24,13 +24,15 @@ from pyspark.sql import types as T
 
 from curveloom.functions.scalar import ratio
 from curveloom.functions.series import cumulative_growth, cumulative_sum, zscores_by_runs
+from curveloom.sources.store import kept
 
 SERIES, SLICE, INDEX, BLOCK = "_series", "_slice", "_index", "_block"
 
 
-# What one task sorts; the list of cuts has a number for each of so many rows of the table.
-ROWS_PER_SLICE = 1_000_000
+ROWS_PER_SLICE = 1_000_000  # what one task sorts
 SAMPLED_ROWS_PER_SLICE = 50
+# Cuts that the driver and every task hold, however long the table is; the cuts between them are a table.
+COARSE_CUTS = 1000
 
 
 @dataclass(frozen=True)
@@ -39,12 +41,16 @@ class LongSeries:
 
     ``keys`` name a series, missing ones one of their own; ``order`` is one column, complete and unique within a series.
     A series goes by the struct of its keys, which is never missing, so joins and windows treat it alike.
+    ``cuts`` part the order column into buckets; ``fine`` has a row for each bucket with the ``_cuts`` that part it further,
+    up to ``fine_cuts`` of them.
     """
 
     keys: Sequence[str]
     order: str
     cuts: Sequence[float]
     rows_per_slice: int
+    fine: DataFrame | None = None
+    fine_cuts: int = 0
 
     def across_slices(self) -> WindowSpec:
         """The slices of a series: as many rows as it has slices."""
@@ -56,30 +62,61 @@ class LongSeries:
 
 def cut(
     df: DataFrame, keys: Sequence[str], order: str, slices: int | None = None, rows_per_slice: int = ROWS_PER_SLICE,
+    coarse: int = COARSE_CUTS,
 ) -> LongSeries:
     """Chooses the cuts: quantiles of the order column over the whole table, so that slices hold equal counts.
 
     No key can bring more rows to a slice than the slice holds, and neither bursts nor stray far-off values of
     the order column unbalance the slices. This runs a count and a scan of that one column. The quantiles come
     from a sample of it, as those of range partitioning do; they decide where a task's work ends, never a result.
+
+    Up to ``coarse`` cuts come to the driver and into the plan. A longer table has cuts between those, made by one
+    aggregation over their buckets and kept as a table.
     """
     rows = df.count()
     slices = slices or max(1, ceil(rows / rows_per_slice))
-    share = min(1.0, SAMPLED_ROWS_PER_SLICE * slices / max(rows, 1))
-    at = df.select(_position(df, order).alias("at")).sample(share, seed=0)
-    cuts = at.approxQuantile("at", [i / slices for i in range(1, slices)], 0.25 / slices) if slices > 1 else []
-    return LongSeries(keys, order, sorted(set(cuts)), ceil(rows / slices))
+    buckets = min(slices, coarse + 1)
+    at = df.select(_position(df, order).alias("at"))
+    cuts = _sampled(at, rows, buckets).approxQuantile("at", [i / buckets for i in range(1, buckets)], 0.25 / buckets) if buckets > 1 else []
+    spec = LongSeries(keys, order, sorted(set(cuts)), ceil(rows / slices))
+    per_bucket = ceil(slices / buckets)
+    if per_bucket == 1:
+        return spec
+    sampled = _with_buckets(_sampled(at, rows, slices).withColumn("_at", F.col("at")), spec)
+    quantiles = F.percentile_approx("at", [i / per_bucket for i in range(1, per_bucket)], 40 * per_bucket)
+    fine = sampled.groupBy(SLICE).agg(F.array_sort(F.array_distinct(quantiles)).alias("_cuts"))
+    return replace(spec, fine=kept(fine, "cuts"), fine_cuts=per_bucket - 1)
+
+
+def _sampled(at: DataFrame, rows: int, slices: int) -> DataFrame:
+    return at.sample(min(1.0, SAMPLED_ROWS_PER_SLICE * slices / max(rows, 1)), seed=0)
 
 
 def with_slices(df: DataFrame, spec: LongSeries) -> DataFrame:
-    """Adds the series and the slice number, found by binary search in the cuts."""
-    df = df.withColumn(SERIES, F.struct(*spec.keys))
+    """Adds the series and the slice number, found by binary search in the coarse and then in the fine cuts."""
+    sliced = _with_buckets(df.withColumn(SERIES, F.struct(*spec.keys)).withColumn("_at", _position(df, spec.order)), spec)
+    if spec.fine is None:
+        return sliced.drop("_at")
+    # A row for each bucket; Spark chooses the join by its measured size. A bucket without a sampled row has no cuts.
+    joined = sliced.join(spec.fine, SLICE, "left")
+    cuts = F.coalesce(F.col("_cuts"), F.array().cast("array<double>"))
+    place = F.col(SLICE) * (spec.fine_cuts + 1) + _cuts_below(cuts, F.col("_at"), spec.fine_cuts)
+    return joined.withColumn(SLICE, place.cast("int")).drop("_at", "_cuts")
+
+
+def _with_buckets(df: DataFrame, spec: LongSeries) -> DataFrame:
+    """Adds the number of the coarse bucket that holds ``_at``, as the slice."""
     if not spec.cuts:
         return df.withColumn(SLICE, F.lit(0))
-    splits = [-float("inf"), *spec.cuts, float("inf")]
-    cutter = Bucketizer(splits=splits, inputCol="_at", outputCol=SLICE)
-    sliced = cutter.transform(df.withColumn("_at", _position(df, spec.order)))
-    return sliced.withColumn(SLICE, F.col(SLICE).cast("int")).drop("_at")
+    cutter = Bucketizer(splits=[-float("inf"), *spec.cuts, float("inf")], inputCol="_at", outputCol=SLICE)
+    return cutter.transform(df).withColumn(SLICE, F.col(SLICE).cast("int"))
+
+
+def _cuts_below(cuts: Column, at: Column, most: int) -> Column:
+    """How many of the sorted cuts are not above ``at``: a binary search, by halving steps that a fold takes."""
+    steps = [F.lit(1 << k) for k in reversed(range(most.bit_length()))]
+    return F.aggregate(F.array(*steps), F.lit(0), lambda found, step: F.when(
+        F.coalesce(F.get(cuts, found + step - 1) <= at, F.lit(False)), found + step).otherwise(found))
 
 
 def difference(df: DataFrame, spec: LongSeries, value: str, out: str) -> DataFrame:

@@ -29,9 +29,15 @@ def date_range(panel: DataFrame) -> DataFrame:
     return panel.agg(F.min("date").alias("start_date"), F.max("date").alias("end_date"))
 
 
-def within_range(df: DataFrame, span: DataFrame) -> DataFrame:
-    """Rows dated within a one-row ``start_date, end_date`` table, as a filter on two scalar subqueries."""
-    return df.where(F.col("date").between(span.select("start_date").scalar(), span.select("end_date").scalar()))
+def within_range(df: DataFrame, span: DataFrame, year: str = "year") -> DataFrame:
+    """Rows dated within a one-row ``start_date, end_date`` table, as a filter on two scalar subqueries.
+
+    A table that is partitioned by a ``year`` column is filtered by the span's years too, so the scan opens only those folders.
+    """
+    start, end = (span.select(c).scalar() for c in ("start_date", "end_date"))
+    if year in df.columns:
+        df = df.where(F.col(year).between(*[span.select(F.year(c)).scalar() for c in ("start_date", "end_date")]))
+    return df.where(F.col("date").between(start, end))
 
 
 def yields_long(wide: DataFrame, tenors: Sequence[str] | None = None, by: Sequence[str] = ()) -> DataFrame:
@@ -44,11 +50,26 @@ def curve_join(panel: DataFrame, yields: DataFrame, by: Sequence[str] = ()) -> D
     return panel.join(yields, [*by, "date", "maturity"])
 
 
-def yield_differences(curve: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Yield as a fraction and its change per security; rows without a change are dropped afterwards."""
+def yield_differences(curve: DataFrame, by: Sequence[str] = (), earlier: DataFrame | None = None) -> DataFrame:
+    """Yield as a fraction and its change per security; rows without a change are dropped afterwards.
+
+    ``earlier`` are the ``last_yields`` of dates before those of the curve: the first change of a series starts from them.
+    """
     window = series([*by, "security"])
     fraction = curve.withColumn("yld", F.col("yield") / 100).drop("yield")
-    return fraction.withColumn("yld_diff", difference(F.col("yld"), window)).dropna("any")
+    if earlier is None:
+        return fraction.withColumn("yld_diff", difference(F.col("yld"), window)).dropna("any")
+    both = fraction.withColumn("_new", F.lit(True)).unionByName(earlier.withColumn("_new", F.lit(False)), allowMissingColumns=True)
+    changed = both.withColumn("yld_diff", difference(F.col("yld"), window)).where("_new").drop("_new")
+    return changed.select(*fraction.columns, "yld_diff").dropna("any")
+
+
+def last_yields(curve: DataFrame, by: Sequence[str] = (), earlier: DataFrame | None = None) -> DataFrame:
+    """``by, security, date, yld`` of each series' last row, be its yield missing; series without new rows keep their earlier one."""
+    rows = curve.select(*by, "security", "date", (F.col("yield") / 100).alias("yld"))
+    rows = rows if earlier is None else rows.unionByName(earlier)
+    last = rows.groupBy(*by, "security").agg(F.max(F.struct("date", "yld")).alias("_last"))
+    return last.select(*by, "security", "_last.*")
 
 
 def return_terms(differences: DataFrame) -> DataFrame:

@@ -43,12 +43,10 @@ def risk(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFrame
     keys = [F.to_date("o_orderdate").alias("date"), security.alias("security"), years.alias("years")]
     extremes = [F.max("o_totalprice").alias("high"), F.min("o_totalprice").alias("low")]
     if by_nation:
-        # A customer's orders shrink to one row a day and security before they meet the customers.
+        # Two columns of a dimension, which Spark broadcasts if they measure small; the rows then shrink to nations before they move.
         customers = table(spark, folder, "customer").selectExpr("c_custkey AS o_custkey", "c_nationkey AS curve")
-        daily = orders.groupBy("o_custkey", *keys).agg(*extremes).join(customers, "o_custkey").groupBy(
-            "curve", "date", "security", "years").agg(F.max("high").alias("high"), F.min("low").alias("low"))
-    else:
-        daily = orders.groupBy(*keys).agg(*extremes)
+        orders = orders.join(customers, "o_custkey")
+    daily = orders.groupBy(*by, *keys).agg(*extremes)
     duration, convexity = RISK_VARIABLES
     wide = daily.selectExpr(
         *by, "date", "security",
@@ -63,10 +61,8 @@ def yields(spark: SparkSession, folder: str, by_nation: bool = False) -> DataFra
     lines, date = table(spark, folder, "lineitem"), F.to_date("l_shipdate").alias("date")
     lows = [F.expr(f"min(l_extendedprice) FILTER (WHERE l_linenumber % 5 = {k}) AS {n}") for k, n in enumerate(YIELD_SERIES)]
     if by_nation:
-        # A supplier's lines shrink to one row a day before they meet the suppliers.
         suppliers = table(spark, folder, "supplier").selectExpr("s_suppkey AS l_suppkey", "s_nationkey AS curve")
-        daily = lines.groupBy("l_suppkey", date).agg(*lows).join(suppliers, "l_suppkey").groupBy("curve", "date").agg(
-            *[F.min(n).alias(n) for n in YIELD_SERIES])
+        daily = lines.join(suppliers, "l_suppkey").groupBy("curve", date).agg(*lows)
         return daily.select("curve", "date", *[F.expr(f"{n} / 2e4 + 1e-1 AS {n}") for n in YIELD_SERIES])
     return lines.groupBy(date).agg(*lows).select("date", *[F.expr(f"{n} / 2e4 + 1e-1 AS {n}") for n in YIELD_SERIES])
 
@@ -166,6 +162,19 @@ def pages(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "pages")
 
 
+def listings(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages as directory listings: by their first letter, links of a page's menu get classes, and files above, under or far from it."""
+    rules = {
+        "[a-m]": """<a class="primary" href="../files/./$1.xlsx">""",
+        "[n-z]": """<a title="a > b" class='box primary' href='sub/../$1.csv?raw=1'>""",
+        "[A-Z]": """<A HREF="/top/../../$1.xlsx?v=2#end" CLASS="wide  primary">""",
+    }
+    html = F.col("html")
+    for first, tag in rules.items():
+        html = F.regexp_replace(html, rf'<a href="/({first}[^"?#/]*)">', tag)
+    return pages(spark, folder).select("page_id", "url", html.alias("html"))
+
+
 def _auction_ids() -> list[Column]:
     auction = F.date_add(F.lit("2000-01-01").cast("date"), F.col("p_size"))
     return [

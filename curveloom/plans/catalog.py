@@ -186,10 +186,14 @@ def _page_links(spark, folder):
     return links.page_links(a.pages(spark, folder), links.site_root(F.col("url")))
 
 
+def _page_file_links(spark, folder):
+    return links.resolved_links(a.listings(spark, folder), F.col("url"), "xlsx", css_class="primary")
+
+
 def _ticks(spark, folder):
-    """All ticks and how their series, one per event type, are cut."""
+    """All ticks and how their series, one per event type, are cut: short slices, and few coarse cuts, as a long table has."""
     ticks = a.ticks(spark, folder)
-    return ticks, long_series.cut(ticks, ["event_type"], "event_id", rows_per_slice=1000)
+    return ticks, long_series.cut(ticks, ["event_type"], "event_id", rows_per_slice=1000, coarse=7)
 
 
 def _tick_diff(spark, folder):
@@ -276,12 +280,15 @@ QUERIES: dict[str, Query] = {
     "quote_wide_by_variable": _quote_wide_by_variable,
     # Pages
     "page_links": _page_links,
+    "page_file_links": _page_file_links,
     # The same through saved files and the readers
     "read_risk_panel": files.risk_panel,
     "read_daily_quotes": files.daily_quotes,
     "read_observed": files.observed,
     "read_auctions": files.saved_auctions,
     "build_returns": files.built_returns,
+    "append_returns": files.appended_returns,
+    "yield_long_stored": files.stored_yields,
     # The series operators on tick histories, whose few keys each hold a large part of the rows
     "tick_diff": _tick_diff,
     "tick_pct_change": _tick_pct_change,

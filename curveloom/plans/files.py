@@ -64,3 +64,26 @@ def built_returns(spark: SparkSession, folder: str) -> DataFrame:
     write_table(a.risk(spark, folder), f"{at}/risk")
     write_table(a.yields(spark, folder), f"{at}/yields")
     return stored.synthetic_returns(spark, at, [f"{at}/risk"], [f"{at}/yields"], a.universe(spark, folder))
+
+
+def appended_returns(spark: SparkSession, folder: str) -> DataFrame:
+    """Synthetic returns, built up to the end of 1996 from saved risk and yields, and extended when the later ones are there too."""
+    at = _folder(spark, "rates")
+    for name, rows in (("risk", a.risk(spark, folder)), ("yields", a.yields(spark, folder))):
+        late = F.col("date") >= F.lit("1997-01-01").cast("date")
+        write_table(rows.where(~late), f"{at}/early/{name}")
+        write_table(rows.where(late), f"{at}/late/{name}")
+    built = None
+    for parts in (["early"], ["early", "late"]):
+        paths = [[f"{at}/{part}/{name}" for part in parts] for name in ("risk", "yields")]
+        built = stored.extended_returns(spark, at, *paths, a.universe(spark, folder))
+    return built
+
+
+def stored_yields(spark: SparkSession, folder: str) -> DataFrame:
+    """Yields in long form within the risk panel's span, from a panel stored by year, of which only the span's years are opened."""
+    at = _folder(spark, "panel")
+    write_table(a.yields(spark, folder), f"{at}/yields")
+    panel = stored.yield_panel(spark, at, [f"{at}/yields"], a.YIELD_SERIES)
+    span = returns.date_range(returns.deliverable_panel(a.risk(spark, folder)))
+    return returns.yields_long(returns.within_range(panel, span).drop("year"))

@@ -368,6 +368,15 @@ SELECTS: dict[str, tuple[str, str]] = {
         FROM (SELECT page_id, url, split_part(split_part(' ' || tag, ' href="', 2), '"', 1) AS found FROM (
             SELECT page_id, url, split_part(unnest(string_split(html, '<a ')[2:]), '>', 1) AS tag FROM pages)
             WHERE contains(' ' || tag, ' href="'))"""),
+    "page_file_links": ("", r"""
+        WITH placed AS (SELECT page_id, html, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS root,
+            regexp_replace(regexp_extract(url, '^https?://[^/?#]+([^?#]*)', 1), '[^/]*$', '') AS folder FROM pages),
+        above AS (SELECT *, CASE WHEN folder IN ('', '/') THEN '/' ELSE regexp_replace(folder, '[^/]+/$', '') END AS up FROM placed)
+        SELECT page_id, '../files/./' || w || '.xlsx' AS file, root || up || 'files/' || w || '.xlsx' AS link
+        FROM (SELECT *, unnest(regexp_extract_all(html, '<a href="/([a-m][^"?#/]*)">', 1)) AS w FROM above)
+        UNION ALL
+        SELECT page_id, '/top/../../' || w || '.xlsx?v=2#end', root || '/' || w || '.xlsx?v=2#end'
+        FROM (SELECT *, unnest(regexp_extract_all(html, '<a href="/([A-Z][^"?#/]*)">', 1)) AS w FROM above)"""),
     "read_daily_quotes": ("tick_quotes", """
         SELECT d.date, d.quote, t.tenor, max(q.value) AS value
         FROM (SELECT DISTINCT cast(date AS DATE) AS date, quote FROM tick_quotes) d
@@ -406,7 +415,7 @@ def _needed(names: str, seen: dict[str, str]) -> dict[str, str]:
 # Queries that read saved files give what those give that start from the tables.
 FROM_FILES = {
     "read_risk_panel": "deliverable_panel", "read_observed": "observed_reconcile", "read_auctions": "auction_filtered",
-    "build_returns": "synthetic_returns",
+    "build_returns": "synthetic_returns", "append_returns": "synthetic_returns", "yield_long_stored": "yield_long",
 }
 
 

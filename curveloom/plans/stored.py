@@ -4,6 +4,7 @@ Each function returns the table in ``folder``, building it and the stored tables
 folder is any path that all executors share, such as ``store.shared_path(spark, "rates")``.
 """
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from curveloom.functions.reshape import assert_unique
 from curveloom.functions.scalar import first_token
 from curveloom.operators import auctions, flies, quotes, returns, spreads, universe
 from curveloom.sources import tables
-from curveloom.sources.store import materialize
+from curveloom.sources.store import extend, kept, materialize
 
 TENORS = tuple(f"{TENOR_PREFIX}{maturity}" for maturity in UNIVERSE.values())
 
@@ -33,6 +34,37 @@ def synthetic_returns(
     return materialize(spark, f"{folder}/synthetic_returns", build, refresh=refresh)
 
 
+def extended_returns(
+    spark: SparkSession, folder: str, risk_paths: Sequence[str], yield_paths: Sequence[str],
+    securities: DataFrame | None = None, tenors: Sequence[str] = TENORS,
+) -> DataFrame:
+    """Synthetic returns, with only the dates computed that the stored table doesn't reach yet.
+
+    The result is that of building all dates at once: each security's last yield is stored with the table, so the
+    first new change starts from it. Rows that come later for dates already stored are not seen.
+    """
+    def build(since: dt.date | None, earlier: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+        risk, yields = tables.read_risk(spark, risk_paths), tables.read_panel(spark, yield_paths, tenors)
+        if since is not None:
+            risk, yields = (df.where(F.col("date") > F.lit(since)) for df in (risk, yields))
+        assert_unique(yields, ["date"])
+        panel = returns.with_maturity(returns.deliverable_panel(risk), _universe(spark, securities))
+        curve = kept(returns.curve_join(panel, returns.yields_long(yields)), "curve")
+        daily = returns.return_terms(returns.yield_differences(curve, earlier=earlier))
+        return daily, returns.last_yields(curve, earlier=earlier)
+    return extend(spark, f"{folder}/extended_returns", build)
+
+
+def yield_panel(
+    spark: SparkSession, folder: str, yield_paths: Sequence[str], tenors: Sequence[str] = TENORS, refresh: bool = False,
+) -> DataFrame:
+    """The wide yield panel, partitioned by ``year``, so that ``returns.within_range`` opens only the years of a span."""
+    def build() -> DataFrame:
+        yields = tables.read_panel(spark, yield_paths, tenors).withColumn("year", F.year("date"))
+        return yields.repartition("year")
+    return materialize(spark, f"{folder}/yield_panel", build, ["year"], refresh)
+
+
 def steepeners(
     spark: SparkSession, folder: str, daily: DataFrame, securities: DataFrame | None = None, refresh: bool = False,
 ) -> DataFrame:
@@ -76,11 +108,12 @@ def observed_securities(
 
 
 def raw_quotes(
-    spark: SparkSession, folder: str, source: str, tenors: Sequence[str], refresh: bool = False,
+    spark: SparkSession, folder: str, source: str, tenors: Sequence[str], refresh: bool = False, unlisted: str = "raise",
 ) -> DataFrame:
-    """``date, quote, tenor, value, tenor_days`` of all quote files in ``source``. Repeated quotes are an error."""
+    """``date, quote, tenor, value, tenor_days`` of all quote files in ``source``. Repeated quotes are an error, and so are
+    tenors that are not listed, unless ``unlisted`` says to ``keep`` or ``drop`` them."""
     def build() -> DataFrame:
-        files = tables.read_quote_files(spark, source, tenors)
+        files = tables.read_quote_files(spark, source, tenors, unlisted=unlisted)
         assert_unique(files, ["date", "quote"])
         return quotes.with_tenor_days(quotes.quotes_long(files))
     return materialize(spark, f"{folder}/raw_quotes", build, refresh=refresh)

@@ -1,10 +1,12 @@
 """Build-or-read tables."""
 
+import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 # What Spark reports for a folder that is absent, or left without data by an interrupted write.
 NOT_BUILT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
@@ -62,6 +64,44 @@ def materialize(
     return spark.read.parquet(path)
 
 
+def extend(
+    spark: SparkSession, path: str, build: Callable[[dt.date | None, DataFrame | None], tuple[DataFrame, DataFrame]],
+) -> DataFrame:
+    """The table at ``path`` with what ``build`` adds after its last date.
+
+    ``build`` gets that date and the state that the last addition left, or twice None at first, and returns the rows of later
+    dates and the state after them. Each addition is a folder of its own, and its date range a row of the manifest beside the
+    table, written last: what an interrupted addition leaves is not listed, so it is not read, and is added again.
+    """
+    done = finished_ranges(spark, path)
+    last = max(done, key=lambda r: r["number"], default=None)
+    number = last["number"] + 1 if last else 0
+    state = f"{path}.carried/added="
+    rows, carried = build(last["end"] if last else None, spark.read.parquet(f"{state}{last['number']}") if last else None)
+    write_table(rows, f"{path}/added={number}", mode="overwrite")
+    span = spark.read.schema(rows.schema).parquet(f"{path}/added={number}").agg(F.min("date").alias("start"), F.max("date").alias("end")).first()
+    if span["end"] is not None:
+        write_table(carried, f"{state}{number}", mode="overwrite")
+        entry = spark.range(1).select(F.lit(number).alias("number"), F.lit(span["start"]).alias("start"), F.lit(span["end"]).alias("end"))
+        write_table(entry.coalesce(1), f"{path}.ranges", mode="append")
+        done = [*done, {"number": number}]
+    if not done:
+        return spark.createDataFrame([], rows.schema)
+    parts = [f"{path}/added={r['number']}" for r in done]
+    return spark.read.schema(rows.schema).option("basePath", path).parquet(*parts).drop("added")
+
+
+def finished_ranges(spark: SparkSession, path: str) -> list[Row]:
+    """The manifest of an extended table, in order: ``number, start, end`` of each addition."""
+    try:
+        entries = spark.read.schema("number int, start date, end date").parquet(f"{path}.ranges")
+        return entries.orderBy("number").collect()
+    except AnalysisException as error:
+        if error.getCondition() not in NOT_BUILT:
+            raise
+        return []
+
+
 def _finished(spark: SparkSession, path: str) -> bool:
     try:
         states = spark.read.schema("finished boolean").parquet(f"{path}.state").collect()

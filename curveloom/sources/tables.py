@@ -31,20 +31,36 @@ def read_panel(spark: SparkSession, paths: Sequence[str], series: Sequence[str])
     return null_nans(_dated(spark.read.parquet(*paths), ddl))
 
 
-def read_quote_files(spark: SparkSession, folder: str, tenors: Sequence[str], pattern: str = "historical_*") -> DataFrame:
+def read_quote_files(
+    spark: SparkSession, folder: str, tenors: Sequence[str], pattern: str = "historical_*", unlisted: str = "raise",
+) -> DataFrame:
     """JSON quote files, one per side, as ``date, quote`` and a column per tenor.
 
     Files, and folders of part files, named like ``pattern`` are read; the side is the second last ``_`` token of that
-    name. Records that don't parse are an error, and so is a folder without any such name.
+    name. Records that don't parse are an error, and so is a folder without any such name. So is a tenor that is not among
+    ``tenors``, unless ``unlisted`` says to ``keep`` it, as a column behind the others, or to ``drop`` it.
     """
-    raw = (
-        spark.read.schema(schemas.quotes(tenors)).option("multiLine", True).option("mode", "FAILFAST")
-        .json(f"{folder.rstrip('/')}/{pattern}")
-    )
+    if unlisted not in ("raise", "keep", "drop"):
+        raise ValueError(f"unlisted is raise, keep or drop, not {unlisted}")
+    path = f"{folder.rstrip('/')}/{pattern}"
+    if unlisted != "drop":
+        more = unlisted_keys(spark, path, ["Date", *tenors])
+        if more and unlisted == "raise":
+            raise ValueError(f"quote files have tenors that are not listed: {', '.join(more)}")
+        tenors = [*tenors, *more]
+    raw = spark.read.schema(schemas.quotes(tenors)).option("multiLine", True).option("mode", "FAILFAST").json(path)
     side = F.element_at(F.split(_named(_expression(pattern)), "_"), -2)
     return null_nans(raw.select(F.to_date("Date").alias("date"), side.alias("quote"), *[F.col(f"`{t}`") for t in tenors]))
 
 
+def unlisted_keys(spark: SparkSession, path: str, listed: Sequence[str]) -> list[str]:
+    """Keys of JSON records, sorted, that are not listed. A job over all records; as many results as there are such keys."""
+    files = spark.read.text(path, wholetext=True)
+    records = files.select(F.explode(F.from_json("value", "array<map<string,string>>", {"mode": "FAILFAST"})).alias("record"))
+    keys = records.select(F.explode(F.array_except(F.map_keys("record"), F.array(*map(F.lit, listed)))).alias("key"))
+    return [r["key"] for r in keys.distinct().orderBy("key").collect()]
+
+
 def read_observed(spark: SparkSession, folder: str, index_columns: Sequence[str] = ()) -> DataFrame:
     """Parquet files, or folders of part files, whose names have six ``_`` tokens, tagged with their vintage.
 

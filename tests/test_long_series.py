@@ -139,3 +139,25 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "k string, t long, x double")
     spec = ls.cut(df, ["k"], "t")
     assert ls.difference(df, spec, "x", "d").count() == ls.rolling_zscores(df, spec, {"z": "x"}, 5).count() == 0
+
+
+@pytest.mark.parametrize("coarse", [0, 1, 4])
+def test_fine_cuts_come_from_a_table(ticks, coarse):
+    """Few coarse cuts reach the driver; the slices are as short as without that bound, and the results the same."""
+    spec = ls.cut(ticks, ["k"], "t", 40, coarse=coarse)
+    assert len(spec.cuts) <= coarse and spec.fine_cuts > 0 and spec.fine.count() <= coarse + 1
+    sizes = [r["count"] for r in ls.with_slices(ticks, spec).groupBy(ls.SLICE).count().collect()]
+    assert sum(sizes) == 600 and len(sizes) > 25 and max(sizes) < 60
+    same(ls.difference(ticks, spec, "x", "d"), ticks.withColumn("d", ss.difference(F.col("x"), w())), "d")
+    rated = ticks.withColumn("r", F.col("x") / 1000)
+    same(ls.cumulative(rated, spec, {"s": "x"}), rated.withColumn("s", ss.cumulative_sum(F.col("x"), w())), "s")
+    index = {(r.k, r.t): r[ls.INDEX] for r in ls.with_index(ticks, spec).collect()}
+    for key in {k for k, _ in index}:
+        assert [index[k] for k in sorted(index) if k[0] == key] == list(range(sum(k[0] == key for k in index)))
+
+
+def test_cuts_below_are_found_by_halving(spark):
+    rows = [([1.0, 2.0, 2.5, 9.0, 10.0], x) for x in (0.0, 1.0, 1.5, 2.0, 2.7, 9.0, 11.0)] + [([], 5.0), ([7.0], 7.0)]
+    df = spark.createDataFrame(rows, "c array<double>, x double")
+    found = [r[0] for r in df.select(ls._cuts_below(F.col("c"), F.col("x"), 5)).collect()]
+    assert found == [sum(c <= x for c in cuts) for cuts, x in rows]

@@ -137,3 +137,54 @@ def test_links_in_any_quotes(spark):
         ("one.csv", "https://h.org/one.csv"), ("two.csv", "https://h.org/two.csv"), ("3 > 2.csv", "https://h.org/3 > 2.csv"),
         ("http://o.org/z.xlsx", "http://o.org/z.xlsx"), ("//c.net/y", "//c.net/y"), ("../up.csv", "https://h.org/../up.csv")}
     assert [r.file for r in links.page_links(pages, base, css_class="link").collect()] == ["two.csv"]
+
+
+def test_links_are_followed_from_the_page(spark):
+    """Cases of RFC 3986, section 5.4, and what pages of other shapes need."""
+    url = "http://a/b/c/d;p?q"
+    expected = {
+        "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g",
+        "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y", "#s": "http://a/b/c/d;p?q#s", "g#s": "http://a/b/c/g#s", "g?y#s": "http://a/b/c/g?y#s",
+        ";x": "http://a/b/c/;x", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g",
+        "../..": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.",
+        "..g": "http://a/b/c/..g", "./../g": "http://a/b/g", "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g/../h": "http://a/b/c/h",
+        "g;x=1/../y": "http://a/b/c/y", "g?y/../x": "http://a/b/c/g?y/../x", "mailto:x@y": "mailto:x@y", "https://o.org/p/../q": "https://o.org/q"}
+    html = "".join(f'<a href="{link}">' for link in expected)
+    pages = spark.createDataFrame([(1, url, html)], "page_id int, url string, html string")
+    assert {r.file: r.link for r in links.resolved_links(pages, F.col("url")).collect()} == expected
+    bare = spark.createDataFrame([(1, "https://h.org", '<a href="x.csv?v=1" class="l"><a href="y.csv"><a class="l" href="z.xlsx">')], pages.schema)
+    assert [r.link for r in links.resolved_links(bare, F.col("url")).collect()] == [f"https://h.org/{n}" for n in ("x.csv?v=1", "y.csv", "z.xlsx")]
+    assert [r.link for r in links.resolved_links(bare, F.col("url"), "csv", css_class="l").collect()] == ["https://h.org/x.csv?v=1"]
+
+
+def test_tenors_that_are_not_listed(spark, tmp_path):
+    records = [{"Date": "2024-01-01", "4-Week": 5.0}, {"Date": "2024-01-02", "4-Week": 5.1, "2-Month": 4.9}]
+    (tmp_path / "historical_x_bid_side.json").write_text(json.dumps(records))
+    (tmp_path / "historical_x_mid_side.json").write_text(json.dumps([{"Date": "2024-01-01", "7-Year": 4.0, "4-Week": None}]))
+    with pytest.raises(ValueError, match="2-Month, 7-Year"):
+        tables.read_quote_files(spark, str(tmp_path), ["4-Week"])
+    kept = tables.read_quote_files(spark, str(tmp_path), ["4-Week"], unlisted="keep")
+    assert kept.columns == ["date", "quote", "4-Week", "2-Month", "7-Year"]
+    assert rows(kept, "date", "quote") == [(day(1), "bid", 5.0, None, None), (day(1), "mid", None, None, 4.0), (day(2), "bid", 5.1, 4.9, None)]
+    assert tables.read_quote_files(spark, str(tmp_path), ["4-Week"], unlisted="drop").columns == ["date", "quote", "4-Week"]
+    assert tables.read_quote_files(spark, str(tmp_path), ["4-Week", "7-Year", "2-Month"]).count() == 3
+
+
+def test_extended_tables_list_what_is_finished(spark, tmp_path):
+    path, seen = str(tmp_path / "t"), []
+
+    def adding(*days):
+        def build(since, state):
+            seen.append((since, state and sorted(r.date for r in state.collect())))
+            new = spark.createDataFrame([(day(d),) for d in days], "date date")
+            return (new if since is None else new.where(F.col("date") > F.lit(since))), new.agg(F.max("date").alias("date"))
+        return build
+
+    assert store.extend(spark, path, adding()).count() == 0
+    assert rows(store.extend(spark, path, adding(1, 2))) == [(day(1),), (day(2),)]
+    # An addition that was cut off is there in part, but not listed.
+    store.write_table(spark.createDataFrame([(day(9),)], "date date"), f"{path}/added=1")
+    assert rows(store.extend(spark, path, adding(1, 2, 3))) == [(day(1),), (day(2),), (day(3),)]
+    assert store.extend(spark, path, adding(3)).count() == 3
+    assert seen == [(None, None), (None, None), (day(2), [day(2)]), (day(3), [day(3)])]
+    assert [(r.number, r.start, r.end) for r in store.finished_ranges(spark, path)] == [(0, day(1), day(2)), (1, day(3), day(3))]

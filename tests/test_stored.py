@@ -1,12 +1,14 @@
 """The stored tables end to end, from files of the declared shapes."""
 
+import datetime as dt
 import json
+import re
 
 import pandas as pd
 import pytest
 
-from helpers import day
-from curveloom.operators import flies, spreads, universe
+from helpers import day, rows
+from curveloom.operators import flies, returns, spreads, universe
 from curveloom.plans import stored
 
 
@@ -43,6 +45,39 @@ def test_repeated_risk_values_are_refused(spark, tmp_path):
         stored.synthetic_returns(spark, str(tmp_path / "out"), twice, [str(tmp_path / "yields.parquet")], tenors=["DGS2"])
 
 
+def test_appending_equals_a_rebuild(spark, tmp_path):
+    """Additions of any length, with a yield missing on the last day before one, and a security that is away for a while."""
+    held = universe.universe_table(spark, {"TU1": 2, "FV1": 5})
+    variables = ("CONVENTIONAL_CTD_FORWARD_FRSK", "FUT_EQV_CNVX_NOTL")
+    risk = pd.DataFrame([(day(d), f"{s} Comdty", v, d + 1.0) for d in range(1, 11) for s in ("TU1", "FV1") for v in variables
+                         if not (s == "FV1" and 4 <= d <= 7)], columns=["date", "security", "variable", "value"])
+    yields = pd.DataFrame([(day(d), None if d == 3 else 3 + d / 50, 4 - d * d / 300) for d in range(1, 11)], columns=["date", "DGS2", "DGS5"])
+
+    def extended(out, upto):
+        at = tmp_path / f"{out}-{upto}"
+        at.mkdir(exist_ok=True)
+        risk[risk.date <= day(upto)].to_parquet(at / "risk.parquet")
+        yields[yields.date <= day(upto)].to_parquet(at / "yields.parquet")
+        return stored.extended_returns(spark, str(tmp_path / out), [str(at / "risk.parquet")], [str(at / "yields.parquet")], held, ["DGS2", "DGS5"])
+
+    whole = rows(extended("whole", 10))
+    assert len(whole) == 7 + 5
+    for steps in ([3, 10], [1, 2, 3, 4, 6, 8, 9, 10], [5, 5, 10, 10]):
+        found = [extended("-".join(map(str, steps)), upto) for upto in steps]
+        assert rows(found[-1]) == whole
+
+
+def test_a_span_opens_only_its_years(spark, tmp_path):
+    dates = pd.date_range("2019-11-01", "2024-02-01", freq="MS").date
+    pd.DataFrame({"date": dates, "DGS2": range(len(dates))}).astype({"DGS2": float}).to_parquet(tmp_path / "yields.parquet")
+    panel = stored.yield_panel(spark, str(tmp_path / "out"), [str(tmp_path / "yields.parquet")], ["DGS2"])
+    span = spark.createDataFrame([(dt.date(2020, 3, 1), dt.date(2021, 2, 1))], "start_date date, end_date date")
+    found = returns.within_range(panel, span)
+    assert rows(found.select("date")) == [(d,) for d in dates if dt.date(2020, 3, 1) <= d <= dt.date(2021, 2, 1)]
+    assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ >= [^\]]*Subquery", found._jdf.queryExecution().executedPlan().toString())
+    assert len(found.inputFiles()) == 6  # the folder's; which are opened is known when the span is
+
+
 def test_quotes(spark, tmp_path):
     for side, shift in (("bid", -0.1), ("eod", 0.0), ("mid", 0.0), ("offer", 0.1)):
         records = [{"Date": str(day(d)), "4-Week": 5 + d % 3 / 10 + shift, "10-Year": None if d % 2 else 4.0} for d in range(1, 31)]
