@@ -12,12 +12,14 @@ from statistics import median
 
 from curveloom.plans.catalog import QUERIES
 from curveloom.session import local_session
+from curveloom.sources.store import scratch
 
 
 def run(query, spark, folder: str) -> float:
-    started = time.perf_counter()
-    query(spark, folder).write.format("noop").mode("overwrite").save()
-    return round(time.perf_counter() - started, 3)
+    with scratch(spark):
+        started = time.perf_counter()
+        query(spark, folder).write.format("noop").mode("overwrite").save()
+        return round(time.perf_counter() - started, 3)
 
 
 def main() -> None:

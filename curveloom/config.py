@@ -29,5 +29,5 @@ VINTAGES = ("auctioned_after_2000", "auctioned_after_2005", "auctioned_after_201
 CARRY_DAYS = 360
 DAYS_PER_WEEK = 7
 
-# Columns of the synthetic return table that the strategies carry for each leg.
+# Columns of the synthetic return table that the strategies carry for each leg.
 RETURN_VARIABLES = ("duration", "convexity", "yld", "yld_diff", "dur_rtn", "cvx_rtn", "bnd_rtn")

@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from curveloom.functions.scalar import ratio
 
 
+SHORT_FRAME = 64
+
+
 def series(keys: Sequence[str], order: Sequence[str] = ("date",)) -> WindowSpec:
     return Window.partitionBy(*keys).orderBy(*order)
 
@@ -56,7 +59,14 @@ def rolling_zscore(value: Column, window: WindowSpec, rows: int) -> Column:
 def with_rolling_zscores(
     df: DataFrame, keys: Sequence[str], scores: Mapping[str, str], rows: int, order: Sequence[str] = ("date",),
 ) -> DataFrame:
-    """Adds ``rolling_zscore`` of several values (``output name -> column``), in time that doesn't grow with ``rows``."""
+    """Adds ``rolling_zscore`` of several values (``output name -> column``), in time that doesn't grow with ``rows``.
+
+    Frames of few rows are read as they are, which takes less than merging the parts of two runs.
+    """
+    if rows <= SHORT_FRAME:
+        window = series(keys, order)
+        return df.select(*[c for c in df.columns if c not in scores],
+                         *[rolling_zscore(F.col(value), window, rows).alias(out) for out, value in scores.items()])
     numbered = df.withColumn("_row", F.row_number().over(series(keys, order)) - 1)
     return zscores_by_runs(numbered, keys, "_row", scores, rows).select(*[c for c in df.columns if c not in scores], *scores)
 

@@ -20,8 +20,20 @@ AUCTION_INDEX = ("row", "part")
 AUCTION_COLUMNS = ("cusip", "auction_date", "issue_date")
 
 
+# The columns that are read, so that no job has to open files for the schema.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "part": "p_partkey bigint, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_suppkey bigint, l_linenumber int, l_extendedprice double, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def universe(spark: SparkSession, folder: str) -> DataFrame:

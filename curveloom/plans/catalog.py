@@ -190,16 +190,21 @@ def _page_file_links(spark, folder):
     return links.resolved_links(a.listings(spark, folder), F.col("url"), "xlsx", css_class="primary")
 
 
-def _ticks(spark, folder):
-    """All ticks and how their series, one per event type, are cut: short slices, and few coarse cuts, as a long table has."""
+def _ticks(spark, folder, coarse=long_series.COARSE_CUTS):
+    """All ticks and how their series, one per event type, are cut."""
     ticks = a.ticks(spark, folder)
-    return ticks, long_series.cut(ticks, ["event_type"], "event_id", rows_per_slice=1000, coarse=7)
+    return ticks, long_series.cut(ticks, ["event_type"], "event_id", rows_per_slice=1000, coarse=coarse)
 
 
 def _tick_diff(spark, folder):
     return long_series.difference(*_ticks(spark, folder), "value", "diff")
 
 
+def _tick_diff_fine(spark, folder):
+    """As ``tick_diff``, with so few coarse cuts that most come from a table, as those of a very long one do."""
+    return long_series.difference(*_ticks(spark, folder, 3), "value", "diff")
+
+
 def _tick_pct_change(spark, folder):
     return long_series.pct_change(*_ticks(spark, folder), "value", "change")
 
@@ -291,6 +296,7 @@ QUERIES: dict[str, Query] = {
     "yield_long_stored": files.stored_yields,
     # The series operators on tick histories, whose few keys each hold a large part of the rows
     "tick_diff": _tick_diff,
+    "tick_diff_fine": _tick_diff_fine,
     "tick_pct_change": _tick_pct_change,
     "tick_cumulative": _tick_cumulative,
     "tick_rolling_zscore": _tick_zscore,

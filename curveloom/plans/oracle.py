@@ -416,6 +416,7 @@ def _needed(names: str, seen: dict[str, str]) -> dict[str, str]:
 FROM_FILES = {
     "read_risk_panel": "deliverable_panel", "read_observed": "observed_reconcile", "read_auctions": "auction_filtered",
     "build_returns": "synthetic_returns", "append_returns": "synthetic_returns", "yield_long_stored": "yield_long",
+    "tick_diff_fine": "tick_diff",
 }
 
 

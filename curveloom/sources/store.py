@@ -2,7 +2,8 @@
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -26,15 +27,43 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{folder.rstrip('/')}/{name}"
 
 
+def own_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder that no other call gets, deleted with the ``scratch`` that it was asked for in."""
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+    for paths in _SCRATCH:
+        paths.append(path)
+    return path
+
+
 def kept(df: DataFrame, name: str) -> DataFrame:
     """The rows, computed once into a table of the shared folder, without the lineage behind them.
 
-    Use it where a plan reads an expensive result more than once. The table stays until the folder is cleared.
+    Use it where a plan reads an expensive result more than once. The table stays until the ``scratch`` around it ends, or
+    the folder is cleared: results read from it lazily, so only the caller knows when they are done with.
     """
-    spark = df.sparkSession
-    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
+    path = own_path(df.sparkSession, name)
     write_table(df, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_SCRATCH: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes the tables kept inside it when it is left. Use or write the results before that.
+
+    ``with scratch(spark): query(spark, folder).write.parquet(path)``
+    """
+    paths: list[str] = []
+    _SCRATCH.append(paths)
+    try:
+        yield
+    finally:
+        _SCRATCH.remove(paths)
+        for path in paths:
+            place = spark._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:

@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from curveloom.operators import quotes
 from curveloom.plans import adapters, catalog, oracle
 
 DATA = "/root/testdata"
@@ -116,9 +117,13 @@ def test_replacement_reads_the_scored_rows_from_a_table(spark):
         assert "Window" not in text and "events" not in text
 
 
-def test_rolling_scores_read_no_frame_of_that_many_rows(spark):
-    text = plan(spark, "rolling_zscore")
-    assert "specifiedwindowframe" in text and not re.findall(r"specifiedwindowframe\(RowFrame, -(?!1,)\d+, currentrow", text)
+@pytest.mark.parametrize("rows", [50, 200])
+def test_only_short_frames_are_read_whole(spark, rows):
+    """Either way a tenor is shuffled and sorted once, and a frame of 200 rows is never read for each row."""
+    filled = quotes.imputed(quotes.partial_rows(quotes.sides_wide(quotes.quotes_long(adapters.quotes_wide(spark, f"{DATA}/sf0.01")))))
+    text = quotes.with_zscores(filled, rows)._jdf.queryExecution().executedPlan().toString()
+    frames = set(re.findall(r"specifiedwindowframe\(RowFrame, -(\d+), currentrow", text)) - {"1"}
+    assert frames == ({"49"} if rows == 50 else set())
     assert len(re.findall(r"Exchange hashpartitioning\(tenor#\d+, \d+\)", text)) == 1
 
 

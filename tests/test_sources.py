@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import day, rows
 from curveloom.operators import auctions, links, quotes
+from curveloom.plans import catalog
 from curveloom.sources import store, tables
 
 
@@ -118,6 +119,16 @@ def test_kept_rows_have_no_lineage(spark):
     assert "Range" not in kept._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_run_leaves_no_folder_behind(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(store, "shared_path", lambda _, name: f"{tmp_path}/{name}")
+    folder = "/root/testdata/sf0.001"
+    with store.scratch(spark):
+        assert catalog.QUERIES["cleaned_long_history"](spark, folder).count() > 0
+        assert catalog.QUERIES["append_returns"](spark, folder).count() > 0
+        assert len(list(tmp_path.iterdir())) >= 4
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_links_with_extension(spark):
     html = '<a class="x" href="a/b.xlsx">t</a><A HREF="no.xlsx"><a title="c.xlsx" href="/c.csv"></a><abbr href="d.xlsx">'
     pages = spark.createDataFrame([(1, "https://h.org/p/q?x=1", html), (2, "http://g.net", "none")], "page_id int, url string, html string")
