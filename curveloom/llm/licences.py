@@ -1,12 +1,11 @@
-"""Licences of files: TF-IDF cosine of their lines to templates, then inheritance from the nearest directory above.
+"""Licences of files: TF-IDF cosine of their passages to templates, then inheritance from the nearest directory above.
 
-DataFrame functions only. A line can only be as similar as asked if it holds one of a template's cue terms: those
-without which the rest of the template weighs too little (Cauchy and Schwarz). Lines without any cue are left before terms are
-laid out, and none that would match is lost.
+DataFrame functions only. A passage is one to ``PASSAGE`` consecutive lines, so a header counts however it is wrapped. It can
+only be as similar as asked if it holds one of a template's cue terms: those without which the rest of the template weighs too
+little (Cauchy and Schwarz). Passages without any cue are never laid out, and none that would match is lost. All terms are weighed
+by the lines of the whole table that have them.
 """
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +30,7 @@ TEMPLATES = (
 )
 LEAST = 0.6
 DIGITS = 6
+PASSAGE = 4
 TERM = "[a-z0-9]+"
 
 
@@ -70,11 +70,17 @@ def _nearest(own: DataFrame, notices: DataFrame) -> DataFrame:
         "folder", F.col("near.licence").alias("given"), F.col("near.path").alias("given_by"))
 
 
+def _computed(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """The rows with a column that is computed once a row. Of a plain column an optimiser may repeat the expression
+    wherever it is used, which inside of lambdas is once for each element."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def licences(files: DataFrame, path: Column, text: Column, is_notice: Column | None = None, least: float = LEAST) -> DataFrame:
     """Every row of ``files`` with ``licence``, ``similarity`` (rounded) and ``licence_from``.
 
-    ``path`` has ``/`` between its parts. A file's own licence is the template most similar to any of its lines, if the
-    cosine is ``least`` or more; of equals the first licence by name. ``is_notice`` tells which files with a licence
+    ``path`` has ``/`` between its parts. A file's own licence is the template most similar to any of its passages of up to
+    ``PASSAGE`` lines with terms, if the cosine is ``least`` or more; of equals the first licence by name. ``is_notice`` tells which files with a licence
     speak for their directory and those below it (default: names like LICENSE, COPYING or NOTICE); the most similar one
     does, then the first by path. Files without a licence of their own take that of the nearest directory above;
     ``licence_from`` is then the notice's path and ``similarity`` is null, and for files without any all three are.
@@ -88,24 +94,34 @@ def licences(files: DataFrame, path: Column, text: Column, is_notice: Column | N
     keyed = files.select(F.xxhash64(whole_text(path), whole_text(text)).alias("key"), whole_text(path).alias("path"),
                          F.coalesce(F.lit(None).cast("boolean") if is_notice is None else is_notice, F.lit(False)).alias("notice"),
                          whole_text(text).alias("text"))
-    lines = keyed.select("key", "path", "notice", F.explode(F.split("text", "\n+")).alias("line")).select(
-        "key", "path", "notice", F.expr(terms("line")).alias("terms")).where("size(terms) > 0")
+    wanted = F.filter(F.transform(F.split("text", "\n+"), lambda line: F.regexp_extract_all(F.lower(line), F.lit(TERM), 0)), lambda t: F.size(t) > 0)
+    kept_lines = _computed(keyed, "lines", wanted).select("key", "path", "notice", "lines").where("size(lines) > 0")
+    # In how many lines a term is, and, for the empty term, how many lines there are.
+    each_line = kept_lines.select(F.explode("lines").alias("terms"))
+    frequencies = written(each_line.select(F.explode(F.concat(F.array(F.lit("")), F.array_distinct("terms"))).alias("term")).groupBy("term").agg(
+        F.count("*").alias("n")), "line-frequencies")
+    total = F.col("total").cast("double")
+    counts = frequencies.where("term <> ''").withColumn("total", frequencies.where("term = ''").agg(F.coalesce(F.max("n"), F.lit(0))).scalar())
+    weights = counts.select("term", (F.log((1 + total) / (1 + F.col("n"))) + 1).alias("idf"))
     base = _templates(spark)
-    # The vocabulary is that of the templates, whatever the table's size.
-    vocabulary = [r["term"] for r in base.select("term").distinct().orderBy("term").collect()]
-    listed = F.array(*map(F.lit, vocabulary))
-    counted = lines.select(F.explode(F.concat(F.array(F.lit("")), F.array_intersect("terms", listed))).alias("term")).groupBy("term").agg(F.count("*").alias("n"))
-    seen = {r["term"]: r["n"] for r in counted.collect()}
-    total = seen.get("", 0)
-    rarity = {t: math.log((1 + total) / (1 + seen.get(t, 0))) + 1 for t in vocabulary}
-    unseen = math.log(1 + total) + 1  # of a term that no template has
-    weights = spark.createDataFrame(list(rarity.items()), "term string, idf double")
-    vectors = base.join(weights, "term").select("template", "licence", "term", (F.col("tf") * F.col("idf")).alias("weight"))
-    cues = _cues(vectors.collect(), least)
-    some = lines.where(F.arrays_overlap("terms", F.array(*map(F.lit, cues)))).select("*", F.monotonically_increasing_id().alias("line"))
-    some = written(some, "licence-lines")
+    # A template's terms that no line has get the weight of what is not there; their number is that of the templates' words.
+    lines_in_all = frequencies.where("term = ''").agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
+    vectors = base.join(weights, "term", "left").select(
+        "template", "licence", "term", (F.col("tf") * F.coalesce("idf", F.log(1 + lines_in_all.cast("double")) + 1)).alias("weight"))
+    vectors = written(vectors, "templates")
+    listed = F.array(*map(F.lit, _cues(vectors.collect(), least)))
+    # The lines that have a cue, and from there the passages that hold one of them.
+    cued = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.arrays_overlap(F.element_at("lines", i), listed))
+    found = _computed(kept_lines, "cued", cued).where("size(cued) > 0")
+    begins = F.array_distinct(F.flatten(F.transform("cued", lambda i: F.filter(
+        F.transform(F.sequence(F.lit(0), F.lit(PASSAGE - 1)), lambda back: i - back), lambda start: start >= 1))))
+    starts = found.select("key", "path", "notice", "cued", "lines", F.explode(begins).alias("start"))
+    own_lines = F.slice("lines", F.col("start"), PASSAGE)
+    lengths = F.filter(F.sequence(F.lit(1), F.size(own_lines)), lambda n: F.exists("cued", lambda i: i.between(F.col("start"), F.col("start") + n - 1)))
+    passages = starts.select("key", "path", "notice", F.explode(F.transform(lengths, lambda n: F.flatten(F.slice(own_lines, 1, n)))).alias("terms"))
+    some = written(passages.distinct().withColumn("line", F.monotonically_increasing_id()), "licence-passages")
     each = some.select("line", F.explode("terms").alias("term")).groupBy("line", "term").agg(F.count("*").alias("tf"))
-    each = each.join(weights, "term", "left").select("line", "term", (F.col("tf") * F.coalesce("idf", F.lit(unseen))).alias("held"))
+    each = each.join(weights, "term").select("line", "term", (F.col("tf") * F.col("idf")).alias("held"))
     sizes = each.groupBy("line").agg(F.sqrt(F.sum(F.col("held") * F.col("held"))).alias("size"))
     norms = vectors.groupBy("template", "licence").agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("length"))
     products = each.join(vectors, "term").groupBy("line", "template").agg(F.sum(F.col("held") * F.col("weight")).alias("product"))

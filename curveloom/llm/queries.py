@@ -111,24 +111,30 @@ WITH files AS (
   SELECT page_id, regexp_replace(regexp_replace(regexp_replace(coalesce(url, ''), '^[A-Za-z][A-Za-z0-9+.-]*://', ''),
            '[?#].*$', '', 's'), '^([^/]+)$', '\\1/') AS path, coalesce(html, '') AS html FROM pages),
 placed AS (SELECT *, regexp_replace(path, '/?[^/]*$', '') AS folder FROM files),
-split_lines AS (SELECT page_id, unnest(string_split(regexp_replace(html, '<[^<>]*>', chr(10), 'g'), chr(10))) AS line FROM placed),
-lines AS (SELECT row_number() OVER () AS line, page_id, terms FROM (
-  SELECT page_id, regexp_extract_all(lower(line), '[a-z0-9]+') AS terms FROM split_lines) WHERE len(terms) > 0),
+split_lines AS (SELECT page_id, unnest(list) AS line, generate_subscripts(list, 1) AS place FROM (
+  SELECT page_id, string_split(regexp_replace(html, '<[^<>]*>', chr(10), 'g'), chr(10)) AS list FROM placed)),
+lines AS MATERIALIZED (SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY place) AS place, terms FROM (
+  SELECT page_id, place, regexp_extract_all(lower(line), '[a-z0-9]+') AS terms FROM split_lines) WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS n FROM lines),
+idf AS MATERIALIZED (SELECT term, ln((1 + (SELECT n FROM totals)) / (1 + count(*))) + 1 AS idf FROM (
+  SELECT DISTINCT page_id, place, term FROM (SELECT page_id, place, unnest(terms) AS term FROM lines)) GROUP BY term),
+passages AS MATERIALIZED (SELECT row_number() OVER () AS line, page_id, terms FROM (
+  SELECT page_id, terms FROM lines
+  {"".join(f"""UNION ALL SELECT page_id, terms FROM (SELECT page_id, {" || ".join(["terms", *[f"lead(terms, {k}) OVER w" for k in range(1, n)]])} AS terms
+    FROM lines WINDOW w AS (PARTITION BY page_id ORDER BY place)) WHERE terms IS NOT NULL
+  """ for n in range(2, licences.PASSAGE + 1))})),
 templates(template, licence, said) AS (VALUES {_TEMPLATES}),
 template_terms AS (SELECT template, licence, term, count(*) AS tf FROM (
   SELECT template, licence, unnest(regexp_extract_all(lower(said), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL),
-line_terms AS (SELECT line, term, count(*) AS tf FROM (SELECT line, unnest(terms) AS term FROM lines) GROUP BY ALL),
-totals AS (SELECT count(*) AS n FROM lines),
-idf AS (SELECT v.term, ln((1 + (SELECT n FROM totals)) / (1 + count(l.line))) + 1 AS idf
-  FROM (SELECT DISTINCT term FROM template_terms) v LEFT JOIN line_terms l ON l.term = v.term GROUP BY v.term),
-vectors AS (SELECT template, licence, term, tf * idf AS weight FROM template_terms JOIN idf USING (term)),
-held AS (SELECT line, l.term, tf * coalesce(idf, ln(1 + (SELECT n FROM totals)) + 1) AS held
-  FROM line_terms l LEFT JOIN idf ON idf.term = l.term),
+vectors AS MATERIALIZED (SELECT template, licence, term, tf * coalesce(idf, ln(1 + (SELECT n FROM totals)) + 1) AS weight
+  FROM template_terms LEFT JOIN idf USING (term)),
+held AS MATERIALIZED (SELECT line, term, tf * idf AS held FROM (
+  SELECT line, term, count(*) AS tf FROM (SELECT line, unnest(terms) AS term FROM passages) GROUP BY ALL) JOIN idf USING (term)),
 sizes AS (SELECT line, sqrt(sum(held * held)) AS size FROM held GROUP BY line),
 norms AS (SELECT template, licence, sqrt(sum(weight * weight)) AS length FROM vectors GROUP BY ALL),
 cosines AS (SELECT line, licence, round(sum(held * weight) / (any_value(length) * any_value(size)), {licences.DIGITS}) AS similarity
   FROM held JOIN vectors USING (term) JOIN norms USING (template, licence) JOIN sizes USING (line) GROUP BY line, template, licence),
-own AS (SELECT DISTINCT ON (page_id) page_id, licence, similarity FROM cosines JOIN lines USING (line)
+own AS (SELECT DISTINCT ON (page_id) page_id, licence, similarity FROM cosines JOIN passages USING (line)
   WHERE similarity >= {licences.LEAST} ORDER BY page_id, similarity DESC, licence),
 notices AS (SELECT DISTINCT ON (folder) folder, path, licence FROM own JOIN placed USING (page_id)
   ORDER BY folder, similarity DESC, path, licence),

@@ -45,6 +45,35 @@ def test_licences_come_from_the_nearest_directory(spark):
     assert found.count() == len(rows) and licences.licences(frame.limit(0), F.col("path"), F.col("text")).count() == 0
 
 
+WRAPPED = """x = 1
+# This Source Code Form is subject to
+# the terms of the Mozilla
+# Public License, v. 2.0.
+y = 2"""
+
+
+def test_a_wrapped_notice_is_found_at_any_table_size(spark):
+    """Weights are those of the table's own lines, so ten thousand others of their kind don't push a notice under."""
+    notices = [("a.py", WRAPPED), ("b.py", "Copyright 2024 Acme Inc. All rights reserved."), ("c.py", "This project is released under the MIT License.")]
+    for others in (40, 4000):
+        files = [(f"f{i}.py", f"This project is project number {i}, released in 2024 by Acme Inc.\n\nCopyright notices are of this source file")
+                 for i in range(others)]
+        frame = spark.createDataFrame(notices + files, "path string, text string")
+        found = {r["path"]: r["licence"] for r in licences.licences(frame, F.col("path"), F.col("text")).collect()}
+        assert (found["a.py"], found["b.py"], found["c.py"]) == ("MPL-2.0", "proprietary", "MIT") and found["f1.py"] is None
+
+
+def test_licences_of_odd_texts(spark):
+    """Very long texts, ties of similarity (the first licence by name), missing texts and repeated files."""
+    long = "\n".join(f"w{i} w{i + 1}" for i in range(20_000)) + "\n" + "z" * 100_000 + "\nReleased under the MIT License."
+    tie = "Licensed under CC BY-SA 4.0.\nReleased under the MIT License."
+    rows = [("p/long", long), ("q/tie", tie), ("q/tie", tie), ("r/none", None), (None, ""), ("s/blank", " \n\t\n")]
+    found = [(r["path"], r["licence"], r["similarity"]) for r in licences.licences(
+        spark.createDataFrame(rows, "path string, text string"), F.col("path"), F.col("text")).collect()]
+    assert sorted(found, key=repr) == sorted([("p/long", "MIT", 1.0), *[("q/tie", "CC-BY-SA-4.0", 1.0)] * 2, ("r/none", None, None), (None, None, None),
+                                              ("s/blank", None, None)], key=repr)
+
+
 def exact(rows, queries_, k=5):
     """Brute-force neighbours, ties to the smaller id."""
     out = {}
