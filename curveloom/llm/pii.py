@@ -126,7 +126,7 @@ class Tokens:
 
 def _shape(word: str) -> int:
     """A hash of the word with letters as one ``a`` and each run of digits as its length."""
-    letters = re.sub(r"[^\W\d_]+", "a", word[:256])
+    letters = re.sub(r"[^\W\d_]+", "a", word)
     return zlib.crc32(re.sub(r"[0-9]+", lambda m: str(min(len(m[0]), 20)), letters).encode()) % SHAPES
 
 

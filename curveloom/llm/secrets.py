@@ -105,11 +105,20 @@ def _part(name: str, value) -> _Part:
     return _Part()
 
 
-def trigram_query(pattern: str):
-    """The query of lower-case trigrams that holds for every text with a match; ``True`` if there is none."""
+def trigram_query(pattern: str, flags: int = re.ASCII):
+    """The query of lower-case trigrams that holds for every text with a match; ``ANY`` if there is none.
+
+    Expressions that ignore case beyond ASCII match letters that lower case keeps apart, and lower case of other letters
+    depends on those around them, so only ASCII trigrams of expressions that stay within ASCII are asked for.
+    """
     from re import _parser  # the standard library's own parser of expressions
 
-    return _parts(_parser.parse(pattern)).opened().query
+    flags = re.compile(pattern, flags).flags  # with those that the pattern itself sets
+    if flags & re.IGNORECASE and not flags & re.ASCII:
+        return ANY
+    # The pattern sets its own flags once more; a parser that is given both kinds of alphabet refuses.
+    query = _parts(_parser.parse(pattern, flags & ~re.UNICODE)).opened().query
+    return query if all(map(str.isascii, trigrams(query))) else ANY
 
 
 def trigrams(query) -> set[str]:
@@ -145,7 +154,7 @@ class Rule:
     query: object = field(init=False)
 
     def __post_init__(self):
-        self.query = trigram_query(self.pattern)
+        self.query = trigram_query(self.pattern, self.flags)
         self.expression = re.compile(self.pattern, self.flags)
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
