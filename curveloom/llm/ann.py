@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import prepare, written
+from curveloom.llm.common import in_share, prepare, written
 
 SHORTLIST = 16
 
@@ -162,7 +162,7 @@ def fit(vectors: DataFrame, sample: int = 8192, parts: int = 32, neighbours: int
     """
     total = vectors.count()
     share = min(1.0, sample / max(total, 1))
-    picked = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(1_000_000)) < round(share * 1_000_000))
+    picked = vectors.where(in_share(F.xxhash64("vec_id"), share))
     rows = picked.groupBy("vec_id").agg(F.min("vector").alias("vector")).orderBy("vec_id").select("vector").collect()
     x = np.unique(_unit([r["vector"] for r in rows]), axis=0) if rows else np.zeros((0, 1))  # equal vectors count once
     while parts > 1 and len(x) < 32 * parts:

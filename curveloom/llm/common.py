@@ -1,13 +1,12 @@
 """What the operators share: tables, scratch tables in the shared folder, and connected components."""
 
 import os
-import uuid
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curveloom.sources.store import shared_path
+from curveloom.sources.store import kept
 
 
 def prepare(spark: SparkSession) -> None:
@@ -23,17 +22,12 @@ def read(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share, from ``spark.checkpoint.dir``."""
-    return shared_path(spark, "training-data")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: computed once, without lineage, safe from lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    """The rows as a table in the shared folder: computed once, without lineage, safe from lost executors.
+
+    It is deleted with the ``scratch`` of ``curveloom.sources.store`` that it is written in.
+    """
+    return kept(df, f"training-data/{name}")
 
 
 def fresh(df: DataFrame, *wanted: str) -> list[str]:
@@ -47,6 +41,11 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
     return names
 
 
+def in_share(hashed: Column, share: float) -> Column:
+    """True for a share of the 64-bit hashes, however small: all 63 bits below the sign are compared."""
+    return hashed.bitwiseAND(F.lit(2 ** 63 - 1)) <= F.lit(min(2 ** 63 - 1, int(share * 2.0 ** 63)))
+
+
 def documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only ``doc_id`` (long) and ``text`` (a missing text is empty), whatever other columns there are."""
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(F.col(text_column)).alias("text"))

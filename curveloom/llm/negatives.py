@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import prepare, written
+from curveloom.llm.common import in_share, prepare, written
 
 CHUNK = 512
 MARGIN = 1e-6  # of an angle; far more than cosines near one lose by rounding
@@ -107,8 +107,7 @@ def fit(rows: DataFrame, is_anchor: Column, clusters: int | None = None, sample:
     if lengths is None or lengths["n"] == 0:
         return Cells(np.zeros((1, 1))), -1
     share = min(1.0, sample / lengths["rows"])
-    hashed = F.xxhash64("vec_id", "label").bitwiseAND(F.lit(MOST))
-    picked = rows.where(is_anchor & (F.size("vector") == lengths["n"]) & (hashed <= F.lit(min(MOST, int(share * 2.0 ** 63)))))
+    picked = rows.where(is_anchor & (F.size("vector") == lengths["n"]) & in_share(F.xxhash64("vec_id", "label"), share))
     # The hash leaves about ``sample`` rows; the limit keeps repeated ids from making the sample larger.
     found = picked.select("vector").limit(4 * sample).toPandas()
     k = clusters or min(most, -(-lengths["rows"] // per_cluster))

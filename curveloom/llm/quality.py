@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import fresh, prepare, whole_text, written
+from curveloom.llm.common import fresh, in_share, prepare, whole_text, written
 
 BUCKETS = 512
 GOOD, BAD, NONE = 1, 0, 2
@@ -160,7 +160,7 @@ def fit(docs: DataFrame, sample: int = 8192, text_column: str = "text") -> tuple
             good = model.posterior(patterns) if len(rows) else []
             yield pd.DataFrame({"key": batch["key"], "good": good, "shares": [s.tobytes() for _, s in rows]})
 
-    picked = texts.withColumn("key", F.xxhash64("text")).where(F.pmod("key", F.lit(1_000_000)) < round(share * 1_000_000))
+    picked = texts.withColumn("key", F.xxhash64("text")).where(in_share(F.col("key"), share))
     taken = written(picked.mapInPandas(features, "key long, good double, shares binary"), "quality-sample")
     rows = taken.groupBy("key").agg(F.any_value("good").alias("good"), F.any_value("shares").alias("shares")).toPandas()
     if rows.empty:

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import documents, fresh, prepare, whole_text, written
+from curveloom.llm.common import documents, fresh, in_share, prepare, whole_text, written
 
 # Look-alikes of Latin letters, and what digits and marks in words stand for.
 LOOKALIKES = dict(zip("абвгдеёзијкмнорстухцьѕіїһԁԛԝαβγεικνορτυχωı", "a6braee3ujkmhopctyxubsiihdqwabyeikvoptuxwi"))
@@ -39,17 +39,30 @@ for _code in range(0xC0, 0x250):
     if _plain.isascii() and _plain.isalpha():
         _FOLD[_code] = _plain.lower()
 _STANDS = re.compile(r"[013457](?=[013457]{0,2}[a-z])|[@$!]{1,2}(?=[a-z])")
+# Substitutions at a word's end, where they may also be numbers or marks.
+_ENDING = re.compile(r"(?<![a-z013457@$!])[a-z][a-z013457@$!]*[013457@$]{1,3}(?![\w@$])")
+# Characters that show nothing, and what may stand between the words of a phrase other than one blank.
+_HIDDEN = re.compile("[\u00ad\u180e\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufe00-\ufe0f\ufeff]")
+_BETWEEN = re.compile(r"[\s\-\u2010-\u2015]{2,}|[^\S ]|[\-\u2010-\u2015]")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
 def folded(text: str) -> str:
-    """Lower case; look-alikes and accented letters as Latin ones, and digits and marks among letters as letters."""
+    """Lower case; look-alikes and accented letters as Latin ones, and digits and marks among letters as letters.
+
+    Characters that show nothing are left out, and whatever is between two words of blanks and hyphens is one blank. Words that
+    end in digits or marks come again at the end with letters for them, since there both readings are usual.
+    """
     out = text.lower()
     if not out.isascii():
+        out = _HIDDEN.sub("", out)
         if not unicodedata.is_normalized("NFKC", out):
             out = unicodedata.normalize("NFKC", out).lower()
         out = out.translate(_FOLD)
-    return _STANDS.sub(lambda m: "".join(DIGITS[c] for c in m[0]), out)
+    out = _BETWEEN.sub(" ", out)
+    again = ["".join(DIGITS.get(c, c) for c in word) for word in _ENDING.findall(out)]
+    out = _STANDS.sub(lambda m: "".join(DIGITS[c] for c in m[0]), out)
+    return f"{out} {' '.join(again)}" if again else out
 
 
 def terms_of(text: str) -> Counter:
@@ -146,7 +159,7 @@ def learned(docs: DataFrame, labels: DataFrame, sample: int = 20_000, exceptions
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     total = rows.count()
     share = min(1.0, sample / max(total, 1))
-    picked = written(rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < round(share * 1_000_000)), "picked")
+    picked = written(rows.where(in_share(F.xxhash64("doc_id"), share)), "picked")
     # Not more than the sample, so this side can be sent to all tasks.
     texts = documents(docs).join(F.broadcast(picked), "doc_id").select("toxic", "text")
     taken = written(texts.groupBy(F.xxhash64("text").alias("key")).agg(

@@ -447,3 +447,38 @@ def test_classifiers_on_odd_rows(spark, odd, nothing):
     found = quality.scored(odd)
     assert found.columns == [*odd.columns, "posterior", "_score", "rejected"] and found.where("_score BETWEEN 0 AND 1").count() == odd.count()
     assert quality.scored(nothing).count() == 0
+
+
+# -- Findings on folding, rules and samples ------------------------------------------------------------------
+
+@pytest.mark.parametrize("text", ["you idio7 there", "an 1d10t", "a55 hole", "a$$ hole", "you i\u200bdi\u00adot", "idiot", "IDIOT5"])
+def test_substitutions_anywhere_in_a_word_are_folded(text):
+    lexicon = toxicity.Lexicon({"idiot$": toxicity.SEED_TERM, "ass$": toxicity.SEED_TERM})
+    assert lexicon.score(text) > 0.9
+
+
+@pytest.mark.parametrize("text", ["the trash-can", "the trash  can", "the trash\ncan", "the trash can", "the tra\u200bsh \u2013 can", "room4 and 4 cats"])
+def test_exception_phrases_hold_over_blanks_and_hyphens(text):
+    lexicon = toxicity.Lexicon({"trash$": toxicity.SEED_TERM})
+    assert lexicon.score(text) < 0.1 < 0.9 < lexicon.score("my trash")
+
+
+@pytest.mark.parametrize("pattern, flags, text", [
+    ("to ken [0-9]+", re.VERBOSE | re.ASCII, "token123"), ("secret=", re.IGNORECASE, "\u017fecret="), ("(?x) to ken [0-9]+", 0, "token123"),
+    ("(?i)kelvin", 0, "\u212aelvin"), ("ΟΔΟΣ", 0, "ΟΔΟΣ Α"), ("Secret=", re.ASCII | re.IGNORECASE, "SECRET="), ("AKIA[A-Z]+", re.ASCII, "xAKIAB")])
+def test_queries_of_rules_lose_no_match(pattern, flags, text):
+    rule = secrets.Rule("own", pattern, flags=flags)
+    assert rule.spans(text) and secrets.scan_batch(["nothing", text], [rule]) == [[], rule.spans(text)]
+
+
+def test_a_tiny_share_still_samples(spark):
+    from curveloom.llm.common import in_share
+
+    hashes = [0, 1, 10 ** 9, 9 * 10 ** 9, 10 ** 10, 2 ** 63 - 1, -1, -2 ** 63, -2 ** 63 + 10 ** 9]
+    frame = spark.createDataFrame([(h,) for h in hashes], "h long")
+    assert sorted(r["h"] for r in frame.where(in_share(F.col("h"), 1e-9)).collect()) == sorted([0, 1, 10 ** 9, 9 * 10 ** 9, -2 ** 63, -2 ** 63 + 10 ** 9])
+    assert frame.where(in_share(F.col("h"), 1.0)).count() == len(hashes)
+
+
+def test_shapes_are_those_of_whole_words():
+    assert pii._shape("1" * 300) != pii._shape("1" * 300 + "-22")
