@@ -20,6 +20,8 @@ Q = 8
 SEGMENT = 1024
 CHARS_AT_ONCE = 1 << 20
 ALIGNED_AT_ONCE = 256
+HITS_AT_ONCE = 1 << 20
+BANDS_AT_ONCE = 4096
 LEAK_TYPE = "array<struct<item:long,edits:int,start:int,end:int>>"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x100000001B3
@@ -98,15 +100,27 @@ class Index:
         hit = (slot < len(self.keys)) & (self.keys[np.minimum(slot, len(self.keys) - 1)] == hashes[at])
         at, slot = at[hit], slot[hit]
         n = self.first[slot + 1] - self.first[slot]
+        ends, counted, at_hit = np.cumsum(n), [], 0
+        while at_hit < len(n):
+            # A phrase that many items share has many places: so many hits are spread out at once, and counts are added up.
+            upto = max(at_hit + 1, int(np.searchsorted(ends, (ends[at_hit - 1] if at_hit else 0) + HITS_AT_ONCE, "right")))
+            counted.append(self._counted(at[at_hit:upto], slot[at_hit:upto], n[at_hit:upto]))
+            if len(counted) > 1 and sum(len(f) for f, _ in counted[1:]) >= HITS_AT_ONCE:
+                counted = [_added(counted)]
+            at_hit = upto
+        found, counts = _added(counted)
+        found = found[counts >= self.bound[found >> 32]]
+        return found >> 32, found & 0xFFFFFFFF
+
+    def _counted(self, at: np.ndarray, slot: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Passage and band, as one number, of the hits of some places, and how many there are of each."""
         every = np.repeat(self.first[slot], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         passage = self.passage[every]
         diagonal = np.repeat(at, n) - self.place[every] + SEGMENT
         budget = self.budget[passage]
         band = diagonal // (budget + 1)
         also = diagonal - band * (budget + 1) < budget
-        found, counts = np.unique(np.concatenate([passage << 32 | band, passage[also] << 32 | (band[also] - 1)]), return_counts=True)
-        found = found[counts >= self.bound[found >> 32]]
-        return found >> 32, found & 0xFFFFFFFF
+        return np.unique(np.concatenate([passage << 32 | band, passage[also] << 32 | (band[also] - 1)]), return_counts=True)
 
     def leaks(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """For each normalised text, ``(item, edits, start, end)`` of the best place of each item within its budget."""
@@ -120,21 +134,21 @@ class Index:
             # A passage starts on one of its band's diagonals, in any of the texts that lie there.
             owner = np.searchsorted(starts, np.maximum(low, 0), side="right") - 1
             last = np.searchsorted(starts, np.maximum(low + 2 * budget, 0), side="right") - 1
-            todo = [(p, a, o) for p, a, first, end in zip(passage.tolist(), low.tolist(), owner.tolist(), last.tolist())
-                    for o in range(first, end + 1)]
-            jobs = []
-            for p, a, o in todo:
-                k = int(self.budget[p])
-                end = starts[o + 1] - Q if o + 1 < len(starts) else len(codes)
-                left = max(a - k, starts[o])
-                right = min(a + 3 * k + 1 + len(self.codes[p]), end)
-                if right - left >= len(self.codes[p]) - k:
-                    jobs.append((p, owners[o], shifts[o] + left - starts[o], codes[left:right]))
-            for (p, owner_, shift, _), (edits, start, end) in zip(jobs, self.aligned([(j[0], j[3]) for j in jobs])):
-                if edits <= self.budget[p]:
-                    found = (edits, int(shift + start), int(shift + end))
-                    item = int(self.items[p])
-                    best[owner_][item] = min(best[owner_].get(item, found), found)
+            for some in (slice(a, a + BANDS_AT_ONCE) for a in range(0, len(passage), BANDS_AT_ONCE)):
+                jobs = []
+                for p, a, first, final in zip(*(x[some].tolist() for x in (passage, low, owner, last))):
+                    for o in range(first, final + 1):
+                        k = int(self.budget[p])
+                        end = starts[o + 1] - Q if o + 1 < len(starts) else len(codes)
+                        left = max(a - k, starts[o])
+                        right = min(a + 3 * k + 1 + len(self.codes[p]), end)
+                        if right - left >= len(self.codes[p]) - k:
+                            jobs.append((p, owners[o], shifts[o] + left - starts[o], codes[left:right]))
+                for (p, owner_, shift, _), (edits, start, end) in zip(jobs, self.aligned([(j[0], j[3]) for j in jobs])):
+                    if edits <= self.budget[p]:
+                        found = (edits, int(shift + start), int(shift + end))
+                        item = int(self.items[p])
+                        best[owner_][item] = min(best[owner_].get(item, found), found)
         return [[(item, *found) for item, found in sorted(b.items())] for b in best]
 
     def aligned(self, jobs: list[tuple[int, np.ndarray]]) -> list[tuple[int, int, int]]:
@@ -170,6 +184,16 @@ class Index:
         return out
 
 
+def _added(counted: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the counts of equal keys."""
+    if len(counted) == 1:
+        return counted[0]
+    keys, place = np.unique(np.concatenate([k for k, _ in counted] or [np.zeros(0, np.int64)]), return_inverse=True)
+    counts = np.zeros(len(keys), np.int64)
+    np.add.at(counts, place, np.concatenate([n for _, n in counted] or [np.zeros(0, np.int64)]))
+    return keys, counts
+
+
 def _runs(texts: list[str]) -> Iterator[tuple[np.ndarray, list[int], list[int], np.ndarray]]:
     """Texts one after another, ``Q`` gaps apart, in runs of bounded length: codes, and each part's text, offset and start.
 
@@ -241,5 +265,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, shortest: in
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, shortest: int = 16, text_column: str = "text") -> DataFrame:
-    """The rows without any leak, as they are."""
+    """The rows without any leak, as they are: empty and missing texts have none, and rows that repeat stay or go together.
+
+    What counts as a leak is as in ``leaks``. An empty table gives an empty one, and an empty benchmark leaves every row.
+    """
     return docs.where(F.size(leaks_in(benchmark, F.col(text_column), rate, shortest)) == 0)

@@ -482,3 +482,18 @@ def test_a_tiny_share_still_samples(spark):
 
 def test_shapes_are_those_of_whole_words():
     assert pii._shape("1" * 300) != pii._shape("1" * 300 + "-22")
+
+
+def test_items_with_a_common_opening_take_bounded_memory(monkeypatch):
+    """Hits are counted in runs, with the counts of all of them at once; and no item is found but the one that is there."""
+    rng = random.Random(8)
+    opening = "which of the following statements is correct "
+    items = [(i, opening + " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(8))) for i in range(300)]
+    index = decontam.Index.build(items, 0.1, 16)
+    text = decontam.normalised((opening + "x y z ") * 5 + items[7][1] + " " + opening)
+    whole, placed = index.leaks([text, opening]), index.bands(decontam._codes(text))
+    monkeypatch.setattr(decontam, "HITS_AT_ONCE", 1000)
+    monkeypatch.setattr(decontam, "BANDS_AT_ONCE", 50)
+    assert index.leaks([text, opening]) == whole and [r[0] for r in whole[0]] == [7] and not whole[1]
+    for one, two in zip(index.bands(decontam._codes(text)), placed):
+        assert one.tolist() == two.tolist()
