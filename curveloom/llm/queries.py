@@ -16,11 +16,13 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 
 
 def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row; missing and empty texts are judged by the scorer's bias, and equal texts get equal results."""
     found = quality.scored(read(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "posterior", "score", "rejected")
 
 
 def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row; missing and empty texts get the score of no evidence, and equal texts get equal scores."""
     docs = read(spark, folder, "documents").select("doc_id", "text")
     lexicon = toxicity.learned(docs, read(spark, folder, "labels"))
     found = toxicity.scored(docs, lexicon, 0.7)
@@ -28,21 +30,25 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row; texts without words have fingerprint zero, and a component without any id has a missing one."""
     found = simhash.near_duplicates(read(spark, folder, "documents"), words=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op4_private(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row; missing and empty texts have no spans. Of spans that start together the kind listed first comes first."""
     found = pii.found(read(spark, folder, "documents").select("doc_id", "text"))
     base = F.sha2(spans.joined(F.col("base")).cast("binary"), 256)
     return found.select("doc_id", *spans.counts("base", pii.KINDS), base.alias("base_sha256"), spans.joined(F.col("spans")).alias("spans"))
 
 
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """A row for each document and item found in it, at its best place, of equal ones the first; repeated rows give repeated results."""
     return decontam.leaks(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
 
 
 def op6_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row; missing and empty texts have no spans. Of spans that start together the kind listed first comes first."""
     found = secrets.found(read(spark, folder, "documents").select("doc_id", "text"))
     base = F.sha2(spans.joined(spans.of_kinds("spans", secrets.BASE_KINDS)).cast("binary"), 256)
     return found.select("doc_id", *spans.counts("spans", secrets.BASE_KINDS), base.alias("base_sha256"),
@@ -57,15 +63,18 @@ def op7_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row; missing and empty texts have no words. Rows without an id count as one document, so what they share stays."""
     found = substrings.kept(read(spark, folder, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
 def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Ties go to the smaller id; rows that can't be compared take no part, and an empty table gives an empty one."""
     return ann.search(read(spark, folder, "embeddings"), every_nth=50, k=5)
 
 
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """Every piece of every row; a missing or empty text is its end mark alone, and repeated rows are packed again."""
     return packing.packed(read(spark, folder, "documents"), vocabulary())
 
 
@@ -78,11 +87,13 @@ def op11_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op12_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row; missing, empty and misspelled texts have zeros, and repeated rows count each time."""
     found = alignment.aligned(read(spark, folder, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
     return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
 def op13_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Ties go to the smaller id; rows that can't be scored take no part, and an empty table gives an empty one."""
     return negatives.mined(read(spark, folder, "embeddings"), every_nth=50, positives=5, negatives=3)
 
 

@@ -48,7 +48,10 @@ def fingerprint(text: str, words: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``(doc_id, text_key, fp)`` for every row; ``fp`` holds the 64 bits as a signed long, ``text_key`` a hash of the text."""
+    """``(doc_id, text_key, fp)`` for every row; ``fp`` holds the 64 bits as a signed long, ``text_key`` a hash of the text.
+
+    Missing texts and those without words have fingerprint zero; missing ids stay missing, and equal texts have equal results.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
