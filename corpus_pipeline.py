@@ -14,23 +14,32 @@ from curveloom.llm.queries import vocabulary  # noqa: E402
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the quality scorer, trained on this table's weak labels, rejects."""
+    """Without the documents that the quality scorer, trained on this table's weak labels, rejects.
+
+    Missing and empty texts are judged by the scorer's bias, and rows of equal texts stay or go together.
+    """
     found = quality.scored(docs)
     return found.where(~F.col(found.columns[-1])).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates."""
+    """One document of each group of SimHash near-duplicates, that of the smallest id; of rows that repeat it one stays.
+
+    Missing and empty texts have the same fingerprint, so they are one group.
+    """
     return simhash.representatives(docs, words=3, radius=2)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a benchmark item within its edit budget."""
+    """Without the documents that hold a benchmark item within its edit budget; missing and empty texts hold none."""
     return decontam.clean(docs, read(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, its secrets replaced by a mark; ``n_chars`` counts the new text where one was replaced."""
+    """Every document, its secrets replaced by a mark; ``n_chars`` counts the new text where one was replaced.
+
+    Missing texts stay missing, and secrets that overlap are one mark.
+    """
     spans = fresh(docs, "spans")[0]
     found = secrets.found(docs)
     text = secrets.redacted(F.col("text"), F.col(spans))
@@ -43,7 +52,7 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the tokenised documents and their places in sequences."""
+    """Pieces of the tokenised documents and their places in sequences; a missing or empty text is its end mark alone."""
     return packing.packed(docs, vocabulary())
 
 
