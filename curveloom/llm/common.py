@@ -10,8 +10,13 @@ from curveloom.sources.store import kept
 
 
 def prepare(spark: SparkSession) -> None:
-    """Lets the Python workers of this machine import the package from where the driver has it."""
+    """Lets the Python workers of this machine import the package from where the driver has it, and give memory back early.
+
+    Workers live on from stage to stage, and what one stage's batches leave in their allocators would count against the next.
+    """
     root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    for name, value in (("MALLOC_ARENA_MAX", "2"), ("ARROW_DEFAULT_MEMORY_POOL", "system")):
+        environment.setdefault(name, value)
     paths = environment.get("PYTHONPATH", "").split(os.pathsep)
     if root not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
