@@ -20,6 +20,7 @@ from curveloom.llm.common import fresh, in_share, prepare, whole_text, written
 
 BUCKETS = 512
 GOOD, BAD, NONE = 1, 0, 2
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 _CLASSES = bytes(
     ord("a") if 97 <= c <= 122 or c >= 128 else ord("A") if 65 <= c <= 90 else ord("0") if 48 <= c <= 57
     else ord("m") if chr(c) in "#$%&*|~^_=+<>{}[]\\/@" else ord(".") if 32 < c < 127 else 32 for c in range(256))
@@ -36,6 +37,17 @@ LABELLERS = {
 }
 
 
+def _kinds(words: list[bytes], size: int = 5) -> tuple[int, int]:
+    """How many different words there are, and different runs of ``size`` of them, in eight bytes a run."""
+    number = {w: k for k, w in enumerate(dict.fromkeys(words), 1)}
+    codes = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
+    runs = np.zeros(max(0, len(words) - size + 1), np.uint64)
+    for k in range(size):
+        runs = runs * _ODD + codes[k:k + len(runs)]
+        runs ^= runs >> np.uint64(29)
+    return len(number), len(np.unique(runs))
+
+
 def traits(text: str) -> tuple[list[float], np.ndarray]:
     """Each labeller's trait (larger is worse; NaN if the text is too short to tell) and hashed shares of word shapes."""
     data = text.encode("utf-8", "surrogatepass")
@@ -51,8 +63,7 @@ def traits(text: str) -> tuple[list[float], np.ndarray]:
     lettered = max(1, sum(c for k, c in kinds.items() if k[:1] in b"aA"))
     stops = sum(c for k, c in kinds.items() if k.endswith(b"."))
     stutter = sum(map(operator.eq, words, words[1:]))
-    grams = len(set(zip(words, words[1:], words[2:], words[3:], words[4:])))
-    distinct = len(set(words))
+    distinct, grams = _kinds(words)
     enough = n >= 20
     found = [
         marked / n, shouted / lettered, kinds.get(b"m", 0) / n, stutter / n,
