@@ -6,6 +6,7 @@ of tiles are skipped without losing a link. The rest is compared with numpy excl
 """
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,6 +21,8 @@ BITS = 64
 SEED = 42
 SHINGLES_AT_ONCE = 1 << 16
 PAIRS_AT_ONCE = 1 << 21
+#: How many comparisons take as long as dealing a row to a tile: shuffling, sorting and reading it.
+PAIRS_A_ROW = 1000
 
 
 def fingerprint(text: str, words: int = 3) -> int:
@@ -84,9 +87,26 @@ def _tiles(fp: np.ndarray, blocks: int) -> np.ndarray:
 
 
 def _keys(tiles: np.ndarray) -> np.ndarray:
-    """Tile keys as longs: a base-128 number of the counts, which are at most 64."""
-    weights = np.int64(128) ** np.arange(tiles.shape[1], dtype=np.int64)
-    return (tiles * weights).sum(axis=1)
+    """Tile keys as longs, from the counts modulo 2^64. Tiles that share a key meet too, which costs time and loses no link."""
+    weights = np.array([pow(0x9E3779B97F4A7C15, k, 1 << 64) for k in range(tiles.shape[1])], np.uint64)
+    return (tiles.astype(np.uint64) * weights).sum(axis=1, dtype=np.uint64).view(np.int64)
+
+
+def best_blocks(prints: int, radius: int) -> int:
+    """Words of the fingerprint that make dealing and comparing so many distinct fingerprints cheapest.
+
+    More words make more tiles, so fewer pairs meet, but deal a fingerprint to more of them. Links are the same for any number.
+    """
+    def cost(blocks: int) -> float:
+        dealt = 1 + len(_shifts(blocks, radius))
+        near = np.r_[1.0, np.zeros(radius)]  # chances of each sum of differences of two random fingerprints' counts
+        for k in range(blocks):
+            bits = BITS * (k + 1) // blocks - BITS * k // blocks
+            differs = [math.comb(2 * bits, bits + d) / 4 ** bits * (2 if d else 1) for d in range(min(radius, bits) + 1)]
+            near = np.convolve(near, differs)[: radius + 1]
+        return prints * dealt * PAIRS_A_ROW + prints * prints / 2 * near.sum()
+
+    return min(range(2, 17), key=cost)
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -146,13 +166,15 @@ def _runs(batches, rows_at_once: int = 1 << 18):
         yield arrays()
 
 
-def links(prints: DataFrame, radius: int = 2, blocks: int = 6, tile_rows: int = 8192) -> DataFrame:
+def links(prints: DataFrame, radius: int = 2, blocks: int | None = None, tile_rows: int = 8192) -> DataFrame:
     """``(a, b)``: fingerprints that chains of differences of at most ``radius`` bits join; a forest, not all pairs.
 
     ``prints`` holds distinct ``fp``. A fingerprint is a member of its own tile and visits it and half of the tiles
     near it, so each pair meets once. The members of a tile with more than ``tile_rows`` are dealt over several
-    tasks, which all see its visitors; a task holds one part's members and streams the visitors past them.
+    tasks, which all see its visitors; a task holds one part's members and streams the visitors past them. Without
+    ``blocks`` their number follows the count of fingerprints.
     """
+    blocks = blocks or best_blocks(prints.count(), radius)
     shifts = _shifts(blocks, radius)
 
     def home(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -188,7 +210,7 @@ def links(prints: DataFrame, radius: int = 2, blocks: int = 6, tile_rows: int =
     return dealt.mapInPandas(meet, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int = 6) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = 3, radius: int = 2, blocks: int | None = None) -> DataFrame:
     """``(doc_id, text_key, fp, group_fp, component_id)`` for every row of ``docs``.
 
     ``component_id`` is the smallest ``doc_id`` reachable over fingerprints that differ in at most ``radius`` bits, and
