@@ -2,26 +2,31 @@
 
 A text within ``k`` edits of a passage of ``m`` characters shares at least ``m + 1 - q * (k + 1)`` of its q-grams with it,
 all on diagonals that lie within ``k`` of each other (Jokinen and Ukkonen 1991). Shared q-grams are counted in
-overlapping bands of diagonals; only bands that reach the bound are aligned.
+overlapping bands of diagonals; only bands that reach the bound are aligned. The lemma holds for any q: an index of long
+grams tells the bands to look at, and short grams, whose bound is tighter, are counted in those alone.
 """
 
+import functools
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curveloom.llm.common import prepare, whole_text
+from curveloom.llm.common import prepare, whole_text, written
 
 Q = 8
+SHORT_Q = 4
 SEGMENT = 1024
 CHARS_AT_ONCE = 1 << 20
 ALIGNED_AT_ONCE = 256
 HITS_AT_ONCE = 1 << 20
 BANDS_AT_ONCE = 4096
+CELLS_AT_ONCE = 1 << 20
 LEAK_TYPE = "array<struct<item:long,edits:int,start:int,end:int>>"
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x100000001B3
@@ -67,13 +72,18 @@ class Index:
     passage: np.ndarray
     place: np.ndarray
     seen: np.ndarray  # a bit table over hashes
+    exact: ahocorasick.Automaton | None  # items without a q-gram, which no edit is allowed in
 
     @staticmethod
     def build(items: list[tuple[int, str]], rate: float, shortest: int) -> "Index":
-        ids, codes = [], []
+        ids, codes, exact = [], [], {}
         for item, text in items:
-            whole = _codes(normalised(text))
-            if len(whole) < max(shortest, Q):
+            plain = normalised(text)
+            whole = _codes(plain)
+            if len(whole) < max(shortest, 1):
+                continue
+            if len(whole) < Q:
+                exact.setdefault(plain, []).append(item)
                 continue
             n = -(-len(whole) // SEGMENT)
             for part in np.array_split(whole, n):  # parts are longer than SEGMENT / 2, if there are several
@@ -89,8 +99,14 @@ class Index:
         place = np.concatenate([np.arange(len(h)) for h in hashes]) if hashes else np.zeros(0, np.int64)
         seen = np.zeros(1 << 22, bool)
         seen[(keys >> np.uint64(42)).astype(np.int64)] = True
+        words = None
+        if exact:
+            words = ahocorasick.Automaton()
+            for plain, own in exact.items():
+                words.add_word(plain, (len(plain), tuple(sorted(set(own)))))
+            words.make_automaton()
         return Index(np.array(ids, np.int64), codes, budget, lengths + 1 - Q * (budget + 1), keys,
-                     np.r_[first, len(every)], passage[order], place[order], seen)
+                     np.r_[first, len(every)], passage[order], place[order], seen, words)
 
     def bands(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(passage, band)``: bands of diagonals, ``budget + 1`` apart, that share enough q-grams with a passage."""
@@ -122,13 +138,44 @@ class Index:
         also = diagonal - band * (budget + 1) < budget
         return np.unique(np.concatenate([passage << 32 | band, passage[also] << 32 | (band[also] - 1)]), return_counts=True)
 
+    def close(self, codes: np.ndarray, passage: np.ndarray, band: np.ndarray) -> np.ndarray:
+        """Which of the bands also hold enough short grams: what only shares a common phrase with the text mostly does not."""
+        here = _grams(codes, SHORT_Q)
+        budget, length = self.budget[passage], np.array([len(self.codes[p]) for p in passage.tolist()], np.int64)
+        enough = length + 1 - SHORT_Q * (budget + 1)
+        low, out = band * (budget + 1) - SEGMENT, np.zeros(len(passage), bool)
+        order = np.lexsort((passage, length))
+        at = 0
+        while at < len(order):
+            widest = int(length[order[at]])
+            upto = at + max(1, CELLS_AT_ONCE // (widest + 2 * int(budget[order[at]]) + 1))
+            some = order[at:upto]
+            some = some[length[some] == widest]  # of one length, so of one budget
+            k, n = int(budget[some[0]]), widest + 1 - SHORT_Q
+            different, own = np.unique(passage[some], return_inverse=True)
+            wanted = np.stack([_grams(self.codes[p], SHORT_Q) for p in different.tolist()])[own]
+            places = low[some][:, None] + np.arange(n + 2 * k)
+            inside = (places >= 0) & (places < len(here))
+            window = here[np.clip(places, 0, max(len(here) - 1, 0))]
+            shared = np.zeros((len(some), n), bool)
+            for d in range(2 * k + 1):
+                shared |= (window[:, d:d + n] == wanted) & inside[:, d:d + n]
+            out[some] = shared.sum(axis=1) >= enough[some]
+            at += len(some)
+        return out
+
     def leaks(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
         """For each normalised text, ``(item, edits, start, end)`` of the best place of each item within its budget."""
         best: list[dict[int, tuple]] = [{} for _ in texts]
-        if not len(self.keys):
-            return [[] for _ in texts]
-        for codes, owners, shifts, starts in _runs(texts):
+        if self.exact is not None:
+            for text, own in zip(texts, best):
+                for last, (size, items) in self.exact.iter(text):
+                    for item in items:
+                        own.setdefault(item, (0, last + 1 - size, last + 1))
+        for codes, owners, shifts, starts in _runs(texts) if len(self.keys) else ():
             passage, band = self.bands(codes)
+            near = self.close(codes, passage, band)
+            passage, band = passage[near], band[near]
             budget = self.budget[passage]
             low = band * (budget + 1) - SEGMENT
             # A passage starts on one of its band's diagonals, in any of the texts that lie there.
@@ -220,7 +267,7 @@ def _runs(texts: list[str]) -> Iterator[tuple[np.ndarray, list[int], list[int],
 
 def indexes(benchmark: DataFrame, rate: float = 0.1, shortest: int = 16, block_chars: int = 1 << 20,
             id_column: str = "item_id", text_column: str = "text") -> Iterator[Index]:
-    """Indexes over blocks of the query set, of about ``block_chars`` characters each, so each broadcast is bounded.
+    """Indexes over blocks of the query set, of about ``block_chars`` characters each, one at a time, so each broadcast is bounded.
 
     Items that repeat count once, since all rows of one would go to the same block.
     """
@@ -232,21 +279,32 @@ def indexes(benchmark: DataFrame, rate: float = 0.1, shortest: int = 16, block_c
         yield Index.build([(-1 if r["item"] is None else r["item"], r["text"]) for r in rows], rate, shortest)
 
 
-def leaks_in(benchmark: DataFrame, text: Column, rate: float = 0.1, shortest: int = 16, block_chars: int = 1 << 20) -> Column:
-    """Per text, the benchmark items in it: item, edits, and start and end in the normalised text."""
-    spark = benchmark.sparkSession
-    prepare(spark)
+def _scan_with(shared) -> Callable[..., Column]:
+    def scan(texts: pd.Series) -> pd.Series:
+        rows = shared.value.leaks([normalised(t) for t in texts])
+        return pd.Series([[dict(zip(("item", "edits", "start", "end"), r)) for r in row] for row in rows])
 
-    def scan_with(shared):
-        def scan(texts: pd.Series) -> pd.Series:
-            rows = shared.value.leaks([normalised(t) for t in texts])
-            return pd.Series([[dict(zip(("item", "edits", "start", "end"), r)) for r in row] for row in rows])
+    return F.pandas_udf(scan, LEAK_TYPE)
 
-        return F.pandas_udf(scan, LEAK_TYPE)
 
-    found = [scan_with(spark.sparkContext.broadcast(index))(whole_text(text))
-             for index in indexes(benchmark, rate, shortest, block_chars)]
-    return F.concat(*found) if len(found) > 1 else found[0]
+def _block_by_block(rows: DataFrame, indexed: Iterator[Index], step: Callable, after: Callable, name: str) -> list[DataFrame]:
+    """``step(rows, scan)`` with each block's index. A last block is left to the caller's job; each before it is a job of its own.
+
+    ``after(rows, result)`` gives the rows for the next block. A block's broadcast is taken off the executors once its result
+    is written, so executors and driver hold one block, however large the query set.
+    """
+    context, kept_results, index = rows.sparkSession.sparkContext, [], next(indexed)
+    while index is not None:
+        following = next(indexed, None)
+        shared = context.broadcast(index)
+        result = step(rows, _scan_with(shared))
+        if following is not None:
+            result = written(result, name)
+            shared.destroy()
+            rows = after(rows, result)
+        kept_results.append(result)
+        index = following
+    return kept_results
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, shortest: int = 16, block_chars: int = 1 << 20,
@@ -255,18 +313,31 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, shortest: in
 
     Texts are compared in lower case without marks; ``start`` and ``end`` count characters of that form, of the best
     place. Passages of over ``SEGMENT`` characters are cut and any part counts. Items shorter than ``shortest`` are no
-    evidence and never found, nor are empty or missing ones; an item without id has -1. Missing texts have no leaks,
-    rows that repeat give repeated results, and other columns are ignored.
+    evidence and not looked for; a smaller ``shortest`` finds them, those of fewer than ``Q`` characters as they are, also inside
+    words. Empty or missing items are never found, and an item without id has -1. Missing texts have no leaks, rows that repeat
+    give repeated results, and other columns are ignored.
     """
-    found = leaks_in(benchmark, F.col("text"), rate, shortest, block_chars)
+    prepare(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(F.col(text_column)).alias("text"))
-    each = rows.select("doc_id", F.explode(found).alias("leak"))
-    return each.select("doc_id", F.col("leak.item").alias("item_id"), "leak.edits", "leak.start", "leak.end")
 
+    def step(some: DataFrame, scan) -> DataFrame:
+        each = some.select("doc_id", F.explode(scan(F.col("text"))).alias("leak"))
+        return each.select("doc_id", F.col("leak.item").alias("item_id"), "leak.edits", "leak.start", "leak.end")
 
-def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, shortest: int = 16, text_column: str = "text") -> DataFrame:
+    found = _block_by_block(rows, indexes(benchmark, rate, shortest, block_chars), step, lambda same, _: same, "leaks")
+    return functools.reduce(DataFrame.unionByName, found)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1, shortest: int = 16, text_column: str = "text",
+          block_chars: int = 1 << 20) -> DataFrame:
     """The rows without any leak, as they are: empty and missing texts have none, and rows that repeat stay or go together.
 
     What counts as a leak is as in ``leaks``. An empty table gives an empty one, and an empty benchmark leaves every row.
+    A block of the benchmark sees only what the blocks before it have left.
     """
-    return docs.where(F.size(leaks_in(benchmark, F.col(text_column), rate, shortest)) == 0)
+    prepare(docs.sparkSession)
+
+    def step(some: DataFrame, scan) -> DataFrame:
+        return some.where(F.size(scan(whole_text(F.col(text_column)))) == 0)
+
+    return _block_by_block(docs, indexes(benchmark, rate, shortest, block_chars), step, lambda _, left: left, "uncontaminated")[-1]
