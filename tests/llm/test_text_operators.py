@@ -55,12 +55,17 @@ def test_simhash_links_random_fingerprints_in_any_number_of_parts(spark):
             out.setdefault(find(p), set()).add(p)
         return sorted(map(sorted, out.values()))
 
-    for rows in (8192, 1):
-        found = {(r["a"], r["b"]) for r in simhash.links(frame, tile_rows=rows).collect()}
+    for rows, blocks in ((8192, None), (1, None), (8192, 2), (8192, 6), (2, 11)):
+        found = {(r["a"], r["b"]) for r in simhash.links(frame, blocks=blocks, tile_rows=rows).collect()}
         assert classes(found) == classes(near)
         assert len(found) <= 4 * len(signed)
 
 
+def test_more_fingerprints_make_finer_tiles():
+    chosen = [simhash.best_blocks(n, 2) for n in (0, 1, 10 ** 5, 10 ** 7, 10 ** 9, 4 * 10 ** 10)]
+    assert chosen == sorted(chosen) and 2 <= chosen[0] < chosen[-1] <= 16
+
+
 def test_simhash_on_odd_rows(odd, nothing):
     found = simhash.near_duplicates(odd).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")), "component_id")
     same(found, brute.near_duplicates([(r["doc_id"], r["text"]) for r in odd.collect()]))
@@ -497,3 +502,76 @@ def test_items_with_a_common_opening_take_bounded_memory(monkeypatch):
     assert index.leaks([text, opening]) == whole and [r[0] for r in whole[0]] == [7] and not whole[1]
     for one, two in zip(index.bands(decontam._codes(text)), placed):
         assert one.tolist() == two.tolist()
+
+
+# -- Decontamination, block by block ------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("block_chars", [1 << 20, 250])
+def test_leaks_equal_all_items_against_all_texts(spark, block_chars):
+    """Items with a common opening, repeated and edited, and short ones; every item is aligned with every text by the full table."""
+    rng = random.Random(9)
+    opening = "which of the following is true about "
+    letters = "abcdefghijklmnop "
+    bench = [(i, opening + "".join(rng.choices(letters, k=rng.randrange(20, 60)))) for i in range(8)]
+    bench += [(20, "Kettle"), (21, "a-b"), (22, "eleven chars"), (23, "k"), (24, ""), (25, None), (20, "Kettle")]
+    texts = []
+    for n in range(30):
+        _, item = bench[rng.randrange(8)]
+        before = opening * rng.randrange(3) + "".join(rng.choices(letters, k=rng.randrange(40)))
+        texts.append((n, before + edited(rng, item, rng.randrange(0, 12)) + " " + "".join(rng.choices(letters, k=20))))
+    texts += [(40, "The kettle, eleven chars"), (41, "A B"), (42, None), (43, ""), (44, opening * 6)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    for shortest in (16, 3):
+        expected = set()
+        for n, text in texts:
+            for i, item in bench:
+                plain = decontam.normalised(item or "")
+                edits = best_edits(plain, decontam.normalised(text or ""))
+                if len(plain) >= shortest and edits <= decontam.edit_budget(len(plain), 0.1):
+                    expected.add((n, i, edits))
+        found = decontam.leaks(docs, items, shortest=shortest, block_chars=block_chars).collect()
+        assert {(r["doc_id"], r["item_id"], r["edits"]) for r in found} == expected and len(found) == len(expected)
+        left = decontam.clean(docs, items, shortest=shortest, block_chars=block_chars)
+        assert sorted(r["doc_id"] for r in left.collect()) == sorted({n for n, _ in texts} - {n for n, _, _ in expected})
+    assert {(40, 20), (41, 21), (40, 22)} <= {(n, i) for n, i, _ in expected}
+
+
+def test_a_common_opening_is_told_from_an_item_by_its_short_grams():
+    rng = random.Random(8)
+    opening = "which of the following statements is correct "
+    items = [(i, opening + " ".join("".join(rng.choices("abcdefghijklmnop", k=6)) for _ in range(8))) for i in range(500)]
+    index = decontam.Index.build(items, 0.1, 16)
+    codes = decontam._codes(decontam.normalised(opening * 20 + items[7][1]))
+    passage, band = index.bands(codes)
+    near = index.close(codes, passage, band)
+    assert len(passage) > 5000 and set(passage[near].tolist()) == {7}
+
+
+# -- Weak labels ---------------------------------------------------------------------------------------------------
+
+def test_runs_of_words_are_counted_without_keeping_them():
+    rng = random.Random(10)
+    for n in (0, 1, 4, 5, 6, 300):
+        for kinds in (b"a", b"abc", b"abcdefghijklmnop"):
+            words = [bytes([rng.choice(kinds)]) * rng.randrange(1, 4) for _ in range(n)]
+            assert quality._kinds(words) == (len(set(words)), len(set(zip(*(words[k:] for k in range(5))))))
+
+
+def test_estimated_posteriors_equal_the_fold_over_documents():
+    """Expectation-maximisation over counts of patterns against the same over single documents, vote by vote."""
+    rng = random.Random(11)
+    n = len(quality.LABELLERS)
+    rows = []
+    for _ in range(400):
+        good = rng.random() < 0.7
+        rows.append([2 if rng.random() < 0.2 else int(good) if rng.random() < 0.85 else 1 - int(good) for _ in range(n)])
+    numbers = [sum(v * 3 ** k for k, v in enumerate(row)) for row in rows]
+    patterns, counts = np.unique(numbers, return_counts=True)
+    once = quality.estimate(patterns, counts.astype(float))
+    single = quality.estimate(np.array(numbers), np.ones(len(numbers)))
+    assert np.allclose(once.log_votes, single.log_votes) and np.allclose(once.log_prior, single.log_prior)
+    for row, number in zip(rows[:50], numbers):
+        by_hand = [once.log_prior[c] + sum(once.log_votes[c, k, v] for k, v in enumerate(row)) for c in (0, 1)]
+        share = 1 / (1 + math.exp(by_hand[0] - by_hand[1]))
+        assert abs(float(once.posterior(np.array([number]))[0]) - share) < 1e-9
