@@ -39,13 +39,15 @@ LABELLERS = {
 
 def _kinds(words: list[bytes], size: int = 5) -> tuple[int, int]:
     """How many different words there are, and different runs of ``size`` of them, in eight bytes a run."""
-    number = {w: k for k, w in enumerate(dict.fromkeys(words), 1)}
-    codes = np.fromiter(map(number.__getitem__, words), np.uint64, len(words))
-    runs = np.zeros(max(0, len(words) - size + 1), np.uint64)
-    for k in range(size):
-        runs = runs * _ODD + codes[k:k + len(runs)]
+    codes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)  # the same for equal words of one process
+    n = max(0, len(words) - size + 1)
+    runs = codes[:n].copy()
+    for k in range(1, size):
         runs ^= runs >> np.uint64(29)
-    return len(number), len(np.unique(runs))
+        runs *= _ODD
+        runs += codes[k:k + n]
+    runs.sort()
+    return len(set(words)), int(n > 0) + int(np.count_nonzero(runs[1:] != runs[:-1]))
 
 
 def traits(text: str) -> tuple[list[float], np.ndarray]:
