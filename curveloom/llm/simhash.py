@@ -96,6 +96,7 @@ def best_blocks(prints: int, radius: int) -> int:
     """Words of the fingerprint that make dealing and comparing so many distinct fingerprints cheapest.
 
     More words make more tiles, so fewer pairs meet, but deal a fingerprint to more of them. Links are the same for any number.
+    Four words or more make thousands of tiles, so that no task gets a large share of a short table.
     """
     def cost(blocks: int) -> float:
         dealt = 1 + len(_shifts(blocks, radius))
@@ -106,7 +107,7 @@ def best_blocks(prints: int, radius: int) -> int:
             near = np.convolve(near, differs)[: radius + 1]
         return prints * dealt * PAIRS_A_ROW + prints * prints / 2 * near.sum()
 
-    return min(range(2, 17), key=cost)
+    return min(range(4, 17), key=cost)
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -63,7 +63,7 @@ def test_simhash_links_random_fingerprints_in_any_number_of_parts(spark):
 
 def test_more_fingerprints_make_finer_tiles():
     chosen = [simhash.best_blocks(n, 2) for n in (0, 1, 10 ** 5, 10 ** 7, 10 ** 9, 4 * 10 ** 10)]
-    assert chosen == sorted(chosen) and 2 <= chosen[0] < chosen[-1] <= 16
+    assert chosen == sorted(chosen) and 4 == chosen[0] < chosen[-1] <= 16
 
 
 def test_simhash_on_odd_rows(odd, nothing):
