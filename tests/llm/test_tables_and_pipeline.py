@@ -104,6 +104,61 @@ def test_neighbours_on_odd_rows(spark):
     assert ann.search(frame.limit(0)).count() == 0
 
 
+def test_vectors_are_compared_with_all_of_their_length(spark):
+    """Lengths other than most rows' have partitions of their own; a query of a length that no other row has finds nothing."""
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.standard_normal(8 if i % 10 else 3).tolist()) for i in range(1, 600)] + [(1000, [1.0] * 5)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found: dict = {}
+    for r in ann.search(frame).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    short = [(i, np.array(v)) for i, v in rows if len(v) == 3]
+    assert found == exact(short, [r for r in short if r[0] % 50 == 0])
+
+
+@pytest.fixture(scope="module")
+def clustered():
+    """6,000 vectors around 60 centres, which differ much more than a centre's vectors do."""
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((60, 32))
+    return [(i, centres[i % 60] + 0.35 * rng.standard_normal(32)) for i in range(6000)]
+
+
+def compared(partitions, x, asked):
+    """The share of rows that a query is compared with, and how many partitions a row lies in."""
+    homes = partitions.homes(x)
+    return (partitions.probed(asked) @ homes.sum(axis=0)).mean() / len(x), homes.sum() / len(x)
+
+
+def test_few_rows_are_compared_where_there_are_clusters(spark, clustered):
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in clustered], "vec_id long, embedding array<double>")
+    x = ann._unit([v for _, v in clustered])
+    partitions = ann.fit(ann.usable(frame), length=32)
+    assert partitions.parts == 32 and compared(partitions, x, x[::50])[0] < 0.5
+    expected, found = exact(clustered, clustered[::50]), {}
+    for r in ann.nearest(ann.usable(frame), ann.usable(frame.where("vec_id % 50 = 0")), partitions).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert sum(len(set(found[q]) & set(v)) for q, v in expected.items()) >= 0.9 * 5 * len(expected)
+
+
+def test_partitions_grow_with_the_table(spark, clustered):
+    rows = ann.usable(spark.createDataFrame([(i, v.tolist()) for i, v in clustered], "vec_id long, embedding array<double>"))
+    assert [ann.fit(rows, part_rows=n, most_parts=64, length=32).parts for n in (512, 100, 10)] == [32, 64, 64]
+
+
+def test_border_vectors_are_found_once(spark, clustered):
+    """A wide border lays every vector into two partitions; asked of all, each row is found once, as by brute force."""
+    some = clustered[:600] + [(9000 + i, clustered[0][1]) for i in range(3)]
+    rows = ann.usable(spark.createDataFrame([(i, v.tolist()) for i, v in some], "vec_id long, embedding array<double>"))
+    x = ann._unit([v for _, v in some])
+    partitions = ann.replace(ann.learned(np.unique(x, axis=0), 8), border=1e9, around=None)
+    assert compared(partitions, x, x[:1]) == (2.0, 2.0)
+    found: dict = {}
+    for r in ann.nearest(rows, rows.where("vec_id % 50 = 0"), partitions).orderBy("query_id", "rank").collect():
+        found.setdefault(r["query_id"], []).append(r["vec_id"])
+    assert found == exact(some, [r for r in some if r[0] % 50 == 0])
+
+
 def test_a_partition_of_one_repeated_vector_is_split(spark):
     rng = np.random.default_rng(0)
     rows = [(i, ([1.0] * 8 if i % 3 else rng.standard_normal(8).tolist())) for i in range(600)]
