@@ -220,19 +220,37 @@ def found(docs: DataFrame, rules: list[Rule] | None = None, text_column: str = "
     return docs.withColumn(fresh(docs, "spans")[0], secrets_in(F.col(text_column), rules))
 
 
+def _replaced(text: str, spans: list[tuple[int, int]], mark: str) -> str:
+    kept, at = [], 0
+    for start, end in union(spans):
+        kept += [text[at:start], mark]
+        at = end
+    return "".join([*kept, text[at:]])
+
+
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with each secret, or overlapping secrets, replaced by a mark; a missing text stays missing."""
 
     def replace(texts: pd.Series, every: pd.Series) -> pd.Series:
-        out = []
-        for value, found_here in zip(texts, every):
-            if value is not None and found_here is not None and len(found_here):
-                kept, at = [], 0
-                for start, end in union([(s["start"], s["end"]) for s in found_here]):
-                    kept += [value[at:start], mark]
-                    at = end
-                value = "".join([*kept, value[at:]])
-            out.append(value)
-        return pd.Series(out, dtype=object)
+        return pd.Series([value if value is None or found_here is None else
+                          _replaced(value, [(s["start"], s["end"]) for s in found_here], mark)
+                          for value, found_here in zip(texts, every)], dtype=object)
 
     return F.pandas_udf(replace, "string")(text, spans)
+
+
+def without_secrets(text: Column, rules: list[Rule] | None = None, mark: str = "[SECRET]") -> Column:
+    """Struct of ``n``, how many secrets there are, and ``text``, which has marks in their place; missing where there are none.
+
+    Finding and replacing are one function, so a task has one Python worker and sends it each text once.
+    """
+    names = [(r.kind, r.pattern, r.keep, r.flags, r.scan) for r in rules or default_rules()]
+
+    def clean(texts: pd.Series) -> pd.DataFrame:
+        own = [Rule(*n) for n in names]
+        values = texts.tolist()
+        every = scan_batch(values, own)
+        return pd.DataFrame({"n": np.array([len(spans) for spans in every], np.int32), "text": pd.Series(
+            [_replaced(t, [(a, b) for _, a, b in spans], mark) if spans else None for t, spans in zip(values, every)], dtype=object)})
+
+    return F.pandas_udf(clean, "n int, text string")(whole_text(text))

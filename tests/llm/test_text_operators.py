@@ -301,6 +301,14 @@ def test_redaction_joins_overlaps(spark):
     assert [r["t"] for r in text] == ["[SECRET] end", None]
 
 
+def test_finding_and_replacing_at_once_equals_both_steps(docs, odd, nothing):
+    for table in (docs, odd, nothing):
+        rows = secrets.found(table.select("text")).withColumn("at_once", secrets.without_secrets(F.col("text")))
+        for r in rows.withColumn("in_steps", secrets.redacted(F.col("text"), F.col("spans"))).collect():
+            assert r["at_once"]["n"] == len(r["spans"])
+            assert r["at_once"]["text"] == (r["in_steps"] if r["spans"] else None)
+
+
 # -- Decontamination -------------------------------------------------------------------------------------------
 
 def edited(rng, text, edits):
