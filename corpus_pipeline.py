@@ -40,11 +40,10 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Missing texts stay missing, and secrets that overlap are one mark.
     """
-    spans = fresh(docs, "spans")[0]
-    found = secrets.found(docs)
-    text = secrets.redacted(F.col("text"), F.col(spans))
-    hit = F.size(spans) > 0
-    changed = found.withColumn("text", F.when(hit, text).otherwise(F.col("text")))
+    found = fresh(docs, "found")[0]
+    hit = F.col(f"{found}.n") > 0
+    cleaned = docs.withColumn(found, secrets.without_secrets(F.col("text")))
+    changed = cleaned.withColumn("text", F.when(hit, F.col(f"{found}.text")).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         changed = changed.withColumn("n_chars", F.when(hit, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
