@@ -80,6 +80,32 @@ def test_measures_of_single_texts(spark, text):
     assert tuple(found[m] for m in rules.MEASURES[:5]) == base(text)
 
 
+def different(text):
+    """Mean of different words in runs of 200 that cover all words."""
+    words = WORD.findall(text or "")
+    starts = [*range(0, max(1, len(words) - 199), 200)]
+    if len(words) > 200 and len(words) % 200:
+        starts.append(len(words) - 200)
+    return sum(len(set(words[i:i + 200])) for i in starts) // len(starts)
+
+
+def test_different_words_of_whole_texts(spark):
+    """Texts that are alike in their first 200 words differ by what follows."""
+    draw = np.random.default_rng(11)
+    fresh_words = [f"w{i}" for i in range(1200)]
+    few = [f"a{i}" for i in draw.integers(0, 20, 2000)]
+    expected = {" ".join(fresh_words): rules.GOOD, " ".join(fresh_words[:200] + few): rules.BAD, " ".join(few): rules.BAD,
+                " ".join(few[:200] + fresh_words[:1000]): rules.GOOD, " ".join(few[:1000] + fresh_words[:200]): rules.NONE}
+    texts = [*expected, None, "", "a", *[" ".join(few[:n]) for n in (40, 199, 200, 201, 399, 400, 401, 999)],
+             " ".join(fresh_words[:200] + ["b"] * 100_001)]
+    place = list(rules.RULES).index("few_different")
+    rows = {r["text"]: r for r in rules.measured(spark.createDataFrame([(t,) for t in texts], "text string")).collect()}
+    assert {t: rows[t]["n_different"] for t in texts} == {t: different(t) for t in texts}
+    for text, vote in expected.items():
+        assert rows[text]["pattern"] // 3 ** place % 3 == vote
+        assert 100 * rows[text]["n_repeat_words"] <= 20 * rows[text]["n_words"]
+
+
 def test_rules_find_labelled_junk(spark):
     """Nothing of the labels is an input, so all of them are held out."""
     folder = "/root/testdata/sf0.1"
